@@ -183,9 +183,13 @@ def unused_schemas(schemas: DataFrame, rows: DataFrame, schema_col: str) -> Data
     return schemas.join(used, "id", "left_anti")
 
 
-def same_schema(schemas: DataFrame, document: str) -> DataFrame:
-    """Schemas equal to a JSON document, whatever the key order and spacing."""
-    return schemas.filter(canonical(F.col("metadata_schema")) == canonical(F.lit(document)))
+def same_schema(schemas: DataFrame, documents: DataFrame | str, document: str = "document") -> DataFrame:
+    """Schemas equal to a JSON document (or to one of a table), whatever the key order and spacing."""
+    mine = canonical(F.col("metadata_schema"))
+    if isinstance(documents, str):
+        return schemas.filter(mine == canonical(F.lit(documents)))
+    wanted = documents.select(canonical(F.col(document)).alias("_document"))
+    return schemas.join(wanted, mine == F.col("_document"), "left_semi")
 
 
 def already_cleaned(raw: DataFrame, cleaned: DataFrame, cleaner: str, version: str) -> DataFrame:

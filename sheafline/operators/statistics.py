@@ -14,7 +14,6 @@ from ..functions.text import char_count
 from .lookups import with_name
 from .ordering import first_per_key, id_blocks, map_blocks, newest_first
 
-_ALL = W.partitionBy()
 
 
 def count_if(test: Column) -> Column:
@@ -27,7 +26,7 @@ def share(part: Column, total: Column) -> Column:
 
 
 def _with_share(counts: DataFrame, count: str = "record_count") -> DataFrame:
-    return counts.withColumn("percentage", share(F.col(count), F.sum(count).over(_ALL)))
+    return counts.withColumn("percentage", share(F.col(count), F.sum(count).over(W.partitionBy())))
 
 
 def status_counts(df: DataFrame, statuses: DataFrame, id_col: str = "validation_status_id") -> DataFrame:
@@ -293,7 +292,7 @@ def data_summary(records: DataFrame, content: str = "content") -> DataFrame:
     # One row per distinct text length: bounded by the longest text, not by the rows.
     timed = F.when(F.col("_len").isNotNull(), F.col("_n")).otherwise(F.lit(0))
     running = W.orderBy(F.col("_len").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
-    placed = counts.select("_len", "_n", timed.alias("_m"), F.sum(timed).over(running).alias("_to"), F.sum(timed).over(_ALL).alias("_all"))
+    placed = counts.select("_len", "_n", timed.alias("_m"), F.sum(timed).over(running).alias("_to"), F.sum(timed).over(W.partitionBy()).alias("_all"))
     low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
 
     def at(place: Column) -> Column:

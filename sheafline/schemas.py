@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """``name TYPE, ...`` → schema, without needing a running session."""
+    pairs = (part.split() for part in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 LOOKUP = _struct("id BIGINT, name STRING, updated_at TIMESTAMP, created_at TIMESTAMP")
