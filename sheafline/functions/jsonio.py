@@ -50,17 +50,17 @@ def encode(c: Column, keep_nulls: bool = True) -> Column:
     return F.to_json(c, {"ignoreNullFields": "false" if keep_nulls else "true"})
 
 
-def merge_objects(base: Column, added: Column) -> Column:
-    """JSON text of ``base`` with the fields of ``added`` (both JSON text) put over it.
+def put_fields(base: Column, fields: dict[str, Column]) -> Column:
+    """JSON text of an object with fields put over it; a null field leaves the object as it is there.
 
-    Works on maps of VARIANT values, so nested values keep their shape. The
-    keys of the result are sorted.
+    Works on a map of VARIANT values, so nested values keep their shape; the
+    object is parsed once.
     """
-    kind = "map<string,variant>"
-    old = F.coalesce(F.from_json(base, kind), F.from_json(F.lit("{}"), kind))
-    new = F.coalesce(F.from_json(added, kind), F.from_json(F.lit("{}"), kind))
-    kept = F.map_filter(old, lambda k, v: ~F.array_contains(F.map_keys(new), k))
-    return canonical(F.to_json(F.map_concat(kept, new)))
+    added = F.create_map(*[x for name, c in fields.items() for x in (F.lit(name), c.cast("variant"))])
+    held = F.map_filter(added, lambda k, v: v.isNotNull())
+    names = list(fields)
+    kept = F.map_filter(F.from_json(base, "map<string,variant>"), lambda k, v: ~k.isin(names))
+    return F.to_json(F.map_concat(kept, held))
 
 
 def normalise_number(c: Column) -> Column:

@@ -20,22 +20,22 @@ def state_name(c: Column) -> Column:
 def candidate_name(c: Column, aliases: dict[str, str] = CANDIDATE_ALIASES) -> Column:
     """Strip, collapse white space, apply aliases; null gives ``''``."""
     name = collapse_whitespace(strip(c))
-    result = name
     for alias, real in aliases.items():
-        result = F.when(name == alias, F.lit(real)).otherwise(result)
-    return F.coalesce(result, F.lit(""))
+        name = F.regexp_replace(name, f"^\\Q{alias}\\E\\z", real)
+    return F.coalesce(name, F.lit(""))
 
 
 def iso_date_text(c: Column) -> Column:
-    """``Y-M-D`` (time after ``T`` cut off) as is, ``M/D/Y`` as padded ISO, else null."""
+    """``Y-M-D`` (time after ``T`` cut off) as is, ``M/D/Y`` as padded ISO, else null.
+
+    A chain of replacements, so that no step is worked out twice: month-first
+    dates are turned round with a mark and a zero before month and day, then
+    mark and surplus zero go; what is no ISO date at the end is dropped.
+    """
     day = F.split_part(strip(c.cast("string")), F.lit("T"), F.lit(1))
-    month_first = F.concat_ws(
-        "-",
-        F.regexp_extract(day, _US, 3),
-        F.lpad(F.regexp_extract(day, _US, 1), 2, "0"),
-        F.lpad(F.regexp_extract(day, _US, 2), 2, "0"),
-    )
-    return F.when(day.rlike(_ISO), day).when(day.rlike(_US), month_first)
+    turned = F.regexp_replace(day, _US, "$3\x010$1\x010$2")
+    padded = F.regexp_replace(turned, "\x010?([0-9]{2})", "-$1")
+    return F.nullif(F.regexp_extract(padded, _ISO, 0), F.lit(""))
 
 
 def as_date(c: Column) -> Column:
@@ -53,8 +53,7 @@ def days_between(start: Column, end: Column) -> Column:
 
 def lenient_float(c: Column) -> Column:
     """Number or numeric text → double, else null. NaN is null too."""
-    value = c.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nullif(c.try_cast("double"), F.lit(float("nan")))
 
 
 def lenient_int(c: Column) -> Column:
@@ -62,13 +61,17 @@ def lenient_int(c: Column) -> Column:
     return lenient_float(c).try_cast("bigint")
 
 
-def percentage(c: Column) -> Column:
-    """Lenient float held within 0-100 and rounded to 6 places."""
-    value = lenient_float(c)
+def within_percent(value: Column) -> Column:
+    """A number held within 0-100 and rounded to 6 places."""
     held = F.when(value < 0, F.lit(0.0)).when(value > 100, F.lit(100.0)).otherwise(value)
     return F.round(held, 6)
 
 
+def percentage(c: Column) -> Column:
+    """Lenient float held within 0-100 and rounded to 6 places."""
+    return within_percent(lenient_float(c))
+
+
 def quality_score(
     cycle: Column, state: Column, candidate: Column, model_date: Column, percentages: list[Column]
 ) -> Column:

@@ -12,8 +12,9 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-_WORD = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
-_SPACE_RUN = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
+# The same set as a regular expression class ((?U) makes \\s cover Unicode spaces).
+_SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+_WORD = r"(?U)[^\s\x1c-\x1f]+"
 
 # Citation marks, and the quotes and dashes with their ASCII forms.
 CITATION = r"\[(?:[0-9]+|citation needed|clarification needed)\]"

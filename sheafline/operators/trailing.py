@@ -59,7 +59,8 @@ def trailing_means(
 
     Rows are ordered by ``day``, ``row_id`` and the ``tie`` columns within ``keys``.
     """
-    order_cols = [day, row_id, *(tie or [])]
+    order_cols = list(dict.fromkeys([day, row_id, *(tie or [])]))
+    carried_cols = list(dict.fromkeys([*order_cols, value]))
     longest = max(windows.values())
     blocked = with_blocks(df, keys, day, row_id, block_rows)
     order = [F.col(c).asc() for c in order_cols]
@@ -67,12 +68,12 @@ def trailing_means(
     # The last rows of every block (cut down in each map task before the shuffle).
     backwards = W.partitionBy(*keys, "_block").orderBy(*[F.col(c).desc() for c in order_cols])
     # Groups of one block need none of this and are left out here.
-    slim = blocked.filter("_split").select(*keys, "_block", *order_cols, value)
+    slim = blocked.filter("_split").select(*keys, "_block", *carried_cols)
     tails = slim.withColumn("_back", F.row_number().over(backwards)).filter(F.col("_back") < longest).drop("_back")
 
     # Per block, the rows just before it: the tails of earlier blocks are enough.
     in_group = W.partitionBy(*keys).orderBy(*order)
-    entry = F.struct(*order_cols, value)
+    entry = F.struct(*carried_cols)
     before = F.collect_list(entry).over(in_group.rowsBetween(-(longest - 1), -1))
     heads = tails.select(
         *keys,
@@ -81,7 +82,7 @@ def trailing_means(
         F.row_number().over(W.partitionBy(*keys, "_block").orderBy(*order)).alias("_first"),
     ).filter((F.col("_first") == 1) & (F.size("_before") > 0))
     carried = heads.select(*keys, "_block", F.explode("_before").alias("_e")).select(
-        *keys, "_block", *[F.col(f"_e.{c}").alias(c) for c in [*order_cols, value]], F.lit(True).alias("_carried")
+        *keys, "_block", *[F.col(f"_e.{c}").alias(c) for c in carried_cols], F.lit(True).alias("_carried")
     )
 
     rows = blocked.drop("_split").withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)

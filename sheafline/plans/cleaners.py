@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import polls
 from ..functions.arrays import clean_string_array, strings_of_variant
-from ..functions.jsonio import has_key, is_empty_object, merge_objects
+from ..functions.jsonio import has_key, is_empty_object, put_fields
 from ..functions.text import char_count, clean_text, clean_title, word_count
 from ..operators.validation import failure_document
 from ..vocab import ARTICLE_CLEANER, ARTICLE_OPERATIONS, POLL_CLEANER, POLL_OPERATIONS
@@ -145,13 +145,10 @@ def clean_articles(raw: DataFrame, cleaned_at: str) -> DataFrame:
     failure = F.when(
         nothing, failure_document(F.concat(F.lit("Raw data ("), F.col("id").cast("string"), F.lit(") has no metadata to clean")))
     ).when(F.coalesce("not_text", F.lit(False)), failure_document(F.lit("content is not text"), "TypeError"))
-    added = F.to_json("cleaned")
-    return (
-        article_struct(raw, cleaned_at)
-        .withColumn("failure", failure)
-        .withColumn("cleaned_metadata", F.when(F.col("failure").isNull(), merge_objects(F.col("metadata"), added)))
-        .drop("cleaned", "not_text")
-    )
+    cleaned = article_struct(raw, cleaned_at).withColumn("failure", failure)
+    added = {name: F.col(f"cleaned.{name}") for name in _ARTICLE_OUT}
+    document = F.when(F.col("failure").isNull(), put_fields(F.col("metadata"), added))
+    return cleaned.withColumn("cleaned_metadata", document).drop("cleaned", "not_text")
 
 
 # Polls
@@ -174,13 +171,14 @@ def poll_columns(df: DataFrame, version: str, current_year: int) -> DataFrame:
         *[(F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(f"_{c}") for c in raw_names],
     )
     newer = polls.version_at_least(version, "2.0.0")
-    fields = held.withColumns(
+    numbers = ("pct_estimate", "pct_trend_adjusted")
+    fields = held.withColumns({f"_{c}": polls.lenient_float(F.col(f"_{c}")) for c in numbers}).withColumns(
         {
             "cycle": polls.lenient_int(F.col("_cycle")),
             "cleaned_state": polls.state_name(F.col("_state")),
             "cleaned_candidate_name": polls.candidate_name(F.col("_candidate_name")),
-            "pct_estimate": polls.percentage(F.col("_pct_estimate")),
-            "pct_trend_adjusted": polls.percentage(F.col("_pct_trend_adjusted")),
+            "pct_estimate": polls.within_percent(F.col("_pct_estimate")),
+            "pct_trend_adjusted": polls.within_percent(F.col("_pct_trend_adjusted")),
             "_model": polls.iso_date_text(F.col("_modeldate")),
             "_election": polls.iso_date_text(F.col("_election_date")),
         }

@@ -320,7 +320,9 @@ def state_votes(spark: SparkSession, votes: dict[str, int] = STATE_VOTES) -> Dat
     return values_frame(spark, f"{STATE} STRING, votes BIGINT", list(votes.items()))
 
 
-def draw_outcomes(predictions: DataFrame, votes: DataFrame, draws: int = 10_000, std: float = 2.0, per_row: int = 100) -> DataFrame:
+def draw_outcomes(
+    predictions: DataFrame, votes: DataFrame, draws: int = 10_000, std: float = 2.0, per_row: int = 100, partitions: int | None = None
+) -> DataFrame:
     """Winner and votes of every (draw, state): support plus noise, first largest wins.
 
     The candidates of a state stand in one row, so a winner needs no shuffle;
@@ -330,7 +332,10 @@ def draw_outcomes(predictions: DataFrame, votes: DataFrame, draws: int = 10_000,
     per_state = predictions.groupBy(STATE).agg(F.sort_array(F.collect_list(F.struct(CANDIDATE, "support"))).alias("_field"))
     voted = per_state.join(votes, STATE, "left").withColumn("votes", F.coalesce("votes", F.lit(0)))
     batches = (draws + per_row - 1) // per_row
-    spread = voted.withColumn("_batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1)))).repartition(F.col(STATE), F.col("_batch"))
+    # A fixed number of partitions: the rows are few and small before they are unfolded,
+    # so a number chosen by their size would be 1.
+    count = partitions or 2 * predictions.sparkSession.sparkContext.defaultParallelism
+    spread = voted.withColumn("_batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1)))).repartition(count, STATE, "_batch")
     start = F.col("_batch") * per_row
     drawn = spread.withColumn("draw", F.explode(F.sequence(start, F.least(start + per_row - 1, F.lit(draws - 1)))))
     noisy = F.transform(

@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call-site capture for every column expression makes plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 from ..operators.maintenance import CLEANED_KEY, new_rows
 from ..plans.clean_job import cleaned_rows
@@ -13,14 +13,9 @@ from ..plans.cleaners import Cleaner
 from ..schemas import CLEANED_DATA
 
 
-def read_files(
-    spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1000, pattern: str | None = None
-) -> DataFrame:
-    """New Parquet files of a folder as a stream, a bounded number per micro-batch."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.parquet(folder)
+def read_files(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
+    """New Parquet files of a folder (or a glob) as a stream, a bounded number per micro-batch."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def write_batch_once(batch: DataFrame, folder: str, batch_id: int) -> None:
@@ -30,7 +25,7 @@ def write_batch_once(batch: DataFrame, folder: str, batch_id: int) -> None:
 
 def earlier_batches(spark: SparkSession, folder: str, schema: StructType, batch_id: int) -> DataFrame:
     """Rows of the batches before this one; a half-written or repeated batch is left out."""
-    wide = StructType(schema.fields).add("batch_id", "bigint")
+    wide = StructType(schema.fields).add("batch_id", LongType())
     if batch_id == 0:
         return spark.createDataFrame([], wide)
     return spark.read.schema(wide).option("basePath", folder).parquet(folder).filter(F.col("batch_id") < batch_id)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cleaning, reports, selection  # noqa: F401
+from . import cleaning, jobs, reports, selection  # noqa: F401
 from .base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
