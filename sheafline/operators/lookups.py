@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonio import canonical
 from ..vocab import values_frame
-from .ordering import newest_first
+from .ordering import listed, newest_first
 
 
 def lookup_values(lookup: DataFrame, name: str | None = None) -> DataFrame:
@@ -35,10 +35,12 @@ def with_id(df: DataFrame, lookup: DataFrame, name_col: str, id_col: str) -> Dat
     return df.join(side, name_col, "left")
 
 
-def by_name(df: DataFrame, lookup: DataFrame, id_col: str, name: str) -> DataFrame:
-    """Rows whose lookup name equals ``name``, newest first."""
+def by_name(
+    df: DataFrame, lookup: DataFrame, id_col: str, name: str, limit: int | None = None, ordered: bool = False
+) -> DataFrame:
+    """Rows whose lookup name equals ``name``."""
     wanted = lookup.filter(F.col("name") == name).select(F.col("id").alias("_id"))
-    return newest_first(df.join(wanted, df[id_col] == wanted["_id"], "left_semi"))
+    return listed(df.join(wanted, df[id_col] == wanted["_id"], "left_semi"), limit, ordered)
 
 
 def usage_counts(lookup: DataFrame, df: DataFrame, id_col: str) -> DataFrame:
@@ -79,7 +81,7 @@ def _attempt_context(attempts: DataFrame, targets: DataFrame, types: DataFrame)
 def raw_with_details(
     raw: DataFrame, statuses: DataFrame, attempts: DataFrame, targets: DataFrame, types: DataFrame, limit: int | None = None
 ) -> DataFrame:
-    """Raw rows with status name, attempt, target and type, newest first.
+    """Raw rows with status name, attempt, target and type.
 
     With a limit the newest rows are picked before the joins, which all keep
     every row of the left side.
@@ -87,7 +89,7 @@ def raw_with_details(
     rows = newest_first(raw, limit) if limit else raw
     named = with_name(rows, statuses, "validation_status_id", "validation_status_name")
     joined = named.join(_attempt_context(attempts, targets, types), "collection_attempt_id", "left")
-    return newest_first(joined)
+    return newest_first(joined) if limit else joined
 
 
 def cleaned_with_details(
@@ -99,7 +101,7 @@ def cleaned_with_details(
     types: DataFrame,
     limit: int | None = None,
 ) -> DataFrame:
-    """Cleaned rows with status name, raw row, attempt, target and type, newest first."""
+    """Cleaned rows with status name, raw row, attempt, target and type; with a limit, the newest."""
     rows = newest_first(cleaned, limit) if limit else cleaned
     source = raw.select(
         F.col("id").alias("raw_data_id"),
@@ -111,17 +113,19 @@ def cleaned_with_details(
     joined = named.join(source, "raw_data_id", "left").join(
         _attempt_context(attempts, targets, types), "collection_attempt_id", "left"
     )
-    return newest_first(joined.drop("collection_attempt_id"))
+    joined = joined.drop("collection_attempt_id")
+    return newest_first(joined) if limit else joined
 
 
 def attempts_with_details(
     attempts: DataFrame, statuses: DataFrame, errors: DataFrame, targets: DataFrame, types: DataFrame, limit: int | None = None
 ) -> DataFrame:
-    """Attempts with status, error type, target and type, newest first."""
+    """Attempts with status, error type, target and type; with a limit, the newest."""
     rows = newest_first(attempts, limit) if limit else attempts
     named = with_name(rows, statuses, "attempt_status_id", "attempt_status_name")
     named = with_name(named, errors, "error_type_id", "error_type_name")
-    return newest_first(named.join(_named_targets(targets, types), "collection_target_id", "left"))
+    joined = named.join(_named_targets(targets, types), "collection_target_id", "left")
+    return newest_first(joined) if limit else joined
 
 
 def attempts_of_run(links: DataFrame, attempts: DataFrame, run_id: int | None = None) -> DataFrame:

@@ -81,13 +81,13 @@ def delete_keys(table: DataFrame, keys: DataFrame, key: str = "id") -> DataFrame
     return table.join(gone, table[key] == gone["_gone"], "left_anti")
 
 
-def next_ids(batch: DataFrame, table: DataFrame, unique_key: Column, key: str = "id", buckets: int = 64) -> DataFrame:
+def next_ids(batch: DataFrame, table: DataFrame, unique_key: Column, key: str = "id", buckets: int | None = None) -> DataFrame:
     """Number a batch after the largest id of the table."""
     start = table.select(F.coalesce(F.max(key), F.lit(0))).scalar()
     return assign_ids(batch, unique_key, start, key, buckets)
 
 
-def get_or_create(lookup: DataFrame, names: DataFrame, name_col: str) -> DataFrame:
+def get_or_create(lookup: DataFrame, names: DataFrame, name_col: str, buckets: int | None = None) -> DataFrame:
     """Lookup table with every name of ``names`` in it; new names get the next ids.
 
     Names are made distinct before anything else, so the work is that of the
@@ -95,7 +95,7 @@ def get_or_create(lookup: DataFrame, names: DataFrame, name_col: str) -> DataFra
     """
     wanted = names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
     fresh = wanted.join(lookup.select("name"), "name", "left_anti")
-    numbered = next_ids(fresh, lookup, F.col("name"))
+    numbered = next_ids(fresh, lookup, F.col("name"), buckets=buckets)
     return lookup.select("id", "name").unionByName(numbered.select("id", "name"))
 
 
@@ -108,7 +108,7 @@ def link_rows(attempt_ids: DataFrame, run_id: int | Column, links: DataFrame) ->
     return new_rows(batch, links, LINK_KEY)
 
 
-def append_rows(batch: DataFrame, table: DataFrame, unique_key: Column, buckets: int = 64) -> DataFrame:
+def append_rows(batch: DataFrame, table: DataFrame, unique_key: Column, buckets: int | None = None) -> DataFrame:
     """Log rows in the table's own column order, with new ids; columns a batch lacks become null."""
     numbered = next_ids(batch, table, unique_key, buckets=buckets)
     present = set(numbered.columns)

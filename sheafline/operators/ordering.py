@@ -16,6 +16,15 @@ def newest_first(df: DataFrame, limit: int | None = None, time: str = "created_a
     return ordered.limit(limit) if limit else ordered
 
 
+def listed(df: DataFrame, limit: int | None = None, ordered: bool = False, time: str = "created_at", key: str = "id") -> DataFrame:
+    """A selection as a list, newest first, when a limit or an order is asked for.
+
+    Without either the rows stay as they are: a selection that feeds another step
+    needs no sort of all its rows.
+    """
+    return newest_first(df, limit, time, key) if limit or ordered else df
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order.
 
@@ -41,13 +50,17 @@ def stable_number(c: Column) -> Column:
     return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("bigint")
 
 
-def assign_ids(df: DataFrame, unique_key: Column, start: Column | int, name: str = "id", buckets: int = 64) -> DataFrame:
+def assign_ids(
+    df: DataFrame, unique_key: Column, start: Column | int, name: str = "id", buckets: int | None = None
+) -> DataFrame:
     """Number rows from ``start + 1`` without gaps, the same way in every run.
 
     Rows fall into hash buckets of their unique key; each bucket is numbered on
-    its own and shifted by the sizes of the earlier ones. No task sees more than
-    a bucket, so raise ``buckets`` with the data (about a million rows each).
+    its own and shifted by the sizes of the earlier ones, so no task orders more
+    than a bucket. By default there are four buckets per shuffle partition.
     """
+    if buckets is None:
+        buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = start if isinstance(start, Column) else F.lit(start)
     keyed = df.withColumns({"_key": unique_key, "_bucket": stable_number(unique_key) % buckets})
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))
@@ -65,7 +78,8 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     """Exact interpolating median of ``value`` per key; nulls are left out.
 
     Equal values are counted first, so a group costs its distinct values and not
-    its rows, and the running count over them can spill.
+    its rows, and the running count over them can spill. Meant for whole-number
+    measures (durations, lengths), whose distinct values are bounded.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     group = W.partitionBy(*keys)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsonio import field_text, keys
-from .ordering import first_per_key, newest_first
+from .ordering import first_per_key, listed
 
 SHORT_LIST = 1000
 
@@ -54,14 +54,17 @@ def select_ids(df: DataFrame, spec: str, col: str = "id") -> DataFrame:
     return df.filter(reduce(lambda a, b: a | b, tests)) if tests else df.filter(F.lit(False))
 
 
-def where_equal(df: DataFrame, **values: object) -> DataFrame:
-    """Rows where every named column equals its value, newest first; None leaves a column out."""
+# The selections below take ``limit`` or ``ordered`` to become a list, newest first.
+
+
+def where_equal(df: DataFrame, limit: int | None = None, ordered: bool = False, **values: object) -> DataFrame:
+    """Rows where every named column equals its value; None leaves a column out."""
     tests = [F.col(name) == value for name, value in values.items() if value is not None]
-    return newest_first(df.filter(reduce(lambda a, b: a & b, tests)) if tests else df)
+    return listed(df.filter(reduce(lambda a, b: a & b, tests)) if tests else df, limit, ordered)
 
 
-def by_cleaner(df: DataFrame, cleaner: str, version: str | None = None) -> DataFrame:
-    return where_equal(df, cleaner_used=cleaner, cleaner_version=version)
+def by_cleaner(df: DataFrame, cleaner: str, version: str | None = None, limit: int | None = None, ordered: bool = False) -> DataFrame:
+    return where_equal(df, limit, ordered, cleaner_used=cleaner, cleaner_version=version)
 
 
 def cutoff(df: DataFrame, time: str, as_of: str, hours: float = 0, days: float = 0) -> Column:
@@ -70,33 +73,35 @@ def cutoff(df: DataFrame, time: str, as_of: str, hours: float = 0, days: float =
     return F.lit(as_of).cast(kind) - F.make_dt_interval(F.lit(int(days)), F.lit(int(hours)), F.lit(0), F.lit(0.0))
 
 
-def recent(df: DataFrame, hours: int, as_of: str, time: str = "created_at") -> DataFrame:
-    """Rows of the last ``hours`` before ``as_of`` (and after it), newest first."""
-    return newest_first(df.filter(F.col(time) >= cutoff(df, time, as_of, hours=hours)), time=time)
+def recent(df: DataFrame, hours: int, as_of: str, time: str = "created_at", limit: int | None = None, ordered: bool = False) -> DataFrame:
+    """Rows of the last ``hours`` before ``as_of`` (and after it)."""
+    return listed(df.filter(F.col(time) >= cutoff(df, time, as_of, hours=hours)), limit, ordered, time)
 
 
-def contains(df: DataFrame, col: str, term: str) -> DataFrame:
+def contains(df: DataFrame, col: str, term: str, limit: int | None = None, ordered: bool = False) -> DataFrame:
     """Case-insensitive contains; ``%`` and ``_`` in the term are wildcards."""
-    return newest_first(df.filter(F.col(col).ilike(f"%{term}%")))
+    return listed(df.filter(F.col(col).ilike(f"%{term}%")), limit, ordered)
 
 
-def metadata_contains(df: DataFrame, term: str, field: str | None = None, col: str = "metadata") -> DataFrame:
+def metadata_contains(
+    df: DataFrame, term: str, field: str | None = None, col: str = "metadata", limit: int | None = None, ordered: bool = False
+) -> DataFrame:
     """Contains within one JSON field, or anywhere in the JSON text."""
     text = field_text(F.col(col), field) if field else F.col(col)
-    return newest_first(df.filter(text.ilike(f"%{term}%")))
+    return listed(df.filter(text.ilike(f"%{term}%")), limit, ordered)
 
 
 def field_values(df: DataFrame, field: str, limit: int | None = None, col: str = "metadata") -> DataFrame:
-    """Non-null values of one JSON field, newest first."""
+    """Non-null values of one JSON field; with a limit, of the newest rows that have one."""
     values = df.select("id", "created_at", field_text(F.col(col), field).alias("field_value"))
-    return newest_first(values.filter(F.col("field_value").isNotNull()), limit)
+    return listed(values.filter(F.col("field_value").isNotNull()), limit)
 
 
 def schemas_with_property(schemas: DataFrame, name: str, top_level_only: bool = False) -> DataFrame:
     """Schemas whose text holds the quoted property name, or that have it as a top-level key."""
     text = F.col("metadata_schema")
     test = F.array_contains(keys(text), name) if top_level_only else text.ilike(f'%"{name}"%')
-    return newest_first(schemas.filter(test))
+    return schemas.filter(test)
 
 
 def select_targets(
@@ -106,10 +111,11 @@ def select_targets(
     type_ids: list[int] | None = None,
     languages: list[str] | None = None,
     ids: list[int] | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
     """Targets by any mix of collector, status, types, languages and ids, as one predicate.
 
-    Ordered by language, then oldest first. The collector always applies.
+    ``ordered`` gives them by language, then oldest first. The collector always applies.
     """
     df = targets
     if collector_id is not None:
@@ -122,7 +128,7 @@ def select_targets(
         df = df.filter(F.col("language_code").isin(languages))
     if ids:
         df = by_ids(df, ids)
-    return df.orderBy("language_code", "created_at", "id")
+    return df.orderBy("language_code", "created_at", "id") if ordered else df
 
 
 def not_checked(targets: DataFrame, checks: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot leaves methods above 8000 bytes uncompiled, so plans that would
+    # generate such a method are better run stage by stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     # Call-site capture for every column expression makes plans slow to build.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

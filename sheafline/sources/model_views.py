@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..vocab import ATTEMPT_STATUSES, COLLECTION_STATUSES, ERROR_TYPES, VALIDATION_STATUSES, lookup
 from .pages import page_catalogue
+from .tables import spread
 
 # Names given to values of the given tables.
 TARGET_TYPES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -208,7 +209,13 @@ class ModelViews:
         """Uncleaned poll records as text, with the flaws found in such files."""
         suppliers = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
         nations = self.table("nation").select("n_nationkey", "n_name")
-        joined = self.table("lineitem").join(suppliers, "l_suppkey").join(nations, "n_nationkey")
+        lines = spread(
+            self.table("lineitem").select(
+                "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity", "l_tax", "l_shipdate"
+            ),
+            "l_orderkey",
+        )
+        joined = lines.join(suppliers, "l_suppkey").join(nations, "n_nationkey")
         number, day = F.col("l_linenumber"), F.col("l_shipdate")
         quantity = F.col("l_quantity").cast("int")
         us_day = F.concat_ws("/", F.month(day).cast("string"), F.dayofmonth(day).cast("string"), F.year(day).cast("string"))
@@ -241,7 +248,11 @@ class ModelViews:
             .otherwise(F.concat("text", F.lit("  two\t\tgaps [citation needed] x[clarification needed] ")))
         )
         mojibake = F.when(n % 50 == 7, F.concat(noise, F.lit("Ã©"))).otherwise(noise)
-        return self.table("documents").select("doc_id", "lang", "source", mojibake.alias("content"))
+        docs = spread(self.table("documents").select("doc_id", "text", "lang", "source"), "doc_id")
+        return docs.select("doc_id", "lang", "source", mojibake.alias("content"))
+
+    def pages(self) -> DataFrame:
+        return spread(self.table("pages"), "page_id")
 
     def page_catalogue(self) -> DataFrame:
-        return page_catalogue(self.table("pages"))
+        return page_catalogue(self.pages())

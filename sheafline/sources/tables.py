@@ -19,6 +19,16 @@ def read_table(spark: SparkSession, location: str, schema: StructType | None = N
     return reader.parquet(location)
 
 
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table scan over all cores when it comes in fewer splits than there are cores.
+
+    For costly work per row on a table of few files. A scan with enough splits,
+    as any large one has, is returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select and cast to a table schema; columns that are absent become null."""
     present = set(df.columns)

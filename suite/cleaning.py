@@ -85,7 +85,7 @@ _RECORDS_SQL = f"""records AS (
 
 
 def _records(v):
-    return pages.article_records(v.table("pages"), COLLECTED_AT)
+    return pages.article_records(v.pages(), COLLECTED_AT)
 
 
 @query(
@@ -179,7 +179,7 @@ def _(v):
 )
 def _(v):
     parts = arrays.clean_string_array(F.split("html", "><"))
-    cleaned = v.table("pages").select("page_id", parts.alias("parts"))
+    cleaned = v.pages().select("page_id", parts.alias("parts"))
     return cleaned.select("page_id", F.size("parts").cast("bigint").alias("part_count"), F.array_join("parts", "|").alias("parts"))
 
 
@@ -464,8 +464,8 @@ def _(v):
 
 def _schema_case(v, version="2.0.0"):
     cleaned = cleaners.poll_columns(v.raw_polls(), version, YEAR)
-    document = F.to_json(F.struct(*cleaners.poll_output_columns(version)), {"ignoreNullFields": "false"})
-    return cleaned.select("order_id", "line_no", F.parse_json(document).alias("document"))
+    document = F.to_variant_object(F.struct(*cleaners.poll_output_columns(version)))
+    return cleaned.select("order_id", "line_no", document.alias("document"))
 
 
 @query(

@@ -119,7 +119,7 @@ def _(v):
         UNION ALL SELECT 5 + row_number() OVER (ORDER BY {BUCKET.format('name')}, name) AS id, name FROM (SELECT DISTINCT p_type AS name FROM part)""",
 )
 def _(v):
-    return mt.get_or_create(v.collection_types(), v.table("part"), "p_type")
+    return mt.get_or_create(v.collection_types(), v.table("part"), "p_type", buckets=64)
 
 
 @query(
@@ -142,7 +142,7 @@ def _(v):
         F.col("id").alias("collection_target_id"), "language_code", F.col("collection_name").alias("search_term_used"),
         F.lit(1).cast("bigint").alias("attempt_status_id"), "created_at",
     )
-    return mt.append_rows(batch, v.collection_attempts(), F.col("collection_target_id"))
+    return mt.append_rows(batch, v.collection_attempts(), F.col("collection_target_id"), buckets=64)
 
 
 # Cleaning, collecting and checking jobs
@@ -219,7 +219,7 @@ _HIT = "EXISTS (SELECT 1 FROM titles x WHERE x.language_code = t.language_code A
     f"WITH {PAGE_TARGETS_SQL} SELECT t.id, t.collection_name, CASE WHEN {_HIT} THEN 2 ELSE 3 END::BIGINT AS collection_status_id FROM page_targets t",
 )
 def _(v):
-    done = collect_job.collect_articles(_full_targets(v), v.table("pages"), 1, AS_OF, validate=True)
+    done = collect_job.collect_articles(_full_targets(v), v.pages(), 1, AS_OF, validate=True)
     return done.targets.select("id", "collection_name", "collection_status_id")
 
 
@@ -229,7 +229,7 @@ def _(v):
         FROM page_targets t JOIN titles x ON x.language_code = t.language_code AND x.folded = lower(t.collection_name) JOIN pages p ON p.page_id = x.page_id""",
 )
 def _(v):
-    done = collect_job.collect_articles(_full_targets(v), v.table("pages"), 1, AS_OF, validate=True)
+    done = collect_job.collect_articles(_full_targets(v), v.pages(), 1, AS_OF, validate=True)
     return done.raw.select("collection_target_id", "title", "language_code", "url", "validation_status_id", (F.length("metadata") > 0).alias("has_page"))
 
 
@@ -334,19 +334,30 @@ def _trailing_sql(name: str, n: int) -> str:
 _AVERAGES = ", ".join(_trailing_sql(f"poll_avg_{n}d", n) for n in (7, 14, 30))
 
 
-@query(
-    "e3_trailing_means",
-    f"""SELECT poll_id, pct_estimate, days_since_poll, {_AVERAGES} FROM (SELECT *, date_diff('day', model_date, DATE '2001-12-31') AS days_since_poll FROM polls)""",
-)
-def _(v):
+_TRAILING = f"""SELECT poll_id, pct_estimate, days_since_poll, {_AVERAGES}
+    FROM (SELECT *, date_diff('day', model_date, DATE '2001-12-31') AS days_since_poll FROM polls)"""
+
+
+def _trailing(v, block_rows: int):
     days = F.datediff(F.lit("2001-12-31").cast("date"), F.col("model_date")).cast("bigint")
     polls = v.polls().select("cleaned_state", "cleaned_candidate_name", "poll_id", "pct_estimate", days.alias("days_since_poll"))
     windows = {f"poll_avg_{n}d": n for n in (7, 14, 30)}
-    # Blocks far below the default size, so that groups are cut at every scale.
-    means = trailing_means(polls, ["cleaned_state", "cleaned_candidate_name"], "days_since_poll", "poll_id", "pct_estimate", windows, ["pct_estimate"], block_rows=200)
+    keys = ["cleaned_state", "cleaned_candidate_name"]
+    means = trailing_means(polls, keys, "days_since_poll", "poll_id", "pct_estimate", windows, ["pct_estimate"], block_rows)
     return means.select("poll_id", "pct_estimate", "days_since_poll", *[F.round(c, 6).alias(c) for c in windows])
 
 
+@query("e3_trailing_means", _TRAILING)
+def _(v):
+    return _trailing(v, 1_000_000)
+
+
+@query("e3_trailing_means_cut", _TRAILING)
+def _(v):
+    # Blocks far below the default size, so that groups are cut.
+    return _trailing(v, 300)
+
+
 @query("e4_normalised", "SELECT poll_id, pct_estimate, sum_influence, round(sum_influence / (SELECT max(sum_influence) FROM polls), 6) AS influence_norm FROM polls")
 def _(v):
     polls = v.polls()
