@@ -13,7 +13,7 @@ from ..operators.selectors import not_checked, with_title_and_content
 from ..operators.validation import Fields, article_errors, failed_check_targets, poll_errors, route, target_outcomes
 from ..sources.pages import article_metadata, article_records
 from ..sources.poll_files import match_targets_to_rows, poll_metadata, poll_records
-from ..vocab import ATTEMPT_STATUSES, COLLECTION_STATUSES, VALIDATION_STATUSES, lookup
+from ..vocab import ATTEMPT_STATUSES, COLLECTION_STATUSES, VALIDATION_STATUSES
 
 
 @dataclass(frozen=True)
@@ -26,8 +26,9 @@ class Collected:
 
 
 def _status_id(df: DataFrame, names: list[str], name_col: str, id_col: str) -> DataFrame:
-    side = lookup(df.sparkSession, names).select(F.col("name").alias(name_col), F.col("id").alias(id_col))
-    return df.join(side, name_col, "left").drop(name_col)
+    """Replace a status name by its id in the lookup table of these names."""
+    ids = F.create_map(*[F.lit(x) for place, name in enumerate(names, start=1) for x in (name, place)])
+    return df.withColumn(id_col, F.element_at(ids, F.col(name_col)).cast("bigint")).drop(name_col)
 
 
 def _finish(targets: DataFrame, records: DataFrame, metadata: Column, errors: Column, schema_id: int, as_of: str, validate: bool) -> Collected:
