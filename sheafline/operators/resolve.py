@@ -4,6 +4,9 @@ Suggestions come from the most telling word of the wanted title: the one on the
 fewest pages of its language. The first pages with that word, in title order,
 are the suggestions. Only the first pages of each word are ever kept, and each
 target meets one word, so nothing grows with the number of (target, page) pairs.
+
+``pages`` is read several times; give it as a stored table (see ``session.stage``)
+and not as a view that takes titles out of HTML.
 """
 
 from __future__ import annotations
@@ -26,21 +29,28 @@ def page_titles(pages: DataFrame) -> DataFrame:
     return first_per_key(keyed, ["language_code", "folded"], [F.col("page_id").asc()])
 
 
-def word_index(pages: DataFrame, size: int = SEARCH_MAX_RESULTS) -> DataFrame:
-    """Per (language, word): the number of titles with it and the first ``size`` of them.
+def _title_words(pages: DataFrame) -> DataFrame:
+    titles = page_titles(pages)
+    return titles.select("language_code", F.explode(words(F.col("title"))).alias("word"), "title", "page_id")
+
+
+def word_counts(pages: DataFrame) -> DataFrame:
+    """Number of titles with each (language, word), counted before the shuffle."""
+    return _title_words(pages).groupBy("language_code", "word").agg(F.count("*").alias("title_count"))
 
-    Counting is map-side, and the first titles are cut to ``size`` in each map
-    task, so a word on every page costs no more than a rare one.
+
+def word_titles(pages: DataFrame, size: int = SEARCH_MAX_RESULTS) -> DataFrame:
+    """The first ``size`` titles with each (language, word).
+
+    They are cut to ``size`` in each map task, so a word on every page costs no
+    more than a rare one.
     """
-    titles = page_titles(pages)
-    words_of = titles.select("language_code", F.explode(words(F.col("title"))).alias("word"), "title", "page_id")
-    counts = words_of.groupBy("language_code", "word").agg(F.count("*").alias("title_count"))
-    first = first_n_per_key(words_of, ["language_code", "word"], [F.col("title").asc(), F.col("page_id").asc()], size)
+    order = [F.col("title").asc(), F.col("page_id").asc()]
+    first = first_n_per_key(_title_words(pages), ["language_code", "word"], order, size)
     # At most ``size`` entries per word.
-    listed = first.groupBy("language_code", "word").agg(
+    return first.groupBy("language_code", "word").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_rank", "title", "page_id"))), lambda x: x["title"]).alias("titles")
     )
-    return counts.join(listed, ["language_code", "word"])
 
 
 def search(queries: DataFrame, pages: DataFrame, size: int = SEARCH_MAX_RESULTS) -> DataFrame:
@@ -49,13 +59,11 @@ def search(queries: DataFrame, pages: DataFrame, size: int = SEARCH_MAX_RESULTS)
     ``queries`` holds ``language_code, folded``. Queries without any known word are left out.
     """
     asked = queries.select("language_code", "folded").distinct()
-    index = word_index(pages, size)
     by_word = asked.select("language_code", "folded", F.explode(words(F.col("folded"))).alias("word"))
-    known = by_word.join(index.select("language_code", "word", "title_count"), ["language_code", "word"])
+    known = by_word.join(word_counts(pages), ["language_code", "word"])
     telling = first_per_key(known, ["language_code", "folded"], [F.col("title_count").asc(), F.col("word").asc()])
-    return telling.select("language_code", "folded", "word").join(
-        index.select("language_code", "word", "titles"), ["language_code", "word"]
-    ).select("language_code", "folded", "titles")
+    found = telling.select("language_code", "folded", "word").join(word_titles(pages, size), ["language_code", "word"])
+    return found.select("language_code", "folded", "titles")
 
 
 def check_targets(targets: DataFrame, pages: DataFrame, size: int = SEARCH_MAX_RESULTS, shown: int = SUGGESTIONS_SHOWN) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,3 +49,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir is not set; a cluster needs a shared folder")
         base = tempfile.mkdtemp(prefix="sheafline-")
     return f"{base.rstrip('/')}/{name}-{os.urandom(6).hex()}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a costly intermediate table once to the shared folder and read it back.
+
+    Later reads are plain scans with a lineage of their own, so a lost executor
+    does not bring the work before it back.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,11 +7,13 @@ them. The mapping gives each model column a source with similar behaviour
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..session import stage
 from ..vocab import ATTEMPT_STATUSES, COLLECTION_STATUSES, ERROR_TYPES, VALIDATION_STATUSES, lookup
 from .pages import page_catalogue
 from .tables import spread
@@ -25,6 +27,9 @@ CLEANER_BY_LANG = {"en": "article_cleaner", "fr": "poll_cleaner"}
 OTHER_CLEANER = "table_cleaner"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def _index(c: Column, names: list[str]) -> Column:
     """1-based place of a value in a list, null when it is not in it."""
     out = F.lit(None).cast("bigint")
@@ -39,9 +44,14 @@ class ModelViews:
 
     spark: SparkSession
     folder: str
+    _staged: dict[str, DataFrame] = field(default_factory=dict, compare=False, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One given table. Its schema is read from a file footer once and then declared."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # Lookups
 
@@ -73,6 +83,9 @@ class ModelViews:
 
     def raw_data(self) -> DataFrame:
         """Documents with their labels; a title is a document's first line."""
+        return self._raw_and_size().drop("n_chars")
+
+    def _raw_and_size(self) -> DataFrame:
         labels = self.table("labels").select("doc_id", "quality")
         docs = self.table("documents").join(labels, "doc_id", "left")
         status = F.when(F.col("quality") == 1, 1).when(F.col("quality") == 0, 2).otherwise(3).cast("bigint")
@@ -90,15 +103,16 @@ class ModelViews:
             F.lit(None).cast("string").alias("validation_error"),
             F.concat(F.lit("store/"), F.col("source"), F.lit(".json")).alias("filepath_of_save"),
             (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.col("doc_id") * F.make_dt_interval(mins=F.lit(1))).alias("created_at"),
+            "n_chars",
         )
 
     def cleaned_data(self) -> DataFrame:
         """Raw rows that are labelled valid or invalid; pending rows are not cleaned yet."""
-        raw = self.raw_data().filter(F.col("validation_status_id") != 3)
+        raw = self._raw_and_size().filter(F.col("validation_status_id") != 3)
         cleaner = F.lit(OTHER_CLEANER)
         for lang, name in CLEANER_BY_LANG.items():
             cleaner = F.when(F.col("language_code") == lang, name).otherwise(cleaner)
-        n_chars = F.get_json_object("metadata", "$.n_chars").cast("bigint")
+        n_chars = F.col("n_chars")
         return raw.select(
             F.col("id").alias("id"),
             F.col("id").alias("raw_data_id"),
@@ -254,5 +268,11 @@ class ModelViews:
     def pages(self) -> DataFrame:
         return spread(self.table("pages"), "page_id")
 
+    def stored_page_catalogue(self) -> DataFrame:
+        """The catalogue as a table written once, for jobs that read it several times."""
+        if "page_catalogue" not in self._staged:
+            self._staged["page_catalogue"] = stage(self.page_catalogue(), "page-catalogue")
+        return self._staged["page_catalogue"].select("*")
+
     def page_catalogue(self) -> DataFrame:
         return page_catalogue(self.pages())

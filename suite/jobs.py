@@ -254,7 +254,7 @@ def _(v):
     f"WITH {PAGE_TARGETS_SQL} SELECT t.id, CASE WHEN {_HIT} THEN 1 ELSE 4 END::BIGINT AS collection_status_id FROM page_targets t",
 )
 def _(v):
-    return collect_job.check_job(_full_targets(v), v.page_catalogue(), None, AS_OF).targets.select("id", "collection_status_id")
+    return collect_job.check_job(_full_targets(v), v.stored_page_catalogue(), None, AS_OF).targets.select("id", "collection_status_id")
 
 
 @query("u1_registered_cleaner", f"SELECT order_id * 8 + line_no AS id, {_CANDIDATE} AS cleaned_candidate_name FROM raw_polls")

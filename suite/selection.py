@@ -344,7 +344,7 @@ def _(v):
 
 def _page_targets(v):
     """Wanted titles: page titles, titles with a lost last word, and words no page has."""
-    pages = v.page_catalogue()
+    pages = v.stored_page_catalogue()
     title = F.col("title")
     return pages.select(
         F.col("page_id").alias("id"),
@@ -397,7 +397,7 @@ PAGE_TARGETS_SQL = PAGE_TARGETS_SQL.replace(" COLLATE C", "")
         LEFT JOIN found f ON f.language_code = t.language_code AND f.folded = lower(t.collection_name)""",
 )
 def _(v):
-    checked = resolve.check_targets(_page_targets(v), v.page_catalogue())
+    checked = resolve.check_targets(_page_targets(v), v.stored_page_catalogue())
     return checked.withColumn("search_results", F.array_join("search_results_found", " | ")).drop("search_results_found")
 
 
@@ -412,12 +412,12 @@ def _(v):
         LEFT JOIN titles y ON y.language_code = t.language_code AND y.title = coalesce(x.title, f.titles[1])""",
 )
 def _(v):
-    return resolve.resolve_pages(_page_targets(v), v.page_catalogue())
+    return resolve.resolve_pages(_page_targets(v), v.stored_page_catalogue())
 
 
 def _aliases(v):
     """First words of titles as ambiguous names; each second name leads to another such name first."""
-    pages = v.page_catalogue()
+    pages = v.stored_page_catalogue()
     first = F.split_part("title", F.lit(" "), F.lit(1))
     direct = pages.select("language_code", first.alias("alias"), F.col("title").alias("option"), (F.col("page_id") * 2 + 1).alias("position"))
     indirect = pages.select(
@@ -454,7 +454,7 @@ def _aliases(v):
 def _(v):
     aliases = _aliases(v)
     asked = aliases.select("language_code", F.col("alias").alias("title")).distinct()
-    return resolve.resolve_aliases(asked, aliases, v.page_catalogue())
+    return resolve.resolve_aliases(asked, aliases, v.stored_page_catalogue())
 
 
 @query(
