@@ -493,6 +493,16 @@ def _(v):
     return json_schema.active_schemas(_schemas(v).unionByName(older)).select("schema_id", "name", "version")
 
 
+@query(
+    "v5_schema_info",
+    f"""WITH {SCHEMAS_SQL} SELECT s.id AS schema_id, json_extract_string(metadata_schema, '$.cleaner_name') AS name, s.created_at, count(r.id) AS row_count
+        FROM stored_schemas s LEFT JOIN raw_data r ON r.raw_data_metadata_schema_id = s.id GROUP BY 1, 2, 3""",
+)
+def _(v):
+    info = json_schema.schema_info(_schemas(v), v.raw_data(), "raw_data_metadata_schema_id")
+    return info.select("schema_id", "name", "created_at", "row_count")
+
+
 @query(
     "v6_route",
     f"""SELECT doc_id, CASE WHEN lang IN ('de', 'fr') THEN 'invalid' ELSE 'valid' END AS validation_status,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sheafline.operators import maintenance as mt
 from sheafline.operators.ordering import first_per_key
-from sheafline.operators.trailing import trailing_means
+from sheafline.operators.trailing import trailing_means, trailing_means_by_days
 from sheafline.plans import clean_job, cleaners, collect_job, forecast
 from sheafline.session import shared_dir
 from sheafline.sources.poll_files import target_names
@@ -182,6 +182,12 @@ def _none_cleaned(v):
     return keys.filter(F.col("cleaner_used") == "wikipedia_cleaner")
 
 
+@query("p1_select_by_status", "SELECT id, title FROM raw_data WHERE validation_status_id = 3 AND id BETWEEN 100 AND 800 AND created_at >= TIMESTAMP '2024-01-01 12:00:00' - INTERVAL 8 HOUR")
+def _(v):
+    chosen = clean_job.select_raw(v.raw_data(), v.validation_statuses(), "pending", "100-800", 8, "2024-01-01 12:00:00")
+    return chosen.select("id", "title")
+
+
 @query("p1_clean_rows", _CLEANED)
 def _(v):
     cleaner = cleaners.get_cleaner("wikipedia_cleaner", cleaned_at=AS_OF)
@@ -358,6 +364,19 @@ def _(v):
     return _trailing(v, 300)
 
 
+@query(
+    "e3_trailing_means_by_days",
+    """SELECT poll_id, pct_estimate, days_since_poll, round(avg(pct_estimate) OVER (PARTITION BY cleaned_state, cleaned_candidate_name
+              ORDER BY days_since_poll RANGE BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS mean_30
+       FROM (SELECT *, date_diff('day', model_date, DATE '2001-12-31') AS days_since_poll FROM polls)""",
+)
+def _(v):
+    days = F.datediff(F.lit("2001-12-31").cast("date"), F.col("model_date")).cast("bigint")
+    polls = v.polls().select("cleaned_state", "cleaned_candidate_name", "poll_id", "pct_estimate", days.alias("days_since_poll"))
+    means = trailing_means_by_days(polls, ["cleaned_state", "cleaned_candidate_name"], "days_since_poll", "pct_estimate", {"mean_30": 30})
+    return means.select("poll_id", "pct_estimate", "days_since_poll", F.round("mean_30", 6).alias("mean_30"))
+
+
 @query("e4_normalised", "SELECT poll_id, pct_estimate, sum_influence, round(sum_influence / (SELECT max(sum_influence) FROM polls), 6) AS influence_norm FROM polls")
 def _(v):
     polls = v.polls()

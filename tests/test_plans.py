@@ -23,7 +23,7 @@ def test_no_python_rows_and_no_cross_joins(spark, name):
         assert node not in text, node
 
 
-@pytest.mark.parametrize("name", ["e1_latest_attempt", "e2_first_target_per_language", "w1_new_cleaned_rows", "c13_resolve_aliases"])
+@pytest.mark.parametrize("name", ["e1_latest_attempt", "e3_trailing_means", "e2_first_target_per_language", "w1_new_cleaned_rows", "c13_resolve_aliases"])
 def test_first_rows_are_cut_before_the_shuffle(spark, name):
     assert re.search(r"WindowGroupLimit .*Partial", plan(spark, name))
 
