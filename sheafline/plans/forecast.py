@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.polls import as_date, time_weight
 from ..operators.ordering import sample_by_hash, stable_number
 from ..operators.trailing import trailing_means, trailing_means_by_days
+from ..session import stage
 from ..vocab import (
     BONUS_SURNAMES,
     BONUS_VOTES,
@@ -440,9 +441,12 @@ def run_forecast(
     row_id: str = "poll_id",
     tie: list[str] | None = None,
 ) -> Forecast:
-    """Window, features, models, predictions, outcomes and summary in one call."""
+    """Window, features, models, predictions, outcomes and summary in one call.
+
+    The window is read by every step after it, so it is written once.
+    """
     spark = polls.sparkSession
-    window = poll_window(polls, candidates, as_of, cycle, lookback_days, states)
+    window = stage(poll_window(polls, candidates, as_of, cycle, lookback_days, states), "poll-window")
     models = fit_models(features(window, cycle, row_id, tie), cycle, trees=trees, split_key=row_id)
     if not models:
         raise ValueError("no candidate has enough polls")

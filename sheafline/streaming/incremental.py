@@ -51,6 +51,7 @@ def start_clean(
 
     Repeats within the watermark are dropped by state; older ones by an anti join
     with the keys written so far (and with ``done``, rows cleaned by other jobs).
+    Batches are numbered by the checkpoint: one output folder belongs to one checkpoint.
     """
     spark = raw.sparkSession
     fresh = raw.withWatermark(time, watermark).dropDuplicatesWithinWatermark(["id"])
