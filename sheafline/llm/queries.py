@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sql, token_counts, url_filter
+from . import bpe, sql, token_counts, url_filter
 
 TOKEN_LIMIT = 4096
 
@@ -23,6 +23,17 @@ def _file(name: str) -> bytes:
         return file.read()
 
 
+def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = _file("word_bpe_49k.json").decode()
+    rows = bpe.decode(bpe.encode(_read(spark, folder, "documents"), tokenizer), tokenizer)
+    return rows.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     judged = url_filter.url_verdicts(_read(spark, folder, "pages"))
     terms = {c: F.array_join(c, ",") for c in ("strict_terms", "soft_terms")}
@@ -35,6 +46,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_url_filter": op3_url_filter,
     "op10_token_counts": op10_token_counts,
 }
