@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sql, token_counts, url_filter
+from . import bpe, quality, sql, token_counts, url_filter
 
 TOKEN_LIMIT = 4096
 
@@ -40,6 +40,11 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.withColumns(terms)
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    return quality.judge(docs, quality.fit(docs, _read(spark, folder, "labels")))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.token_counts(_read(spark, folder, "documents"), _file("piece_bpe_32k.model"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -48,6 +53,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_url_filter": op3_url_filter,
+    "op5_quality_rules": op5_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
 
