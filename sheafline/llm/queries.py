@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, sql, token_counts, url_filter
+from . import bpe, quality, sql, substrings, token_counts, url_filter
 
 TOKEN_LIMIT = 4096
 
@@ -45,6 +45,11 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, _read(spark, folder, "labels")))
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = substrings.remove_repeats(_read(spark, folder, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.token_counts(_read(spark, folder, "documents"), _file("piece_bpe_32k.model"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -54,7 +59,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_url_filter": op3_url_filter,
     "op5_quality_rules": op5_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
-SQL: dict[str, str] = {"op3_url_filter": sql.url_filter()}
+SQL: dict[str, str] = {
+    "op3_url_filter": sql.url_filter(),
+    "op8_substring_dedup": sql.substring_dedup(),
+}

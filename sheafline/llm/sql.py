@@ -31,3 +31,24 @@ SELECT p.page_id, host, path, rule,
        coalesce(f.verdict, CASE WHEN coalesce(strict_terms, '') <> '' OR coalesce(soft_weight, 0) >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict,
        coalesce(strict_terms, '') AS strict_terms, coalesce(soft_terms, '') AS soft_terms, coalesce(soft_weight, 0) AS soft_weight
 FROM parts p LEFT JOIN fits f USING (page_id) LEFT JOIN found t USING (page_id)"""
+
+
+#: The words of a text as a list.
+WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'), lambda w: w <> '')"
+
+
+def substring_dedup(length: int = 50) -> str:
+    return f"""
+WITH docs AS (SELECT doc_id, {WORDS} AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(len(words) - {length - 1})) AS place FROM docs),
+windows AS (SELECT doc_id, place, array_to_string(words[place + 1 : place + {length}], ' ') AS seq FROM starts),
+firsts AS (SELECT seq, min(doc_id) AS first FROM windows GROUP BY seq),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(place, place + {length})) AS place
+    FROM windows JOIN firsts USING (seq) WHERE doc_id > first),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM docs),
+kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+    FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""
