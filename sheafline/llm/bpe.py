@@ -30,8 +30,10 @@ from .common import texts
 #: Characters below this one behave alike in all Unicode versions; texts with others take the file's own rules.
 PLAIN_BELOW = 0x250
 #: Entries of the tables a worker keeps between words and between batches.
-WORDS_KEPT = 300_000
-PAIRS_KEPT = 1_000_000
+WORDS_KEPT = 200_000
+PAIRS_KEPT = 200_000
+#: Rows of one output batch.
+ROWS = 500
 
 
 def _byte_names() -> list[str]:
@@ -86,14 +88,6 @@ class Bpe:
         self.found.make_automaton()
         self.words = _Words(self)
 
-        # Texts of all tokens, each with the space that stands between tokens.
-        texts = [""] * size
-        for token, i in [*self.ids.items(), *self.special.items()]:
-            texts[i] = token
-        raw = [(t + " ").encode() for t in texts]
-        self.buffer = np.frombuffer(b"".join(raw), np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-
         low = "".join(chr(c) for c in range(PLAIN_BELOW))
         kind = {c: unicodedata.category(c)[0] for c in low}
         letters = "".join(re.escape(c) for c in low if kind[c] == "L")
@@ -192,6 +186,26 @@ class Bpe:
                     out.extend(map(self.words.__getitem__, self.pieces.findall(normal)))
         return b"".join(out)
 
+
+class Texts:
+    """The texts of all tokens in one buffer, each with the space that stands between tokens, and their offsets."""
+
+    _made: dict[str, Texts] = {}
+
+    def __init__(self, content: str):
+        file = json.loads(content)
+        tokens = {i: token for token, i in file["model"]["vocab"].items()} | {t["id"]: t["content"] for t in file["added_tokens"]}
+        raw = [(tokens.get(i, "") + " ").encode() for i in range(max(tokens) + 1)]
+        self.buffer = np.frombuffer(b"".join(raw), np.uint8)
+        self.offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+
+    @classmethod
+    def of(cls, content: str) -> Texts:
+        """One instance per worker process."""
+        if content not in cls._made:
+            cls._made[content] = cls(content)
+        return cls._made[content]
+
     def decode(self, packed: bytes) -> str:
         """The text of packed ids: token texts with a space between, as the file has no decoder."""
         ids = np.frombuffer(packed, "<u4")
@@ -217,6 +231,12 @@ class _Words(dict):
         return packed
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id and ``ids``, the tokens of its whole text as packed little-endian unsigned 32-bit numbers.
 
@@ -228,7 +248,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.of(tokenizer)
-        for batch in batches:
+        for batch in _small(batches):
             packed = [bpe.encode(text.as_py()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["doc_id", "ids"])
 
@@ -242,9 +262,9 @@ def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe.of(tokenizer)
-        for batch in batches:
-            decoded = [bpe.decode(ids.as_py()) for ids in batch.column(1)]
+        table = Texts.of(tokenizer)
+        for batch in _small(batches):
+            decoded = [table.decode(ids.as_py()) for ids in batch.column(1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
 
     rows = encoded.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
