@@ -2,18 +2,45 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import sheafline
 from sheafline.session import shared_dir
 
 #: A word is a longest run of characters other than ASCII white space.
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+#: By application: the driver's folder that holds the archive while Spark serves it.
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's sources to the executors, once per application.
+
+    Spark serves the archive from the driver, so executors need no copy of the
+    package and no shared folder for it.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root = Path(sheafline.__file__).parent
+    folder = _shipped[application] = tempfile.TemporaryDirectory()
+    archive = os.path.join(folder.name, "sheafline-sources.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(archive)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text) of a table; a null text is an empty one, other columns are left behind."""
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -53,15 +80,3 @@ def mix(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
-
-
-def utf8_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets (from 0) and the bytes of a string column without nulls, as views of its buffers."""
-    column = column.cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]] if len(column) else np.zeros(0, np.uint8)
-    return offsets - offsets[0], data
-
-
-def count_regex(column: pa.Array, pattern: str) -> np.ndarray:
-    return pc.count_substring_regex(column, pattern).to_numpy(zero_copy_only=False).astype(np.int64)

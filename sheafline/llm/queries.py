@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, sql, substrings, token_counts, url_filter
+from . import bpe, ngram_join, quality, sql, substrings, token_counts, url_filter
+from .common import ship
 
 TOKEN_LIMIT = 4096
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
@@ -45,6 +47,10 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, _read(spark, folder, "labels")))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_groups(_read(spark, folder, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     left = substrings.remove_repeats(_read(spark, folder, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
@@ -59,11 +65,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_url_filter": op3_url_filter,
     "op5_quality_rules": op5_quality_rules,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {
     "op3_url_filter": sql.url_filter(),
+    "op7_ngram_jaccard_join": sql.ngram_jaccard_join(),
     "op8_substring_dedup": sql.substring_dedup(),
 }

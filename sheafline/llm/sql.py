@@ -52,3 +52,28 @@ kept AS (
     FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
 SELECT doc_id, len(words)::BIGINT AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (doc_id)"""
+
+
+#: A-Z to a-z and nothing else.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def ngram_jaccard_join(length: int = 4, num: int = 85, den: int = 100) -> str:
+    return f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {WORDS.replace("coalesce(text, '')", LOWER)} AS words FROM documents),
+grams AS (
+    SELECT DISTINCT doc_id, hash(array_to_string(words[place + 1 : place + {length}], ' ')) AS gram
+    FROM (SELECT doc_id, words, unnest(range(greatest(len(words) - {length - 1}, least(len(words), 1)))) AS place FROM docs)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS n_both
+    FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT one, two FROM shared JOIN sizes x ON one = x.doc_id JOIN sizes y ON two = y.doc_id
+    WHERE {den} * n_both >= {num} * (x.n + y.n - n_both)),
+steps AS (SELECT one, two FROM links UNION ALL SELECT two, one FROM links),
+reach(doc_id, seen) AS (
+    SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, s.two FROM reach r JOIN steps s ON r.seen = s.one)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM docs d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)"""
