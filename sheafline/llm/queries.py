@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ngram_join, quality, sql, substrings, token_counts, url_filter
+from . import bpe, chat, licenses, ngram_join, quality, sql, substrings, token_counts, url_filter
 from .common import ship
 
 TOKEN_LIMIT = 4096
@@ -42,6 +42,12 @@ def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.withColumns(terms)
 
 
+def op4_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    rendered = chat.perspectives(_read(spark, folder, "conversations"))
+    mask = F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+    return rendered.withColumn("mask", F.array_join(mask, ",")).drop("spans")
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     return quality.judge(docs, quality.fit(docs, _read(spark, folder, "labels")))
@@ -56,6 +62,11 @@ def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(_read(spark, folder, "documents"))
+    return found.drop("blocks")
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.token_counts(_read(spark, folder, "documents"), _file("piece_bpe_32k.model"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -64,14 +75,18 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_url_filter": op3_url_filter,
+    "op4_chat_perspectives": op4_chat_perspectives,
     "op5_quality_rules": op5_quality_rules,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {
     "op3_url_filter": sql.url_filter(),
+    "op4_chat_perspectives": sql.chat_perspectives(),
     "op7_ngram_jaccard_join": sql.ngram_jaccard_join(),
     "op8_substring_dedup": sql.substring_dedup(),
+    "op9_license_scan": sql.license_scan(),
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .chat import ASSISTANT, BLOCK_TURNS, NOBODY, START, USER
+from .licenses import PHRASES, TEMPLATES, THRESHOLD
 from .url_filter import RULES, SOFT, SOFT_LIMIT, STRICT
 
 
@@ -77,3 +79,56 @@ reach(doc_id, seen) AS (
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM docs d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)"""
+
+
+def chat_perspectives() -> str:
+    return f"""
+WITH rows AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, '{NOBODY}') AS role, coalesce(text, '') AS text FROM conversations),
+placed AS (
+    SELECT *, coalesce(turn // {BLOCK_TURNS}, -1) AS block,
+           (row_number() OVER (PARTITION BY conv_id, turn // {BLOCK_TURNS} ORDER BY turn NULLS FIRST, role, text) - 1) // {BLOCK_TURNS} AS part
+    FROM rows),
+people AS (SELECT DISTINCT conv_id, role AS participant FROM rows),
+said AS (
+    SELECT p.*, participant, role = participant AS own,
+           CASE WHEN role = participant THEN '{START}{ASSISTANT}' ELSE '{START}{USER} name=' || role END || chr(10) AS head,
+           head || text || '<|im_end|>' || chr(10) AS line
+    FROM placed p JOIN people q ON p.conv_id IS NOT DISTINCT FROM q.conv_id),
+ends AS (
+    SELECT *, sum(length(line)) OVER (PARTITION BY conv_id, participant, block, part ORDER BY turn NULLS FIRST, role, text) AS stop FROM said)
+SELECT conv_id, participant, block, part, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
+       string_agg(line, '' ORDER BY turn NULLS FIRST, role, text) AS text,
+       coalesce(string_agg((stop - length(line) + length(head))::VARCHAR || '-' || stop::VARCHAR, ',' ORDER BY turn NULLS FIRST, role, text)
+                FILTER (WHERE own), '') AS mask
+FROM ends GROUP BY ALL"""
+
+
+def license_scan() -> str:
+    words = "list_filter(regexp_split_to_array({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+    hits = " UNION ALL ".join(
+        f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(len(words)), lambda i: "
+        + " AND ".join(f"words[i + {k + 1}] = '{w}'" for k, w in enumerate(phrase.split()))
+        + ")) AS place FROM docs"
+        for phrase, label in PHRASES.items()
+    )
+    templates = ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES)
+    lower = LOWER.replace("coalesce(text, '')", "{}")
+    return f"""
+WITH docs AS (SELECT doc_id, {words.format(LOWER)} AS words FROM documents),
+hits AS ({hits}),
+base AS (
+    SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS base FROM hits GROUP BY doc_id),
+templates AS (
+    SELECT label, list_distinct({words.format(lower.format("text"))}) AS template FROM (VALUES {templates}) AS t(label, text)),
+lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
+blocks AS (SELECT DISTINCT doc_id, list_distinct({words.format(lower.format("line"))}) AS block FROM lines),
+found AS (
+    SELECT doc_id, label, len(list_intersect(block, template)) AS n, len(template) AS size
+    FROM blocks, templates WHERE {THRESHOLD[1]} * len(list_intersect(block, template)) >= {THRESHOLD[0]} * len(template)),
+best AS (SELECT doc_id, max(n / size) AS containment, list(DISTINCT label) AS found FROM found GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(found, [])))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(containment, 0.0)::DOUBLE END AS score
+FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)"""
