@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licenses, ngram_join, quality, sql, substrings, token_counts, url_filter
+from . import bpe, chat, decontamination, licenses, ngram_join, quality, sql, substrings, token_counts, url_filter
 from .common import ship
 
 TOKEN_LIMIT = 4096
@@ -36,6 +36,11 @@ def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.leaks(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    return found.drop("text_key")
+
+
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     judged = url_filter.url_verdicts(_read(spark, folder, "pages"))
     terms = {c: F.array_join(c, ",") for c in ("strict_terms", "soft_terms")}
@@ -74,6 +79,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_decontamination": op2_decontamination,
     "op3_url_filter": op3_url_filter,
     "op4_chat_perspectives": op4_chat_perspectives,
     "op5_quality_rules": op5_quality_rules,
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_decontamination": sql.decontamination(),
     "op3_url_filter": sql.url_filter(),
     "op4_chat_perspectives": sql.chat_perspectives(),
     "op7_ngram_jaccard_join": sql.ngram_jaccard_join(),

@@ -132,3 +132,27 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, fir
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(found, [])))), ','), '') AS labels,
        CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(containment, 0.0)::DOUBLE END AS score
 FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+def decontamination(length: int = 5) -> str:
+    words = "regexp_extract_all(lower(coalesce(text, '')), '[\\pL\\pN]+')"
+    return f"""
+WITH docs AS (SELECT doc_id, {words} AS words FROM documents),
+items AS (SELECT item_id, {words} AS words FROM benchmark),
+doc_places AS (SELECT doc_id, len(words) AS n, words, unnest(range(len(words) - {length - 1})) AS place FROM docs),
+doc_grams AS (SELECT doc_id, n, place, array_to_string(words[place + 1 : place + {length}], ' ') AS gram FROM doc_places),
+item_places AS (SELECT item_id, len(words) AS size, words, unnest(range(len(words) - {length - 1})) AS place FROM items),
+item_grams AS (
+    SELECT item_id, size, array_to_string(words[place + 1 : place + {length}], ' ') AS gram, count(*) AS c FROM item_places GROUP BY ALL),
+starts AS (
+    SELECT DISTINCT doc_id, n, size, greatest(0, least(place, n - size)) AS start
+    FROM doc_grams JOIN (SELECT DISTINCT gram, size FROM item_grams) USING (gram)),
+windows AS (
+    SELECT s.doc_id, s.n, size, start, gram, count(*) AS c FROM starts s JOIN doc_grams g ON s.doc_id = g.doc_id
+    WHERE place >= start AND place <= start + least(size, s.n) - {length} GROUP BY ALL),
+pairs AS (
+    SELECT doc_id, item_id, start, sum(least(w.c, i.c)) AS n_both, least(any_value(n), any_value(size)) + any_value(size) - {2 * (length - 1)} AS n_sum
+    FROM windows w JOIN item_grams i USING (size, gram) GROUP BY doc_id, item_id, start),
+found AS (SELECT *, n_both / (n_sum - n_both) AS similarity FROM pairs WHERE 10 * n_both >= 8 * (n_sum - n_both))
+SELECT doc_id, item_id, arg_max(start, (similarity, -start))::BIGINT AS start, max(similarity)::DOUBLE AS similarity
+FROM found GROUP BY doc_id, item_id"""
