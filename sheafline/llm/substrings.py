@@ -178,6 +178,8 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     half = placed.filter("doc_id = first").select("doc_id", "text_key", F.explode(F.arrays_zip("hashes", "places")).alias("w"))
     half = half.select("doc_id", "text_key", F.col("w.hashes").alias("hash"), F.col("w.places").alias("place"))
     shared = half.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("hash")
+    # Written out, so that the joins below meet plain tables and Spark can split a hot hash.
+    shared = checkpointed(shared, "shared-half-windows")
     # One row per text: at most a place for each of its words.
     survivors = half.join(shared, "hash", "left_semi").groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("places"))
 
@@ -189,7 +191,8 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
         "full-windows",
     )
     least = full.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    later = full.join(least.select("hash", "first"), "hash").filter("doc_id > first")
+    least = checkpointed(least.select("hash", "first"), "shared-windows")
+    later = full.join(least, "hash").filter("doc_id > first")
     return later.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("places")).unionByName(copies.distinct())
 
 
