@@ -1,10 +1,83 @@
-"""A corpus in stages, each written and read again before the next."""
+"""A training corpus in five stages: quality, near duplicates, repeated passages, benchmark leaks, tokens.
+
+Each stage takes what the one before kept and returns the columns of documents;
+the last returns the tokens. Between stages the documents are written to the
+shared folder and read again.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sheafline.llm import bpe, decontamination, ngram_join, quality, substrings
+from sheafline.llm.common import checkpointed, ship
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the quality model, unchanged.
+
+    The model is fitted on a bounded sample of the labelled documents. Without
+    labels the base rules decide alone.
+    """
+    ship(spark)
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    judged = quality.judge(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"), model, carry=("row",))
+    return judged.filter("kept").select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id, unchanged; documents without words stay."""
+    ship(spark)
+    groups = ngram_join.jaccard_groups(docs)
+    later = groups.filter("doc_id > component_id").select("doc_id").distinct()
+    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages of fifty words or more that an earlier one has.
+
+    A text that loses words keeps the white space of the words left, and its
+    n_chars is counted anew; a null text becomes an empty one.
+    """
+    ship(spark)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    left = substrings.remove_repeats(docs, carry=tuple(rest)).withColumnRenamed("left", "text")
+    size = F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", size).select(*docs.columns)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, unchanged."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_tokens, ids (packed little-endian unsigned 32-bit numbers) and their decoded text."""
+    ship(spark)
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    rows = bpe.decode(bpe.encode(docs, tokenizer), tokenizer)
+    return rows.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids", "decoded")
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("benchmark decontamination", benchmark_leaks),
+    ("BPE encoding and decoding", tokens),
+]
+
+#: The trained model of the first stage is beyond SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = checkpointed(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

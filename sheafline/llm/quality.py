@@ -270,7 +270,12 @@ COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def judge(
-    docs: DataFrame, model: Model | None, keep_from: float = KEEP_FROM, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model: Model | None,
+    keep_from: float = KEEP_FROM,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per row: doc_id, the five counts, base_failed, probability of good quality, and kept.
 
@@ -278,8 +283,10 @@ def judge(
     of its words in repeated windows; otherwise it is kept from a probability of
     ``keep_from``. Without a model the probability is null and the base rules alone
     decide. A null text has no words; a null id stays null; repeated rows are
-    judged each; other columns are left behind; an empty table gives no rows.
+    judged each; ``carry`` names columns to hand through, others are left behind; an
+    empty table gives no rows.
     """
+    carried = [f"_carried_{i}" for i in range(len(carry))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,10 +296,19 @@ def judge(
                 counts = work.measures()
                 score = pa.array(model.probability(work)) if model else pa.nulls(len(rows), pa.float64())
                 arrays = [ids.slice(start, len(rows)), *(pa.array(counts[c]) for c in COLUMNS), score]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *COLUMNS, "probability"])
+                arrays += [c.slice(start, len(rows)) for c in batch.columns[2:]]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *COLUMNS, "probability", *carried])
 
+    rows = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        *[F.col(c).alias(n) for c, n in zip(carry, carried)],
+    )
+    kinds = dict(rows.dtypes)
     schema = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in COLUMNS) + ", probability double"
+    schema += "".join(f", {n} {kinds[n]}" for n in carried)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    judged = texts(docs, id_col, text_col).mapInArrow(run, schema).withColumn("base_failed", failed)
+    judged = rows.mapInArrow(run, schema).withColumn("base_failed", failed)
     good = F.coalesce(F.col("probability") >= keep_from, F.lit(True))
-    return judged.withColumn("kept", ~F.col("base_failed") & good)
+    judged = judged.withColumn("kept", ~F.col("base_failed") & good)
+    return judged.select(*[c for c in judged.columns if c not in carried], *[F.col(n).alias(c) for c, n in zip(carry, carried)])

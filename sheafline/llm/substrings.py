@@ -261,6 +261,4 @@ def remove_repeats(
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string, left string"
     schema += "".join(f", {n} {kinds[n]}" for n in carried)
     out = joined.select("doc_id", "text", "places", *carried).mapInArrow(_cut(length, carried), schema)
-    for old, new in zip(carried, carry):
-        out = out.withColumnRenamed(old, new)
-    return out
+    return out.select(*[c for c in out.columns if c not in carried], *[F.col(n).alias(c) for c, n in zip(carry, carried)])
