@@ -63,6 +63,27 @@ def checkpointed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bitmap(rows: DataFrame, key: str, bits: int) -> Column:
+    """The keys of a table (long numbers) as one array of ``bits`` bits, whatever their number.
+
+    A scalar subquery of fixed size. ``may_hold`` tests a key against it: all keys of
+    the table pass, of others few as long as the bitmap is sparse.
+    """
+    place = F.col(key).bitwiseAND(F.lit(bits - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
+    set_bits = rows.groupBy(F.shiftright(place, 6).alias("id")).agg(F.bit_or(bit).alias("bits"))
+    every = rows.sparkSession.range(bits // 64).join(set_bits, "id", "left")
+    line = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))))
+    return every.agg(line["bits"]).scalar()
+
+
+def may_hold(found: Column, key: Column, bits: int) -> Column:
+    """Whether a key's bit is set in a bitmap of that size."""
+    place = key.bitwiseAND(F.lit(bits - 1))
+    word = F.get(found, F.shiftright(place, 6).cast("int"))
+    return F.call_function("shiftright", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def list_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets (from 0) and flat int64 values of an Arrow list column without nulls."""
     if isinstance(column, pa.ChunkedArray):

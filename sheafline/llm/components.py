@@ -26,7 +26,8 @@ def components(edges: DataFrame) -> DataFrame:
     while state[0]:
         # Large star: link each larger neighbour to the smallest one.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        # Written out: the join meets two plain tables, and Spark can split a hub's rows.
+        least = checkpointed(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = checkpointed(large.distinct(), "large-star")
         # Small star: link the smaller neighbours and the node itself to the smallest one.

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bitmap, may_hold
+
 SHINGLE = 5
 #: Least similarity, as a fraction of whole numbers.
 THRESHOLD = (8, 10)
@@ -98,20 +100,6 @@ def items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text")
     return grams.withColumn("item_print", fingerprint("item_grams"))
 
 
-def _slot(gram: Column) -> Column:
-    return gram.bitwiseAND(F.lit(FILTER_BITS - 1))
-
-
-def _bitmap(grams: DataFrame) -> Column:
-    """The shingles of the benchmark as one array of ``FILTER_BITS`` bits, whatever their number."""
-    place = _slot(F.col("gram"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
-    set_bits = grams.groupBy(F.shiftright(place, 6).alias("id")).agg(F.bit_or(bit).alias("bits"))
-    every = grams.sparkSession.range(FILTER_BITS // 64).join(set_bits, "id", "left")
-    line = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))))
-    return every.agg(line["bits"]).scalar()
-
-
 def _similarity(a: str, b: str) -> tuple[Column, Column]:
     """Shared and total weight of two lists of shingles, where a shingle weighs as often as it stands."""
     once = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
@@ -153,9 +141,7 @@ def leaks(
     rows = rows.select("doc_id", "text_key", F.size("words").alias("n"), shingles("words").alias("grams"))
     # The outer form only keeps Spark from computing all shingles once more to skip short texts.
     placed = rows.select("doc_id", "text_key", "n", "grams", F.posexplode_outer("grams").alias("at", "gram"))
-    slot = _slot(F.col("gram"))
-    word = F.get(_bitmap(starts.select("gram").distinct()), F.shiftright(slot, 6).cast("int"))
-    known = F.call_function("shiftright", word, slot.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    known = may_hold(bitmap(starts.select("gram").distinct(), "gram", FILTER_BITS), F.col("gram"), FILTER_BITS)
     # What any window from here needs: the shingles of the longest item from this place, or the last ones.
     from_ = F.greatest(F.lit(0), F.least(F.col("at"), F.col("n") - longest))
     placed = placed.filter(known).select("doc_id", "text_key", "n", "at", "gram", from_.alias("from"), F.slice("grams", from_ + 1, longest).alias("near"))

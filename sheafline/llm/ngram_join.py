@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import ascii_lower, checkpointed, list_parts, mix, word_array
+from .common import ascii_lower, bitmap, checkpointed, list_parts, may_hold, mix, word_array
 from .components import components
 from .substrings import _chunks, window_hashes
 
@@ -47,6 +47,8 @@ BLOCK_GRAMS = 400_000
 BLOCK_TEXTS = 1500
 #: Texts of a large cluster that are in each of its blocks.
 PIVOTS = 16
+#: Bits of the bitmap that keeps texts outside all clusters out of the shuffle (4 MB).
+FILTER_BITS = 1 << 25
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -269,7 +271,10 @@ def _join_block(threshold: tuple[int, int]):
 
 def _links_of_blocks(docs: DataFrame, placed: DataFrame, length: int, threshold: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
     """Edges (u, v) inside the blocks; ``placed`` says (node, cluster, blocks) of the texts that take part."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text")).join(placed, "node")
+    placed = checkpointed(placed, "placed")
+    taking_part = bitmap(placed.select(F.xxhash64("node").alias("key")), "key", FILTER_BITS)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text"))
+    rows = rows.filter(may_hold(taking_part, F.xxhash64("node"), FILTER_BITS)).join(placed, "node")
     sets = _numbered(rows, "node", "text", "cluster", "blocks").mapInArrow(
         _with_sets(length), "doc_id bigint, grams array<bigint>, cluster bigint, blocks array<bigint>"
     )
