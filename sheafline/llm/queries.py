@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontamination, licenses, ngram_join, quality, sql, substrings, token_counts, url_filter
+from . import bpe, chat, decontamination, licenses, lm_scores, ngram_join, quality, sql, substrings, token_counts, url_filter
 from .common import ship
 
 TOKEN_LIMIT = 4096
@@ -58,6 +58,12 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, _read(spark, folder, "labels")))
 
 
+def op6_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    scored = lm_scores.backoff_scores(_read(spark, folder, "documents"))
+    # Sums of logarithms depend on their order in the last digits.
+    return scored.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_groups(_read(spark, folder, "documents"))
 
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_chat_perspectives": op4_chat_perspectives,
     "op5_quality_rules": op5_quality_rules,
+    "op6_lm_scores": op6_lm_scores,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_license_scan": op9_license_scan,
@@ -93,6 +100,7 @@ SQL: dict[str, str] = {
     "op2_decontamination": sql.decontamination(),
     "op3_url_filter": sql.url_filter(),
     "op4_chat_perspectives": sql.chat_perspectives(),
+    "op6_lm_scores": sql.lm_scores(),
     "op7_ngram_jaccard_join": sql.ngram_jaccard_join(),
     "op8_substring_dedup": sql.substring_dedup(),
     "op9_license_scan": sql.license_scan(),

@@ -156,3 +156,30 @@ pairs AS (
 found AS (SELECT *, n_both / (n_sum - n_both) AS similarity FROM pairs WHERE 10 * n_both >= 8 * (n_sum - n_both))
 SELECT doc_id, item_id, arg_max(start, (similarity, -start))::BIGINT AS start, max(similarity)::DOUBLE AS similarity
 FROM found GROUP BY doc_id, item_id"""
+
+
+def lm_scores(backoff: float = 0.4) -> str:
+    return f"""
+WITH docs AS (SELECT doc_id, {WORDS.replace("coalesce(text, '')", LOWER)} AS words FROM documents),
+tokens AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM docs),
+pairs AS (
+    SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM tokens),
+own1 AS (SELECT doc_id, word, count(*) AS c FROM tokens GROUP BY ALL),
+all1 AS (SELECT word, sum(c) AS c FROM own1 GROUP BY ALL),
+own2 AS (SELECT doc_id, before, word, count(*) AS c FROM pairs WHERE before IS NOT NULL GROUP BY ALL),
+all2 AS (SELECT before, word, sum(c) AS c FROM own2 GROUP BY ALL),
+others AS (
+    SELECT p.doc_id, p.place, a1.c - o1.c AS c1, b1.c - q1.c AS c0, a2.c - o2.c AS c2
+    FROM pairs p JOIN own1 o1 USING (doc_id, word) JOIN all1 a1 USING (word)
+    LEFT JOIN own1 q1 ON p.doc_id = q1.doc_id AND p.before = q1.word LEFT JOIN all1 b1 ON p.before = b1.word
+    LEFT JOIN own2 o2 ON p.doc_id = o2.doc_id AND p.before = o2.before AND p.word = o2.word
+    LEFT JOIN all2 a2 ON p.before = a2.before AND p.word = a2.word),
+scores AS (
+    SELECT doc_id, count(*) FILTER (WHERE c1 = 0) AS n_unseen,
+           sum(CASE WHEN c2 > 0 AND c0 > 0 THEN ln(c2) - ln(c0)
+                    ELSE CASE WHEN place > 0 THEN ln({backoff}) ELSE 0 END + ln(greatest(c1, 1))
+                         - ln(greatest((SELECT count(*) FROM tokens) - n, 1)) END) AS log_score
+    FROM others JOIN (SELECT doc_id, len(words) AS n FROM docs) USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_unseen, 0) AS n_unseen, round(coalesce(log_score, 0), 4)::DOUBLE AS log_score,
+       CASE WHEN len(words) > 0 THEN round(log_score / len(words), 4)::DOUBLE END AS mean_log_score
+FROM docs LEFT JOIN scores USING (doc_id)"""
