@@ -44,10 +44,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     n_chars is counted anew; a null text becomes an empty one.
     """
     ship(spark)
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    left = substrings.remove_repeats(docs, carry=tuple(rest)).withColumnRenamed("left", "text")
-    size = F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", size).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    left = substrings.remove_repeats(rows, carry=("row",))
+    size = F.when(F.col("n_removed") > 0, F.char_length("left").cast("bigint")).otherwise(F.col("row.n_chars"))
+    new = {"text": F.col("left"), "n_chars": size}
+    return left.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
