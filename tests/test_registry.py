@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+import suite.registry as registry
 from tools.compare import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
-ORACLE = entry.oracle_sql()
+ORACLE = registry.SQL
 # Trained models and long streams are run by the module tests and by tools/compare.py.
 SLOW = {"m2_model_scores", "m3_predictions", "m6_feature_importances", "s1_stream_clean", "p1_clean_twice"}
 
@@ -16,9 +17,9 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in registry.QUERIES if n not in SLOW])
 def test_query(spark, con, name):
-    ok, note = compare(spark, con, name, entry.queries()[name], ORACLE.get(name), FOLDER)
+    ok, note = compare(spark, con, name, registry.QUERIES[name], ORACLE.get(name), FOLDER)
     assert ok, note
 
 
@@ -28,5 +29,6 @@ def test_entry(spark):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLE) <= set(entry.queries())
-    assert set(entry.queries()) - set(ORACLE) == {"m2_model_scores", "m3_predictions", "m6_feature_importances"}
+    assert set(ORACLE) <= set(registry.QUERIES) <= set(entry.queries())
+    assert set(registry.QUERIES) - set(ORACLE) == {"m2_model_scores", "m3_predictions", "m6_feature_importances"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
