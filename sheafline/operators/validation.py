@@ -30,6 +30,12 @@ class Fields:
             return field_text(F.col(self._json), name)
         return F.col(name).cast("string") if name in self._types else F.lit(None).cast("string")
 
+    def whole(self, name: str) -> Column:
+        """As a whole number: typed numbers lose their fraction, text has to be a whole number as it stands; else null."""
+        if not self._json and self._types.get(name, "").startswith(_NUMERIC):
+            return F.col(name).try_cast("bigint")
+        return self.text(name).try_cast("bigint")
+
     def empty(self, name: str) -> Column:
         """Null, ``''``, and for typed columns 0, false and empty arrays and maps."""
         if self._json or name not in self._types:
@@ -141,7 +147,8 @@ def poll_errors(fields: Fields) -> Column:
     def shown(c: Column) -> Column:
         return F.coalesce(c.cast("string"), F.lit("None"))
 
-    cycle = text("cycle").try_cast("int")
+    # A number is cut to a whole one; a text has to be one.
+    cycle = fields.whole("cycle")
     rules.append((text("cycle").isNotNull() & cycle.isNull(), F.concat(F.lit("Cycle must be an integer: "), text("cycle"))))
     rules.append(
         (
@@ -168,7 +175,7 @@ def poll_errors(fields: Fields) -> Column:
                 F.concat(F.lit(f"Invalid {short}: "), shown(value), F.lit(". Must be between 0.0 and 100.0")),
             )
         )
-    candidate_id = text("candidate_id").try_cast("bigint")
+    candidate_id = fields.whole("candidate_id")
     rules.append(
         (text("candidate_id").isNotNull() & candidate_id.isNull(), F.concat(F.lit("Candidate ID must be an integer: "), text("candidate_id")))
     )
@@ -178,7 +185,7 @@ def poll_errors(fields: Fields) -> Column:
     rules.append(
         (
             fields.has("language") & F.coalesce(text("language") != "en", F.lit(True)),
-            F.concat(F.lit("Invalid language code: "), shown(text("language")), F.lit(". Expected 'en'")),
+            F.concat(F.lit("Invalid language code: "), shown(text("language")), F.lit(". Expected 'en' for FiveThirtyEight data")),
         )
     )
     estimate, trend = lenient_float(text("pct_estimate")), lenient_float(text("pct_trend_adjusted"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from ..operators.maintenance import CLEANED_KEY, new_rows
 from ..plans.clean_job import cleaned_rows
@@ -35,6 +35,15 @@ def earlier_batches(spark: SparkSession, folder: str, schema: StructType, batch_
 CLEANED_BATCH = StructType([f for f in CLEANED_DATA.fields if f.name != "id"])
 
 
+#: Folders the keys written so far are dealt into; a batch reads those it has keys in.
+KEY_BUCKETS = 256
+KEY_ROWS = StructType([f for f in CLEANED_DATA.fields if f.name in CLEANED_KEY]).add("bucket", IntegerType())
+
+
+def key_bucket(key: str = "raw_data_id") -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
+
 def start_clean(
     raw: DataFrame,
     out: str,
@@ -44,27 +53,34 @@ def start_clean(
     schema: dict,
     as_of: str,
     done: DataFrame | None = None,
-    watermark: str = "1 day",
-    time: str = "created_at",
+    keys: str | None = None,
 ) -> StreamingQuery:
     """Clean raw rows as their files arrive and stop when all are read.
 
-    Repeats within the watermark are dropped by state; older ones by an anti join
-    with the keys written so far (and with ``done``, rows cleaned by other jobs).
-    Batches are numbered by the checkpoint: one output folder belongs to one checkpoint.
+    A row is cleaned once, however late it comes: repeats in a batch fall to one
+    row per key, and keys of earlier batches (and of ``done``, rows cleaned by other
+    jobs) are left out by an anti join. The keys written lie beside the rows, in
+    ``keys`` (by default ``out`` with ``_keys``), a folder per hash bucket, and a
+    batch reads only the buckets it has rows in. Batches are numbered by the
+    checkpoint: one output folder belongs to one checkpoint.
     """
     spark = raw.sparkSession
-    fresh = raw.withWatermark(time, watermark).dropDuplicatesWithinWatermark(["id"])
+    keys = keys or f"{out.rstrip('/')}_keys"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        written = earlier_batches(spark, out, CLEANED_BATCH, batch_id).select(*CLEANED_KEY)
+        # At most KEY_BUCKETS numbers.
+        buckets = [r[0] for r in batch.select(key_bucket("id")).distinct().collect()]
+        written = earlier_batches(spark, keys, KEY_ROWS, batch_id).filter(F.col("bucket").isin(buckets)).select(*CLEANED_KEY)
         if done is not None:
             written = written.unionByName(done.select(*CLEANED_KEY))
         rows = cleaned_rows(batch, written, cleaner, schema_id, schema, as_of)
         write_batch_once(new_rows(rows, written, CLEANED_KEY, [F.col("title").asc()]), out, batch_id)
+        stored = spark.read.schema(CLEANED_BATCH).parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+        placed = stored.select(*CLEANED_KEY, key_bucket().alias("bucket")).repartition("bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{keys}/batch_id={batch_id}")
 
     return (
-        fresh.writeStream.foreachBatch(handle)
+        raw.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

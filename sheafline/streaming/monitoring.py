@@ -1,4 +1,4 @@
-"""Running figures over attempts and checks: windows with late data, and the newest row per target."""
+"""Running figures over attempts and checks: windows that take rows of any age, and the newest row per target."""
 
 from __future__ import annotations
 
@@ -22,16 +22,41 @@ def status_windows(events: DataFrame, status: str, duration: str, time: str = "c
     )
 
 
+def window_parts(events: DataFrame, status: str, duration: str, time: str = "created_at", width: str = "1 hour") -> DataFrame:
+    """Sums per (window, status) that can be added up over any parts of the events."""
+    return (
+        events.groupBy(F.window(time, width), F.col(status).alias("status"))
+        .agg(
+            F.count("*").alias("event_count"),
+            F.count_if(F.col(status) == "failed").alias("failed_count"),
+            F.sum(duration).alias("duration_sum"),
+            F.count(duration).alias("duration_count"),
+        )
+        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "status", "event_count", "failed_count", "duration_sum", "duration_count")
+    )
+
+
+def window_figures(parts: DataFrame) -> DataFrame:
+    """The figures of ``status_windows`` from the parts written so far."""
+    sums = [F.sum(c).alias(c) for c in ("event_count", "failed_count", "duration_sum", "duration_count")]
+    added = parts.groupBy("window_start", "window_end", "status").agg(*sums)
+    mean = F.when(F.col("duration_count") > 0, F.col("duration_sum") / F.col("duration_count"))
+    return added.withColumn("avg_duration", mean).drop("duration_sum", "duration_count")
+
+
 def start_status_windows(
-    events: DataFrame, out: str, checkpoint: str, status: str, duration: str, time: str = "created_at",
-    width: str = "1 hour", lateness: str = "1 hour",
+    events: DataFrame, out: str, checkpoint: str, status: str, duration: str, time: str = "created_at", width: str = "1 hour"
 ) -> StreamingQuery:
-    """Write each window once, when no row for it is accepted any more."""
-    closed = status_windows(events.withWatermark(time, lateness), status, duration, time, width)
+    """Write the sums of each micro-batch; ``window_figures`` adds them up.
+
+    No event is too late: a batch writes a part for every window it has rows of, and
+    no window has to be closed. The parts of a batch that is run again replace its
+    own.
+    """
     return (
-        closed.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
+        events.writeStream.foreachBatch(
+            lambda batch, batch_id: write_batch_once(window_parts(batch, status, duration, time, width), out, batch_id)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

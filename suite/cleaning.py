@@ -449,17 +449,47 @@ def _(v):
     return records.select("doc_id", F.array_join(errors, " / ").alias("errors"))
 
 
+_ESTIMATE, _TREND = "try_cast(pct_estimate AS DOUBLE)", "try_cast(pct_trend_adjusted AS DOUBLE)"
+
+
+def _as_shown(x):
+    """A number as Spark writes it: at least one decimal place."""
+    return f"CASE WHEN {x} = trunc({x}) THEN {x}::BIGINT || '.0' ELSE {x}::VARCHAR END"
+
+
 @query(
     "v3_poll_errors",
-    """SELECT order_id, line_no, (CASE WHEN cycle IS NULL THEN 1 ELSE 0 END + CASE WHEN cycle LIKE '%.0' THEN 1 ELSE 0 END
-            + CASE WHEN pct_estimate = 'n/a' THEN 1 ELSE 0 END
-            + CASE WHEN try_cast(pct_estimate AS DOUBLE) < 0 OR try_cast(pct_estimate AS DOUBLE) > 100 THEN 1 ELSE 0 END
-            + CASE WHEN abs(try_cast(pct_estimate AS DOUBLE) - try_cast(pct_trend_adjusted AS DOUBLE)) > 50 THEN 1 ELSE 0 END) AS error_count FROM raw_polls""",
+    f"""SELECT order_id, line_no, concat_ws(' / ', CASE WHEN cycle IS NULL THEN 'Missing required field: cycle' END,
+            CASE WHEN cycle LIKE '%.0' THEN 'Cycle must be an integer: ' || cycle END,
+            CASE WHEN pct_estimate = 'n/a' THEN 'Percentage estimate must be a number: n/a' END,
+            CASE WHEN {_ESTIMATE} < 0 OR {_ESTIMATE} > 100 THEN 'Invalid percentage estimate: ' || {_as_shown(_ESTIMATE)} || '. Must be between 0.0 and 100.0' END,
+            CASE WHEN abs({_ESTIMATE} - {_TREND}) > 50 THEN 'Large difference between estimate (' || {_as_shown(_ESTIMATE)} || ') and trend-adjusted ('
+                 || {_as_shown(_TREND)} || '): ' || {_as_shown(f'abs({_ESTIMATE} - {_TREND})')} || '%' END) AS errors FROM raw_polls""",
 )
 def _(v):
     records = v.raw_polls()
     # "2000.0" is text here, which is no whole number, as it is not for a plain int conversion.
-    return records.select("order_id", "line_no", F.size(validation.poll_errors(validation.Fields(records))).alias("error_count"))
+    return records.select("order_id", "line_no", F.array_join(validation.poll_errors(validation.Fields(records)), " / ").alias("errors"))
+
+
+@query(
+    "v3_typed_poll_errors",
+    """SELECT l_orderkey AS order_id, l_linenumber AS line_no,
+              CASE WHEN year(l_shipdate) % 2 = 1 THEN '' ELSE 'Invalid language code: fr. Expected ''en'' for FiveThirtyEight data' END AS errors FROM lineitem""",
+)
+def _(v):
+    """Typed columns: a cycle of 2016.0 is the whole number 2016."""
+    year = F.year("l_shipdate")
+    records = v.table("lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_no"),
+        year.cast("double").alias("cycle"),
+        F.lit("Ohio").alias("state"),
+        F.lit("A").alias("candidate_name"),
+        F.lit(40.5).alias("pct_estimate"),
+        F.when(year % 2 == 1, "en").otherwise("fr").alias("language"),
+    )
+    return records.select("order_id", "line_no", F.array_join(validation.poll_errors(validation.Fields(records)), " / ").alias("errors"))
 
 
 def _schema_case(v, version="2.0.0"):

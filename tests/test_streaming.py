@@ -33,25 +33,38 @@ def test_incremental_clean_is_repeat_safe(spark, tmp_path):
     assert sorted(r.raw_data_id for r in again.collect()) == [1, 2]
 
 
-def test_windows_on_stream_equal_batch_and_drop_late_rows(spark, tmp_path):
+def test_older_files_that_land_later_are_cleaned(spark, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("raw", "out", "mark"))
+    cleaner = cleaners.get_cleaner("wikipedia_cleaner", cleaned_at="now")
+    for ids, day in (([1, 2], 10), ([3, 4, 1], 1), ([5], 11), ([2, 6], 1)):
+        raw_rows(spark, ids, day).coalesce(1).write.mode("append").parquet(source)
+        stream = incremental.read_files(spark, source, raw_rows(spark, [0]).schema, files_per_batch=1)
+        incremental.start_clean(stream, out, mark, cleaner, 1, clean_job.ARTICLE_SCHEMA["schema"], "2024-02-01").awaitTermination()
+    assert sorted(r.raw_data_id for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4, 5, 6]
+    keys = spark.read.parquet(out + "_keys")
+    assert sorted(r.raw_data_id for r in keys.collect()) == [1, 2, 3, 4, 5, 6]
+    assert {r.bucket == r.own for r in keys.select("bucket", incremental.key_bucket().alias("own")).collect()} == {True}
+
+
+def test_windows_on_stream_equal_batch_with_late_rows(spark, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("ev", "out", "mark"))
     schema = "id bigint, status string, duration bigint, created_at timestamp"
     at = lambda h, m: dt.datetime(2024, 1, 1, h, m)
-    first = [(1, "failed", 5, at(0, 10)), (2, "success", 7, at(0, 20)), (3, "failed", 9, at(5, 0))]
-    late = [(4, "failed", 100, at(0, 30)), (5, "success", 1, at(9, 0))]
-
-    def run():
-        stream = incremental.read_files(spark, source, spark.createDataFrame(first, schema).schema)
+    files = [
+        [(1, "failed", 5, at(0, 10)), (2, "success", 7, at(0, 20)), (3, "failed", 9, at(5, 0))],
+        [(5, "success", 1, at(9, 0))],
+        [(4, "failed", 100, at(0, 30)), (6, "pending", None, at(0, 40))],
+    ]
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = incremental.read_files(spark, source, spark.createDataFrame(rows, schema).schema, files_per_batch=1)
         monitoring.start_status_windows(stream, out, mark, "status", "duration").awaitTermination()
 
-    spark.createDataFrame(first, schema).coalesce(1).write.parquet(source)
-    run()
-    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(source)
-    run()
-    got = {(r.window_start, r.status): (r.event_count, r.failed_count, r.avg_duration) for r in spark.read.parquet(out).collect()}
-    batch = monitoring.status_windows(spark.createDataFrame(first, schema), "status", "duration")
-    want = {(r.window_start, r.status): (r.event_count, r.failed_count, r.avg_duration) for r in batch.collect()}
-    assert got == want
+    def figures(frame):
+        return {(r.window_start, r.window_end, r.status): (r.event_count, r.failed_count, r.avg_duration) for r in frame.collect()}
+
+    batch = monitoring.status_windows(spark.createDataFrame(sum(files, []), schema), "status", "duration")
+    assert figures(monitoring.window_figures(spark.read.parquet(out))) == figures(batch)
 
 
 def test_newest_row_per_target(spark, tmp_path):
