@@ -61,7 +61,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         tokenizer = file.read()
-    rows = bpe.decode(bpe.encode(docs, tokenizer), tokenizer)
+    rows = bpe.round_trip(docs, tokenizer)
     return rows.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids", "decoded")
 
 

@@ -30,8 +30,8 @@ from .common import texts
 #: Characters below this one behave alike in all Unicode versions; texts with others take the file's own rules.
 PLAIN_BELOW = 0x250
 #: Entries of the tables a worker keeps between words and between batches.
-WORDS_KEPT = 200_000
-PAIRS_KEPT = 200_000
+WORDS_KEPT = 150_000
+PAIRS_KEPT = 100_000
 #: Rows of one output batch.
 ROWS = 500
 
@@ -269,3 +269,16 @@ def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col:
 
     rows = encoded.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
     return rows.mapInArrow(run, "doc_id bigint, ids binary, decoded string")
+
+
+def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker per task instead of two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, table = Bpe.of(tokenizer), Texts.of(tokenizer)
+        for batch in _small(batches):
+            packed = [bpe.encode(text.as_py()) for text in batch.column(1)]
+            arrays = [batch.column(0), pa.array(packed, pa.binary()), pa.array(map(table.decode, packed), pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "ids", "decoded"])
+
+    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids binary, decoded string")

@@ -28,7 +28,7 @@ from .quality import Batch, chunks
 ORDER = 2
 BACKOFF = 0.4
 #: Bytes of text in a block, and in a hash range, about.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 

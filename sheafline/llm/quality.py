@@ -29,7 +29,7 @@ BUCKETS = 1 << 16
 SCALE = 30.0
 KEEP_FROM = 0.5
 #: Code points that are worked on together.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(WINDOW, dtype=np.uint64) * _STEP
 

@@ -27,7 +27,7 @@ def _file(name: str) -> bytes:
 
 def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = _file("word_bpe_49k.json").decode()
-    rows = bpe.decode(bpe.encode(_read(spark, folder, "documents"), tokenizer), tokenizer)
+    rows = bpe.round_trip(_read(spark, folder, "documents"), tokenizer)
     return rows.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),

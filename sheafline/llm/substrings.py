@@ -26,7 +26,7 @@ from .common import checkpointed, list_parts, mix, word_array
 
 LENGTH = 50
 #: Words that are worked on together.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _WORD_AND_SPACE = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 
