@@ -1,9 +1,12 @@
 """Targets against a page catalogue: exact hits, suggestions, and ambiguous titles.
 
-Suggestions come from the most telling word of the wanted title: the one on the
-fewest pages of its language. The first pages with that word, in title order,
-are the suggestions. Only the first pages of each word are ever kept, and each
-target meets one word, so nothing grows with the number of (target, page) pairs.
+A title is suggested for a wanted one if it has at least ``OVERLAP`` of the wanted
+one's different words; suggestions go by the number of shared words, then by title,
+and are cut only after that. A title with that many words of the wanted one must
+have one of its rarest words, so each wanted title is looked up under just so many
+of its rarest words as the overlap demands; no suggestion is lost that way, and
+words that stand in many titles are looked up only for wanted titles made of such
+words.
 
 ``pages`` is read several times; give it as a stored table (see ``session.stage``)
 and not as a view that takes titles out of HTML.
@@ -12,12 +15,16 @@ and not as a view that takes titles out of HTML.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import words
 from ..vocab import MAX_RETRIES, RECURSIVE_LIMIT, SEARCH_MAX_RESULTS, SUGGESTIONS_SHOWN
 from .ordering import first_n_per_key, first_per_key
 
+#: Least share of a wanted title's words that a suggestion has, as a fraction of whole numbers.
+OVERLAP = (1, 3)
+
 
 def _folded(c: Column) -> Column:
     return F.lower(c)
@@ -29,41 +36,36 @@ def page_titles(pages: DataFrame) -> DataFrame:
     return first_per_key(keyed, ["language_code", "folded"], [F.col("page_id").asc()])
 
 
-def _title_words(pages: DataFrame) -> DataFrame:
-    titles = page_titles(pages)
-    return titles.select("language_code", F.explode(words(F.col("title"))).alias("word"), "title", "page_id")
-
-
-def word_counts(pages: DataFrame) -> DataFrame:
-    """Number of titles with each (language, word), counted before the shuffle."""
-    return _title_words(pages).groupBy("language_code", "word").agg(F.count("*").alias("title_count"))
-
-
-def word_titles(pages: DataFrame, size: int = SEARCH_MAX_RESULTS) -> DataFrame:
-    """The first ``size`` titles with each (language, word).
-
-    They are cut to ``size`` in each map task, so a word on every page costs no
-    more than a rare one.
-    """
-    order = [F.col("title").asc(), F.col("page_id").asc()]
-    first = first_n_per_key(_title_words(pages), ["language_code", "word"], order, size)
-    # At most ``size`` entries per word.
-    return first.groupBy("language_code", "word").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("_rank", "title", "page_id"))), lambda x: x["title"]).alias("titles")
-    )
-
-
-def search(queries: DataFrame, pages: DataFrame, size: int = SEARCH_MAX_RESULTS) -> DataFrame:
+def search(
+    queries: DataFrame, pages: DataFrame, size: int = SEARCH_MAX_RESULTS, overlap: tuple[int, int] = OVERLAP
+) -> DataFrame:
     """``language_code, folded, titles``: the search result list of each distinct query.
 
-    ``queries`` holds ``language_code, folded``. Queries without any known word are left out.
+    ``queries`` holds ``language_code, folded``. Queries without any result are left out.
     """
-    asked = queries.select("language_code", "folded").distinct()
-    by_word = asked.select("language_code", "folded", F.explode(words(F.col("folded"))).alias("word"))
-    known = by_word.join(word_counts(pages), ["language_code", "word"])
-    telling = first_per_key(known, ["language_code", "folded"], [F.col("title_count").asc(), F.col("word").asc()])
-    found = telling.select("language_code", "folded", "word").join(word_titles(pages, size), ["language_code", "word"])
-    return found.select("language_code", "folded", "titles")
+    num, den = overlap
+    titles = page_titles(pages).withColumn("title_words", words(F.col("title")))
+    by_word = titles.select("language_code", F.explode("title_words").alias("word"), "title", "page_id", "title_words")
+    counts = by_word.groupBy("language_code", "word").agg(F.count("*").alias("title_count"))
+
+    asked = queries.select("language_code", "folded").distinct().withColumn("asked_words", words(F.col("folded")))
+    need = F.greatest(F.ceil(F.size("asked_words") * num / den), F.lit(1)).cast("int")
+    each = asked.select("language_code", "folded", "asked_words", need.alias("need"), F.explode("asked_words").alias("word"))
+    known = each.join(counts, ["language_code", "word"], "left")
+    rarest = W.partitionBy("language_code", "folded").orderBy(F.coalesce("title_count", F.lit(0)), "word")
+    prefix = known.withColumn("place", F.row_number().over(rarest))
+    prefix = prefix.filter(F.col("title_count").isNotNull() & (F.col("place") <= F.size("asked_words") - F.col("need") + 1))
+
+    found = prefix.select("language_code", "folded", "asked_words", "need", "word").join(by_word, ["language_code", "word"])
+    shared = F.size(F.array_intersect("asked_words", "title_words"))
+    found = found.withColumn("shared", shared).filter("shared >= need")
+    # A pair met under several words is one.
+    pairs = found.groupBy("language_code", "folded", "page_id").agg(F.first("title").alias("title"), F.first("shared").alias("shared"))
+    order = [F.col("shared").desc(), F.col("title").asc(), F.col("page_id").asc()]
+    first = first_n_per_key(pairs, ["language_code", "folded"], order, size)
+    # At most ``size`` entries per query.
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("_rank", "title"))), lambda x: x["title"])
+    return first.groupBy("language_code", "folded").agg(listed.alias("titles"))
 
 
 def check_targets(targets: DataFrame, pages: DataFrame, size: int = SEARCH_MAX_RESULTS, shown: int = SUGGESTIONS_SHOWN) -> DataFrame:

@@ -364,25 +364,18 @@ PAGE_TARGETS_SQL = """page_targets AS (
 titles AS (
     SELECT language_code, lower(title) AS folded, arg_min(title, page_id) AS title, min(page_id) AS page_id
     FROM page_catalogue GROUP BY language_code, lower(title)),
-title_words AS (
-    SELECT DISTINCT language_code, unnest(regexp_extract_all(lower(title), '[^\\s]+')) AS word, title, page_id FROM titles),
-ranked_words AS (
-    SELECT *, count(*) OVER (PARTITION BY language_code, word) AS title_count,
-           row_number() OVER (PARTITION BY language_code, word ORDER BY title COLLATE C, page_id) AS place FROM title_words),
 misses AS (
     SELECT DISTINCT t.language_code, lower(t.collection_name) AS folded FROM page_targets t
     WHERE NOT EXISTS (SELECT 1 FROM titles x WHERE x.language_code = t.language_code AND x.folded = lower(t.collection_name))),
-asked AS (SELECT DISTINCT language_code, folded, unnest(regexp_extract_all(folded, '[^\\s]+')) AS word FROM misses),
-telling AS (
-    SELECT a.language_code, a.folded, a.word,
-           row_number() OVER (PARTITION BY a.language_code, a.folded ORDER BY r.title_count, a.word) AS pick
-    FROM asked a JOIN (SELECT DISTINCT language_code, word, title_count FROM ranked_words) r
-      ON a.language_code = r.language_code AND a.word = r.word),
+compared AS (
+    SELECT m.language_code, m.folded, t.title, t.page_id, len(list_distinct(regexp_extract_all(m.folded, '[^\\s]+'))) AS n_words,
+           len(list_intersect(regexp_extract_all(m.folded, '[^\\s]+'), regexp_extract_all(lower(t.title), '[^\\s]+'))) AS shared
+    FROM misses m JOIN titles t ON m.language_code = t.language_code),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY language_code, folded ORDER BY shared DESC, title, page_id) AS place
+    FROM compared WHERE shared > 0 AND 3 * shared >= n_words),
 found AS (
-    SELECT t.language_code, t.folded, list(r.title ORDER BY r.place) AS titles
-    FROM telling t JOIN ranked_words r ON t.language_code = r.language_code AND t.word = r.word
-    WHERE t.pick = 1 AND r.place <= 10 GROUP BY t.language_code, t.folded)"""
-PAGE_TARGETS_SQL = PAGE_TARGETS_SQL.replace(" COLLATE C", "")
+    SELECT language_code, folded, list(title ORDER BY place) AS titles FROM ranked WHERE place <= 10 GROUP BY language_code, folded)"""
 
 
 @query(

@@ -1,3 +1,4 @@
+import random
 import datetime as dt
 
 import pytest
@@ -169,8 +170,8 @@ def test_checks_and_resolution_order(spark):
     )
     got = {r.collection_target_id: r for r in resolve.check_targets(targets, pages).collect()}
     assert got[1].test_status == "success" and got[1].search_results_found == ["The War"] and got[1].error_message == ""
-    # "peace" is on one page and "war" on two, so "peace" leads.
-    assert got[2].test_status == "failed_with_suggestions" and got[2].search_results_found == ["Peace"]
+    # Each shares one of three words, so titles go by name.
+    assert got[2].test_status == "failed_with_suggestions" and got[2].search_results_found == ["Peace", "The Art of War", "The War"]
     assert got[3].test_status == "failed" and got[3].search_results_found == []
     assert got[4].test_status == "failed"
     assert len(got[5].search_results_found) == 5 and "10 search suggestions" in got[5].error_message
@@ -178,6 +179,23 @@ def test_checks_and_resolution_order(spark):
     assert found == {1: ("exact", 2), 2: ("search", 5), 3: ("none", None), 4: ("none", None), 5: ("search", 1)}
 
 
+def test_suggestions_go_by_shared_words_and_are_complete(spark):
+    r = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(12)] + ["the"] * 6
+    titles = {" ".join(r.choice(vocabulary) for _ in range(r.randint(1, 5))) for _ in range(150)}
+    titles |= {"river bridge of stone", "Zeta river bridge", "Alpha zebra", "Beta zebra"}
+    pages = spark.createDataFrame([(i, "en", t) for i, t in enumerate(sorted(titles))], "page_id bigint, language_code string, title string")
+    wanted = {" ".join(r.choice([*vocabulary, "new"]) for _ in range(r.randint(1, 6))) for _ in range(80)} | {"old river bridge stone zebra"}
+    asked = spark.createDataFrame([("en", w) for w in wanted], "language_code string, folded string")
+    got = {x.folded: x.titles for x in resolve.search(asked, pages).collect()}
+    for query in wanted:
+        own = set(query.split())
+        shared = {t: len(own & set(t.lower().split())) for t in titles}
+        best = sorted((t for t, n in shared.items() if n and 3 * n >= len(own)), key=lambda t: (-shared[t], t))
+        assert got.get(query, []) == best[:10]
+    assert got["old river bridge stone zebra"][:2] == ["river bridge of stone", "Zeta river bridge"]
+
+
 def test_aliases_in_order_and_depth(spark):
     pages = spark.createDataFrame(PAGES, "page_id bigint, language_code string, title string")
     rows = [
