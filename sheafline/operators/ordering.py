@@ -45,6 +45,10 @@ def latest_per_key(df: DataFrame, keys: list[str], time: str = "created_at", key
     return first_per_key(df, keys, [F.col(time).desc(), F.col(key).desc()])
 
 
+#: Rows that are numbered by one task, about.
+BUCKET_ROWS = 100_000
+
+
 def stable_number(c: Column) -> Column:
     """A value → 32-bit number that is the same in every run (from MD5)."""
     return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("bigint")
@@ -57,10 +61,11 @@ def assign_ids(
 
     Rows fall into hash buckets of their unique key; each bucket is numbered on
     its own and shifted by the sizes of the earlier ones, so no task orders more
-    than a bucket. By default there are four buckets per shuffle partition.
+    than a bucket. By default the rows are counted, and a bucket has about
+    ``BUCKET_ROWS`` of them at any size.
     """
     if buckets is None:
-        buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(1, -(-df.count() // BUCKET_ROWS))
     first = start if isinstance(start, Column) else F.lit(start)
     keyed = df.withColumns({"_key": unique_key, "_bucket": stable_number(unique_key) % buckets})
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))

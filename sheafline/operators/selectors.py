@@ -10,21 +10,16 @@ from pyspark.sql import functions as F
 from ..functions.jsonio import field_text, keys
 from .ordering import first_per_key, listed
 
-SHORT_LIST = 1000
-
 
 def by_ids(df: DataFrame, ids: list[int] | DataFrame, col: str = "id") -> DataFrame:
     """Rows whose key is in the list; an empty list gives nothing.
 
-    Short lists become an ``IN`` predicate; a DataFrame of ids a semi join.
+    A list, as typed by hand, becomes an ``IN`` predicate that reaches the scan; ids
+    that come from data stay a DataFrame and become a semi join.
     """
     if isinstance(ids, DataFrame):
         wanted = ids.select(F.col(ids.columns[0]).alias("_id"))
         return df.join(wanted, df[col] == wanted["_id"], "left_semi")
-    if len(ids) > SHORT_LIST:
-        spark = df.sparkSession
-        body = ",".join(str(int(i)) for i in dict.fromkeys(ids))
-        return by_ids(df, spark.sql(f"SELECT explode(array({body})) AS id"), col)
     return df.filter(F.col(col).isin([int(i) for i in ids]) if ids else F.lit(False))
 
 

@@ -213,13 +213,13 @@ def duplicate_titles(raw: DataFrame) -> DataFrame:
 def duplicate_title_ids(raw: DataFrame, width: int = 10_000) -> DataFrame:
     """All row ids of every duplicated title, as sorted arrays in blocks of bounded size.
 
-    Rows are grouped into blocks first, so that a title held by a third of all
-    rows never meets in one task; a block alone with its title drops out in the
-    join with the duplicated titles.
+    Titles are counted first, which the map tasks combine; only rows of duplicated
+    titles are made into arrays. Their blocks are cut by id range, so that a title
+    held by a third of all rows never meets in one task.
     """
-    blocks = id_blocks(raw.select("title", "id"), ["title"], "id", width)
-    totals = blocks.groupBy("title").agg(F.sum(F.size("ids")).alias("_n")).filter(F.col("_n") > 1).select("title")
-    return blocks.join(totals, "title", "left_semi").withColumnRenamed("ids", "raw_data_ids")
+    repeated = raw.groupBy("title").agg(F.count("*").alias("_n")).filter(F.col("_n") > 1).select("title")
+    rows = raw.select("title", "id").join(repeated, "title", "left_semi")
+    return id_blocks(rows, ["title"], "id", width).withColumnRenamed("ids", "raw_data_ids")
 
 
 def collection_status_counts(targets: DataFrame, types: DataFrame, statuses: DataFrame) -> DataFrame:
@@ -259,6 +259,13 @@ def collector_status(targets: DataFrame, types: DataFrame, collector_id: int, st
     return with_name(counts, types, "collection_type_id", "collection_type", missing="unknown").drop("collection_type_id")
 
 
+def open_targets(targets: DataFrame, types: DataFrame, collector_id: int, status_id: int) -> DataFrame:
+    """Open targets of a collector, one row each: type, language, name and id."""
+    rows = targets.filter((F.col("collector_name_id") == collector_id) & (F.col("collection_status_id") == status_id))
+    named = with_name(rows.select("collection_type_id", "language_code", "collection_name", "id"), types, "collection_type_id", "collection_type", missing="unknown")
+    return named.select("collection_type", "language_code", "collection_name", "id")
+
+
 def open_types(targets: DataFrame, types: DataFrame, collector_id: int, status_id: int) -> DataFrame:
     """Distinct type names with open targets."""
     return collector_status(targets, types, collector_id, status_id).select("collection_type").distinct()

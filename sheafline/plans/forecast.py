@@ -120,9 +120,9 @@ def is_swing(state: Column) -> Column:
     return state.isin(SWING).cast("int")
 
 
-def normalised(df: DataFrame, column: str, fallback: float) -> Column:
+def normalised(df: DataFrame, column: str, fallback: float, largest: Column | None = None) -> Column:
     """``column`` over its largest value; ``fallback`` when that is not positive."""
-    largest = df.select(F.max(column)).scalar()
+    largest = df.select(F.max(column)).scalar() if largest is None else largest
     return F.when(largest > 0, F.col(column) / largest).otherwise(F.lit(fallback))
 
 
@@ -146,12 +146,14 @@ def features(
         averaged = trailing_means(window, keys, DAYS, row_id, target, windows, tie, block_rows)
     else:
         averaged = trailing_means_by_days(window, keys, DAYS, target, windows)
+    measures = ["data_quality_score", "sum_influence"]
+    largest = window.select(F.struct(*[F.max(c).alias(c) for c in measures])).scalar()
     return averaged.join(state_codes(window), STATE).withColumns(
         {
             "days_since_poll_norm": F.col(DAYS) / F.lit(365),
             "weeks_since_poll": F.col(DAYS) / F.lit(7),
-            "quality_score_norm": normalised(window, "data_quality_score", 0.5),
-            "influence_norm": normalised(window, "sum_influence", 1.0),
+            "quality_score_norm": normalised(window, "data_quality_score", 0.5, largest["data_quality_score"]),
+            "influence_norm": normalised(window, "sum_influence", 1.0, largest["sum_influence"]),
             "state_lean": state_lean(F.col(STATE)),
             "is_swing_state": is_swing(F.col(STATE)),
         }
@@ -239,13 +241,15 @@ def fit_models(
     )
     slim = assembled.select(CANDIDATE, "features", "label", "_held", *(["poll_weight"] if weighted else [])).persist()
     try:
-        counts = sample_counts(slim, least).orderBy(CANDIDATE).collect()
+        held = slim.groupBy(CANDIDATE).agg(F.count("*").alias("n_samples"), F.count_if("_held").alias("n_held"))
+        counts = held.filter(F.col("n_samples") >= least).orderBy(CANDIDATE).collect()
         judge = RegressionEvaluator(metricName="r2")
         models = []
         for row in counts:
             own = slim.filter(F.col(CANDIDATE) == row[CANDIDATE])
             train, test = own, own
-            if row["n_samples"] > split_above:
+            # Without a row on either side there is nothing to hold out: the train score counts.
+            if row["n_samples"] > split_above and 0 < row["n_held"] < row["n_samples"]:
                 train, test = own.filter(~F.col("_held")), own.filter("_held")
             trainer = GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed)
             if weighted:

@@ -201,13 +201,21 @@ class ModelViews:
             F.col("l_partkey").alias("collection_attempt_id"), F.col("l_orderkey").alias("run_collection_metadata_id")
         ).distinct()
 
-    def polls(self) -> DataFrame:
-        """Cleaned polls: one per line item, in the state of its supplier."""
+    def polls(self, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
+        """Cleaned polls: one per line item, in the state of its supplier.
+
+        A range of days becomes a predicate on the stored time, which reaches the scan.
+        """
         suppliers = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
         nations = self.table("nation").select("n_nationkey", "n_name")
         lines = self.table("lineitem").select(
             "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_quantity", "l_discount", "l_tax", "l_shipdate"
         )
+        kind = lines.schema["l_shipdate"].dataType
+        if first_day is not None:
+            lines = lines.filter(F.col("l_shipdate") >= F.lit(first_day).cast(kind))
+        if last_day is not None:
+            lines = lines.filter(F.col("l_shipdate") < F.date_add(F.lit(last_day).cast("date"), 1).cast(kind))
         return lines.join(suppliers, "l_suppkey").join(nations, "n_nationkey").select(
             (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("poll_id"),
             F.year("l_shipdate").alias("cycle"),

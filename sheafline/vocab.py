@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Status, type and error names stored in the lookup tables.
@@ -105,6 +107,8 @@ def sql_literal(value: object) -> str:
     """A SQL literal for a vocabulary value."""
     if value is None:
         return "NULL"
+    if isinstance(value, float) and not math.isfinite(value):
+        return f"CAST('{value}' AS DOUBLE)"
     if isinstance(value, (int, float)):
         return repr(value)
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"

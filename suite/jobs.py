@@ -8,7 +8,7 @@ from sheafline.operators import maintenance as mt
 from sheafline.operators.ordering import first_per_key
 from sheafline.operators.trailing import trailing_means, trailing_means_by_days
 from sheafline.plans import clean_job, cleaners, collect_job, forecast
-from sheafline.session import shared_dir
+from sheafline.session import shared_dir, stage
 from sheafline.sources.poll_files import target_names
 from sheafline.streaming import incremental, monitoring
 
@@ -133,7 +133,7 @@ def _(v):
 
 @query(
     "w9_append_rows",
-    f"""SELECT (SELECT max(id) FROM collection_attempts) + row_number() OVER (ORDER BY {BUCKET.format('id')}, id) AS id, id AS collection_target_id,
+    f"""SELECT (SELECT max(id) FROM collection_attempts) + row_number() OVER (ORDER BY {BUCKET.format('id').replace('% 64', '% (SELECT ceil(count(*) / 100000.0)::BIGINT FROM collection_targets)')}, id) AS id, id AS collection_target_id,
                language_code, collection_name AS search_term_used, 1::BIGINT AS attempt_status_id, NULL::BIGINT AS error_type_id, NULL::VARCHAR AS error_message, created_at
         FROM collection_targets""",
 )
@@ -142,7 +142,7 @@ def _(v):
         F.col("id").alias("collection_target_id"), "language_code", F.col("collection_name").alias("search_term_used"),
         F.lit(1).cast("bigint").alias("attempt_status_id"), "created_at",
     )
-    return mt.append_rows(batch, v.collection_attempts(), F.col("collection_target_id"), buckets=64)
+    return mt.append_rows(batch, v.collection_attempts(), F.col("collection_target_id"))
 
 
 # Cleaning, collecting and checking jobs
@@ -292,7 +292,12 @@ _WINDOW = f"""poll_window AS (
 
 
 def _window(v):
-    return forecast.poll_window(v.polls(), CANDIDATES, TODAY, CYCLE, 60)
+    return forecast.poll_window(v.polls("2001-09-05", TODAY), CANDIDATES, TODAY, CYCLE, 60)
+
+
+def _stored_window(v):
+    """For what reads the window more than once."""
+    return stage(_window(v), "poll-window")
 
 
 @query(
@@ -414,26 +419,44 @@ def _(v):
         round(sum_influence / (SELECT max(sum_influence) FROM poll_window), 6) AS influence_norm, round(time_weight, 6) AS time_weight, 0 AS state_lean, 0 AS is_swing_state FROM poll_window""",
 )
 def _(v):
-    table = forecast.features(_window(v), CYCLE, "poll_id", ["pct_estimate"])
+    table = forecast.features(_stored_window(v), CYCLE, "poll_id", ["pct_estimate"])
     rounded = [F.round(c, 6).alias(c) if c not in ("state_encoded", "state_lean", "is_swing_state") else F.col(c) for c in forecast.FEATURES]
     return table.select("poll_id", "pct_estimate", *rounded)
 
 
-def _models(v, trees: int):
-    table = forecast.features(_window(v), CYCLE, "poll_id", ["pct_estimate"])
-    return forecast.fit_models(table, CYCLE, trees=trees)
+_FITTED = {}
+
+
+def _models(v):
+    """The full models of 100 trees, fitted once per application and folder."""
+    key = (v.spark.sparkContext.applicationId, v.folder)
+    if key not in _FITTED:
+        table = forecast.features(_stored_window(v), CYCLE, "poll_id", ["pct_estimate"])
+        _FITTED[key] = forecast.fit_models(table, CYCLE)
+    return _FITTED[key]
+
 
+_FITTED_SQL = f"WITH {_WINDOW}, fitted AS (SELECT cleaned_candidate_name AS candidate, count(*) AS n_samples FROM poll_window GROUP BY 1 HAVING count(*) >= 10)"
 
-@query("m2_model_scores")
+
+@query("m2_model_scores", f"{_FITTED_SQL} SELECT candidate, n_samples, true AS train_fits, true AS test_at_most_one FROM fitted")
 def _(v):
-    return forecast.model_scores(v.spark, _models(v, 10))
+    scores = forecast.model_scores(v.spark, _models(v))
+    at_most_one = F.col("test_r2").isNull() | F.isnan("test_r2") | (F.col("test_r2") <= 1)
+    return scores.select("candidate", "n_samples", F.col("train_r2").between(0, 1).alias("train_fits"), at_most_one.alias("test_at_most_one"))
+
+
+_IN_RANGE = "true AS in_range"
 
 
-@query("m3_predictions")
+@query(
+    "m3_predictions",
+    f"""WITH {_SERVING} SELECT cleaned_state, cleaned_candidate_name, {_IN_RANGE} FROM serving
+        WHERE cleaned_candidate_name IN (SELECT cleaned_candidate_name FROM poll_window GROUP BY 1 HAVING count(*) >= 10)""",
+)
 def _(v):
-    models = _models(v, 3)
     serving = forecast.serving_features(_serving(v), forecast.state_codes(_window(v)))
-    return forecast.predict(models, serving)
+    return forecast.predict(_models(v), serving).select("cleaned_state", "cleaned_candidate_name", F.col("support").between(0, 100).alias("in_range"))
 
 
 @query(
@@ -508,9 +531,10 @@ def _(v):
     return forecast.state_shares(_predictions(v), _outcomes(v), DRAWS).withColumn("win_share", F.round("win_share", 6))
 
 
-@query("m6_feature_importances")
+@query("m6_feature_importances", f"{_FITTED_SQL} SELECT candidate, 11::BIGINT AS n_features, true AS adds_up FROM fitted")
 def _(v):
-    return forecast.feature_importances(v.spark, _models(v, 3))
+    rows = forecast.feature_importances(v.spark, _models(v)).groupBy("candidate")
+    return rows.agg(F.count("*").alias("n_features"), (F.abs(F.sum("importance") - 1) < 1e-6).alias("adds_up"))
 
 
 @query(

@@ -210,6 +210,15 @@ def _(v):
     return st.collector_status(v.collection_targets(), v.collection_types(), 4, 1)
 
 
+@query(
+    "d11_open_targets",
+    """SELECT t.name AS collection_type, c.language_code, c.collection_name, c.id FROM collection_targets c JOIN collection_types t ON c.collection_type_id = t.id
+       WHERE collector_name_id = 4 AND collection_status_id = 1""",
+)
+def _(v):
+    return st.open_targets(v.collection_targets(), v.collection_types(), 4, 1)
+
+
 @query("d12_open_types", "SELECT DISTINCT t.name AS collection_type FROM collection_targets c JOIN collection_types t ON c.collection_type_id = t.id WHERE collector_name_id = 4 AND collection_status_id = 1")
 def _(v):
     return st.open_types(v.collection_targets(), v.collection_types(), 4, 1)
