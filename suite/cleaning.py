@@ -9,6 +9,7 @@ from sheafline.operators import json_schema, validation
 from sheafline.operators.lookups import same_schema
 from sheafline.plans import cleaners
 from sheafline.plans.clean_job import POLL_SCHEMA
+from sheafline.schemas import CORRUPT, POLL_CSV_LAYOUTS, POLL_MODEL_COLUMNS
 from sheafline.session import shared_dir
 from sheafline.sources import pages, poll_files, tables
 from sheafline.vocab import MOJIBAKE_PATTERNS
@@ -45,6 +46,32 @@ def _(v):
     return poll_files.read_poll_csv(v.spark, path, "2020-2024").drop("_corrupt_record")
 
 
+_OLD_FIRST, _OLD_LAST = POLL_MODEL_COLUMNS[0], POLL_MODEL_COLUMNS[-1]
+_BROKEN = "2016,Ohio,2016-11-01,A,1,not a number,40.5"
+
+
+@query(
+    "a1_poll_csv_old",
+    f"""SELECT cycle, cleaned_state AS state, strftime(model_date, '%Y-%m-%d') AS modeldate, cleaned_candidate_name AS candidate_name, 1::BIGINT AS candidate_id,
+               pct_estimate, pct_trend_adjusted, pct_estimate * 2 AS first_model_value, sum_influence AS last_model_value, NULL::VARCHAR AS broken FROM polls
+        UNION ALL SELECT 2016, 'Ohio', '2016-11-01', 'A', 1, NULL, 40.5, NULL, NULL, '{_BROKEN}'""",
+)
+def _(v):
+    """The older layout with its model-internal columns, in two files; one has a broken line."""
+    names = [f.name for f in POLL_CSV_LAYOUTS["1968-2016"].fields if f.name != CORRUPT]
+    polls = v.polls()
+    known = {
+        "cycle": F.col("cycle"), "state": F.col("cleaned_state"), "modeldate": F.date_format("model_date", "yyyy-MM-dd"),
+        "candidate_name": F.col("cleaned_candidate_name"), "candidate_id": F.lit(1), "pct_estimate": F.col("pct_estimate"),
+        "pct_trend_adjusted": F.col("pct_trend_adjusted"), _OLD_FIRST: F.col("pct_estimate") * 2, _OLD_LAST: F.col("sum_influence"),
+    }
+    path = shared_dir(v.spark, "old-poll-csv")
+    polls.select(*[known.get(n, F.lit(None).cast("string")).alias(n) for n in names]).write.option("header", True).csv(path)
+    v.spark.range(1).select(F.lit(",".join(names) + "\n" + _BROKEN)).write.mode("append").text(path)
+    rows = poll_files.read_poll_csv(v.spark, path, "1968-2016")
+    return rows.select(*names[:4], *names[4:7], F.col(_OLD_FIRST).alias("first_model_value"), F.col(_OLD_LAST).alias("last_model_value"), F.col(CORRUPT).alias("broken"))
+
+
 @query("a2_full_table", "SELECT * FROM orders")
 def _(v):
     return tables.read_table(v.spark, f"{v.folder}/orders.parquet")

@@ -267,6 +267,25 @@ def _(v):
     return collect_job.check_job(_full_targets(v), v.stored_page_catalogue(), None, AS_OF).targets.select("id", "collection_status_id")
 
 
+@query(
+    "p3_check_rows",
+    f"""WITH {PAGE_TARGETS_SQL}
+        SELECT t.id AS collection_target_id, t.collection_name AS search_term_used, t.language_code,
+               CASE WHEN x.title IS NOT NULL THEN 'success' WHEN f.titles IS NOT NULL THEN 'failed_with_suggestions' ELSE 'failed' END AS test_status,
+               to_json(CASE WHEN x.title IS NOT NULL THEN [x.title] ELSE coalesce(f.titles[1:5], []) END)::VARCHAR AS search_results_found
+        FROM page_targets t LEFT JOIN titles x ON x.language_code = t.language_code AND x.folded = lower(t.collection_name)
+        LEFT JOIN found f ON f.language_code = t.language_code AND f.folded = lower(t.collection_name)""",
+)
+def _(v):
+    checks = collect_job.check_job(_full_targets(v), v.stored_page_catalogue(), None, AS_OF).checks
+    return checks.select("collection_target_id", "search_term_used", "language_code", "test_status", "search_results_found")
+
+
+@query("p2_retry_targets", "SELECT id, collection_name FROM collection_targets WHERE collection_status_id IN (3, 4)")
+def _(v):
+    return collect_job.retry_targets(v.collection_targets(), ["failed", "check_failed"]).select("id", "collection_name")
+
+
 @query("u1_registered_cleaner", f"SELECT order_id * 8 + line_no AS id, {_CANDIDATE} AS cleaned_candidate_name FROM raw_polls")
 def _(v):
     cleaner = cleaners.get_cleaner("fivethirtyeight_cleaner", cleaned_at=AS_OF, current_year=2024)
