@@ -7,8 +7,10 @@ per part: the part's content. Sets that share a key are candidates, and candidat
 that hang together form a cluster. The number of parts depends on a class of sizes;
 a set also writes keys for the next class if a partner may be there. Parts that are
 empty agree without saying much, so there are ``spare`` parts besides; a set with
-more empty parts than that writes keys for these too. No pair above the threshold
-is lost, and a passage that many texts share makes no candidates.
+that many empty parts or more writes keys for these too. Two linked sets then share
+two keys at least. Few sets with a key are paired, and pairs that share one key only
+(often a single n-gram that stands in both by chance) are left out; many sets with a
+key are all candidates. No pair above the threshold is lost.
 
 How they are joined. The sets of a cluster go to blocks of bounded size. In a block
 all sets share one order of n-grams, most frequent first, and form a prefix tree.
@@ -47,6 +49,8 @@ BLOCK_GRAMS = 400_000
 BLOCK_TEXTS = 1500
 #: Texts of a large cluster that are in each of its blocks.
 PIVOTS = 16
+#: Sets with a key are paired up to this number.
+FEW = 8
 #: Bits of the bitmap that keeps texts outside all clusters out of the shuffle (4 MB).
 FILTER_BITS = 1 << 25
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -133,7 +137,7 @@ class Parts:
         name = mix((np.repeat(kind, parts) << 40).astype(np.uint64) + number.astype(np.uint64))
         key = mix(np.where(held > 0, mix(total), np.uint64(3)) + name)
         empty = np.bincount(owner[held == 0], minlength=len(rows))
-        written = (held > 0) | (empty > self.spare[kind])[owner]
+        written = (held > 0) | (empty >= self.spare[kind])[owner]
         return rows[owner[written]], key[written]
 
 
@@ -282,6 +286,19 @@ def _links_of_blocks(docs: DataFrame, placed: DataFrame, length: int, threshold:
     return spread.groupBy("block").applyInArrow(_join_block(threshold), "u bigint, v bigint")
 
 
+def _candidates(keys: DataFrame) -> DataFrame:
+    """Edges (doc_id, least) between sets that share two keys, or one key with many others."""
+    same = W.partitionBy("key")
+    sized = keys.select("key", "doc_id", F.count("*").over(same).alias("size"), F.min("doc_id").over(same).alias("least")).filter("size > 1")
+    many = sized.filter((F.col("size") > FEW) & (F.col("doc_id") > F.col("least"))).select("doc_id", "least").distinct()
+    # At most FEW - 1 numbers.
+    before = F.collect_list("doc_id").over(same.orderBy("doc_id").rowsBetween(1 - FEW, -1))
+    pairs = sized.filter(F.col("size") <= FEW).select("doc_id", before.alias("before"))
+    pairs = pairs.select("doc_id", F.explode("before").alias("least")).filter("doc_id > least")
+    twice = pairs.groupBy("doc_id", "least").agg(F.count("*").alias("keys")).filter("keys > 1").select("doc_id", "least")
+    return many.unionByName(twice)
+
+
 def jaccard_groups(
     docs: DataFrame,
     length: int = WORDS,
@@ -307,8 +324,7 @@ def jaccard_groups(
 
     keys = _numbered(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
     keys = keys.mapInArrow(_write_keys(length, threshold), "key bigint, doc_id bigint")
-    least = F.first("doc_id").over(W.partitionBy("key").orderBy("doc_id"))
-    stars = keys.select("doc_id", least.alias("least")).filter("doc_id > least").distinct()
+    stars = _candidates(keys)
     left, right = (first.select(F.col("doc_id").alias(c), F.col("first").alias(f)) for c, f in (("doc_id", "u"), ("least", "v")))
     candidates = components(stars.join(left, "doc_id").join(right, "least").select("u", "v"))
 
