@@ -6,11 +6,12 @@ into more than H parts, so two such sets agree in a whole part. A set writes one
 per part: the part's content. Sets that share a key are candidates, and candidates
 that hang together form a cluster. The number of parts depends on a class of sizes;
 a set also writes keys for the next class if a partner may be there. Parts that are
-empty agree without saying much, so there are ``spare`` parts besides; a set with
-that many empty parts or more writes keys for these too. Two linked sets then share
-two keys at least. Few sets with a key are paired, and pairs that share one key only
-(often a single n-gram that stands in both by chance) are left out; many sets with a
-key are all candidates. No pair above the threshold is lost.
+empty agree without saying much, so there are ``spare`` parts besides; a set whose
+empty parts come near that number writes keys for these too. Two linked sets then
+share ``need`` keys of a class, two at least. Few sets with a key are paired, and
+pairs with fewer keys in common (often a single n-gram that stands in both by chance)
+are left out; many sets with a key are all candidates. No pair above the threshold is
+lost.
 
 How they are joined. The sets of a cluster go to blocks of bounded size. In a block
 all sets share one order of n-grams, most frequent first, and form a prefix tree.
@@ -51,6 +52,7 @@ BLOCK_TEXTS = 1500
 PIVOTS = 16
 #: Sets with a key are paired up to this number.
 FEW = 8
+CLASS_BITS = 7
 #: Bits of the bitmap that keeps texts outside all clusters out of the shuffle (4 MB).
 FILTER_BITS = 1 << 25
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -101,7 +103,8 @@ class Parts:
             self.start.append(max(self.start[-1] + 1, ceil(self.start[-1] * ratio)))
         most = np.array(self.start[1:], np.int64) - 1
         differ = (self.den - self.num) * 2 * most // (self.den + self.num)
-        self.spare = 2 + differ // 20
+        self.spare = 2 + differ // 10
+        self.need = 2 + differ // 40
         self.parts = differ + 1 + self.spare
         self.start = np.array(self.start[:-1], np.int64)
 
@@ -135,9 +138,12 @@ class Parts:
         owner = np.repeat(np.arange(len(rows)), parts)
         number = np.arange(len(total)) - np.repeat(first, parts)
         name = mix((np.repeat(kind, parts) << 40).astype(np.uint64) + number.astype(np.uint64))
-        key = mix(np.where(held > 0, mix(total), np.uint64(3)) + name)
+        # The last bits name the class.
+        key = mix(np.where(held > 0, mix(total), np.uint64(3)) + name) << np.uint64(CLASS_BITS)
+        key |= np.repeat(kind, parts).astype(np.uint64)
         empty = np.bincount(owner[held == 0], minlength=len(rows))
-        written = (held > 0) | (empty >= self.spare[kind])[owner]
+        # A set with fewer empty parts shares ``need`` others with any partner.
+        written = (held > 0) | (empty > self.spare[kind] + 1 - self.need[kind])[owner]
         return rows[owner[written]], key[written]
 
 
@@ -286,17 +292,19 @@ def _links_of_blocks(docs: DataFrame, placed: DataFrame, length: int, threshold:
     return spread.groupBy("block").applyInArrow(_join_block(threshold), "u bigint, v bigint")
 
 
-def _candidates(keys: DataFrame) -> DataFrame:
-    """Edges (doc_id, least) between sets that share two keys, or one key with many others."""
+def _candidates(keys: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Edges (doc_id, least) between sets that share enough keys of a class, or one key with many others."""
     same = W.partitionBy("key")
     sized = keys.select("key", "doc_id", F.count("*").over(same).alias("size"), F.min("doc_id").over(same).alias("least")).filter("size > 1")
     many = sized.filter((F.col("size") > FEW) & (F.col("doc_id") > F.col("least"))).select("doc_id", "least").distinct()
     # At most FEW - 1 numbers.
     before = F.collect_list("doc_id").over(same.orderBy("doc_id").rowsBetween(1 - FEW, -1))
-    pairs = sized.filter(F.col("size") <= FEW).select("doc_id", before.alias("before"))
-    pairs = pairs.select("doc_id", F.explode("before").alias("least")).filter("doc_id > least")
-    twice = pairs.groupBy("doc_id", "least").agg(F.count("*").alias("keys")).filter("keys > 1").select("doc_id", "least")
-    return many.unionByName(twice)
+    kind = F.col("key").bitwiseAND(F.lit((1 << CLASS_BITS) - 1)).cast("int")
+    pairs = sized.filter(F.col("size") <= FEW).select("doc_id", kind.alias("kind"), before.alias("before"))
+    pairs = pairs.select("doc_id", "kind", F.explode("before").alias("least")).filter("doc_id > least")
+    need = F.get(F.array(*[F.lit(int(n)) for n in Parts(threshold).need]), F.col("kind"))
+    enough = pairs.groupBy("doc_id", "least", "kind").agg(F.count("*").alias("keys")).filter(F.col("keys") >= need)
+    return many.unionByName(enough.select("doc_id", "least").distinct())
 
 
 def jaccard_groups(
@@ -324,7 +332,7 @@ def jaccard_groups(
 
     keys = _numbered(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
     keys = keys.mapInArrow(_write_keys(length, threshold), "key bigint, doc_id bigint")
-    stars = _candidates(keys)
+    stars = _candidates(keys, threshold)
     left, right = (first.select(F.col("doc_id").alias(c), F.col("first").alias(f)) for c, f in (("doc_id", "u"), ("least", "v")))
     candidates = components(stars.join(left, "doc_id").join(right, "least").select("u", "v"))
 
