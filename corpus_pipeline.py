@@ -30,9 +30,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id, unchanged; documents without words stay."""
+    """Of each group of linked documents the one with the smallest id, unchanged; documents without words stay.
+
+    Documents link when their five-word shingles have a similarity of 0.8 or more.
+    """
     ship(spark)
-    groups = ngram_join.jaccard_groups(docs)
+    groups = ngram_join.jaccard_groups(docs, length=5, threshold=(8, 10))
     later = groups.filter("doc_id > component_id").select("doc_id").distinct()
     return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
 

@@ -50,6 +50,19 @@ def test_stages_equal_plain_ones(spark):
     assert set(kept) == set(now) and all(len(r["ids"]) == 4 * r["n_tokens"] for r in kept.values())
 
 
+def test_near_duplicates_at_five_words_and_four_fifths(spark):
+    base = [[f"d{k}w{i}" for i in range(200)] for k in range(4)]
+    spread = [f"new{i}" if i in (20, 70, 120, 170) else w for i, w in enumerate(base[0])]
+    longer = base[1][:80] + [f"more{i}" for i in range(38)] + base[1][80:]
+    apart = [f"new{i}" if i in (20, 60, 100, 140, 180) else w for i, w in enumerate(base[2])]
+    texts = [base[0], spread, base[1], longer, base[2], apart, base[3], base[3]]
+    docs = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    kept = {r["doc_id"] for r in stage(spark, spark.createDataFrame(docs, "doc_id long, text string"), FOLDER).collect()}
+    assert kept == {0, 2, 4, 5, 6} == {d for d, _, c in plain_groups(docs, 5, 8, 10) if d == c}
+    assert kept < {d for d, _, c in plain_groups(docs) if d == c}
+
+
 def test_run_equals_its_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
