@@ -6,6 +6,9 @@ documents of the corpus have them, rarest first; of a template and of a block on
 a short beginning in that order has to share a word (prefix filter), the words
 after the shared ones must suffice (positional filter), and blocks with too few
 words are left out (length filter). What remains is compared word set by word set.
+
+With ``windows`` a block is as many consecutive words as the template has, over line
+breaks: wrapped statements are found, and words scattered over a long line are not.
 Only built-in functions are used.
 """
 
@@ -125,6 +128,36 @@ def template_blocks(
     return pairs.groupBy("doc_id", "text_key", "block", "label").agg(F.max(share).alias("containment"))
 
 
+def template_windows(
+    words: DataFrame, spark: SparkSession, templates: list[tuple[str, str]], threshold: tuple[int, int]
+) -> DataFrame:
+    """(doc_id, text_key, block, label, containment) of every template-sized window that holds a template; ``block`` is its first word.
+
+    A window can be taken to start with a word of its template: moving it there loses none.
+    """
+    num, den = threshold
+    sets = _template_words(spark, templates)
+    sizes = literal_rows(spark, [F.struct(F.lit(i).alias("number"), F.lit(text).alias("text")) for i, (_, text) in enumerate(templates)])
+    sizes = {r["number"]: r["size"] for r in sizes.select("number", F.size(word_list(F.col("text"))).alias("size")).collect()}
+
+    def of_template(i: int, label: str) -> Column:
+        template, need = F.array(*map(F.lit, sets[i])), -(-num * len(sets[i]) // den)
+
+        def window(k: Column) -> Column:
+            both = F.size(F.array_intersect(F.slice("words", k + 1, sizes[i]), template))
+            return F.struct(k.alias("block"), F.lit(label).alias("label"), both.alias("both"), (both / len(sets[i])).alias("containment"))
+
+        starts = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda k: F.get(F.col("words"), k).isin(sets[i]))
+        held = F.filter(F.transform(starts, window), lambda h: h["both"] >= need)
+        # Few texts have enough words of a template at all; only these are searched window by window.
+        return F.when(F.size(F.array_intersect("words", template)) >= need, held)
+
+    each = [of_template(i, label) for i, (label, _) in enumerate(templates)]
+    found = words.filter(F.size("words") > 0).select("doc_id", "text_key", F.explode(F.array(*each)).alias("held"))
+    found = found.select("doc_id", "text_key", F.inline("held"))
+    return found.groupBy("doc_id", "text_key", "block", "label").agg(F.max("containment").alias("containment"))
+
+
 def scan(
     docs: DataFrame,
     templates: list[tuple[str, str]] = TEMPLATES,
@@ -132,12 +165,14 @@ def scan(
     threshold: tuple[int, int] = THRESHOLD,
     id_col: str = "doc_id",
     text_col: str = "text",
+    windows: bool = False,
 ) -> DataFrame:
     """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and the blocks found.
 
     ``score`` is 1 where a phrase stands, else the greatest containment of a
     template found, else 0. ``blocks`` are the different (block, label, containment)
-    found, blocks counted from 0. A null text is empty; a null id stays null;
+    found, blocks counted from 0: lines, or with ``windows`` the first words of
+    template-sized windows. A null text is empty; a null id stays null;
     repeated rows are returned each; other columns are left behind; an empty table
     gives no rows. A text of any length is scanned whole, block by block.
     """
@@ -157,7 +192,7 @@ def scan(
         F.array_max("places").cast("bigint").alias("last_word"),
         F.array_compact(F.array(*[F.when(F.size(n) > 0, F.lit(label)) for n, label in zip(found, phrases.values())])).alias("base"),
     )
-    blocks = template_blocks(words, docs.sparkSession, templates, threshold)
+    blocks = (template_windows if windows else template_blocks)(words, docs.sparkSession, templates, threshold)
     by_doc = blocks.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
         F.sort_array(F.collect_set(F.struct("block", "label", "containment"))).alias("blocks"),
         F.collect_set("label").alias("found"),

@@ -241,6 +241,27 @@ def test_license_odd_rows_and_thresholds(spark, odd_docs):
     assert licenses.scan(odd_docs.limit(0)).count() == 0
 
 
+def test_license_windows_run_over_line_breaks(spark, odd_docs):
+    rows = [
+        (1, "Some words before.\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"),
+        (2, "* Redistribution and use in source and binary forms, with or without\n* modification, are permitted provided that the following conditions are met"),
+        (3, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0."),
+        (4, "Released under\nthe MIT License."),
+        (5, "released in a long line under which the words of mit stand far apart, and so does the license"),
+        (6, "released under\n\nthat MIT licence"),  # 3 of 5
+        (7, "License"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = {r["doc_id"]: r["labels"] for r in licenses.scan(frame).collect()}
+    assert [lines[i] for i in range(1, 8)] == ["", "", "", "", "mit", "", ""]
+    found = {r["doc_id"]: r for r in licenses.scan(frame, windows=True).collect()}
+    assert [found[i]["labels"] for i in range(1, 8)] == ["mit", "bsd", "mpl-2.0", "mit", "", "", ""]
+    assert [found[i]["score"] for i in range(1, 8)] == [1, 1, 1, 1, 0, 0, 0]
+    assert max(found[1]["blocks"], key=lambda b: b["containment"])["block"] == 3
+    assert licenses.scan(odd_docs, windows=True).count() == odd_docs.count()
+    assert licenses.scan(odd_docs.limit(0), windows=True).count() == 0
+
+
 def test_native_operators_run_no_python(spark, odd_docs):
     from sheafline.llm import decontamination
 
