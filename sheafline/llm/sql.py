@@ -183,3 +183,88 @@ scores AS (
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_unseen, 0) AS n_unseen, round(coalesce(log_score, 0), 4)::DOUBLE AS log_score,
        CASE WHEN len(words) > 0 THEN round(log_score / len(words), 4)::DOUBLE END AS mean_log_score
 FROM docs LEFT JOIN scores USING (doc_id)"""
+
+
+#: CRC-32 (unsigned) of the decimal doc_id, bit by bit.
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda x, _: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+
+def merkle_manifest(arity: int = 8, levels: int = 9, group_levels: int = 3) -> str:
+    """``levels`` and ``group_levels`` bound the trees' heights: arity ** levels leaves at most."""
+
+    def framed(text: str) -> str:
+        fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+        return " || ".join(f"coalesce(strlen({f})::VARCHAR || ':' || {f}, '-')" for f in fields)
+
+    def tree(name: str, leaves: str, height: int) -> str:
+        """name_l: the nodes of level l; a finished tree's root is carried on."""
+        out = [f"{name}_0 AS ({leaves})"]
+        for at in range(height):
+            out.append(f"""{name}_{at + 1} AS (
+    SELECT tree, CASE WHEN n = 1 THEN i ELSE i // {arity} END AS i, CASE WHEN n = 1 THEN 1 ELSE (n + {arity - 1}) // {arity} END AS n,
+           CASE WHEN n = 1 THEN any_value(hash) ELSE sha256(string_agg(hash, '' ORDER BY p.i)) END AS hash
+    FROM {name}_{at} p GROUP BY tree, n, CASE WHEN n = 1 THEN p.i ELSE p.i // {arity} END)""".replace("THEN i ELSE i //", "THEN p.i ELSE p.i //"))
+        return ",\n".join(out)
+
+    def fold(name: str, start: str, base: str, height: int) -> str:
+        """name_l: per row of ``start`` (id, tree, i, hash, proof) the fold up to level l of the tree ``base``."""
+        out = [f"{name}_0 AS ({start})"]
+        for at in range(height):
+            out.append(f"""{name}_{at + 1} AS (
+    SELECT r.id, r.tree, any_value(CASE WHEN n = 1 THEN r.i ELSE r.i // {arity} END) AS i,
+           CASE WHEN any_value(n) = 1 THEN any_value(r.hash)
+                ELSE sha256(string_agg(CASE WHEN s.i = r.i THEN r.hash ELSE s.hash END, '' ORDER BY s.i)) END AS hash,
+           any_value(r.proof) || CASE WHEN any_value(n) = 1 THEN '' ELSE coalesce(string_agg(s.hash, '' ORDER BY s.i) FILTER (WHERE s.i <> r.i), '') END AS proof
+    FROM {name}_{at} r JOIN {base}_{at} s ON r.tree = s.tree AND r.i // {arity} = s.i // {arity} GROUP BY r.id, r.tree)""")
+        return ",\n".join(out)
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    hashed = f"""
+    SELECT row_number() OVER () AS id, doc_id, coalesce('=' || lang, '') AS tree, sha256({framed("text")}) AS leaf,
+           CASE WHEN {CRC} % 3 = 0 THEN sha256({framed(lower)}) ELSE sha256({framed("text")}) END AS told FROM documents"""
+    return f"""
+WITH hashed AS MATERIALIZED ({hashed}),
+placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+{tree("nodes", "SELECT tree, i, n, leaf AS hash FROM placed", levels)},
+subroots AS MATERIALIZED (
+    SELECT tree AS name, hash, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM nodes_{levels}),
+{tree("high", "SELECT '' AS tree, i, n, hash FROM subroots", group_levels)},
+{fold("low", "SELECT id, tree, i, told AS hash, '' AS proof FROM placed", "nodes", levels)},
+{fold("top", f"SELECT id, '' AS tree, s.i, l.hash, proof FROM low_{levels} l JOIN subroots s ON l.tree = s.name", "high", group_levels)}
+SELECT doc_id, leaf, s.hash AS subroot, h.hash AS root, sha256(t.proof) AS proof_sha256, t.hash AS folded_root, t.hash = h.hash AS verified
+FROM placed p JOIN subroots s ON p.tree = s.name JOIN top_{group_levels} t USING (id) JOIN high_{group_levels} h ON true"""
+
+
+def periodic_runs(least: int = 24, times: int = 3, length: int = 16) -> str:
+    """A run has ``length`` words in a row that stand again one period later: all pairs of equal windows of that length."""
+    return f"""
+WITH docs AS (SELECT doc_id, {CRC} AS h, h // 10 AS g, {WORDS} AS words FROM documents),
+cuts AS (
+    SELECT doc_id, words, len(words) AS n, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a, 1 + (n - a) // (3 + g % 8) AS p FROM docs),
+planted AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN a IS NULL THEN words ELSE list_concat(words[: a], flatten(list_transform(range(10), lambda _: words[a + 1 : a + p]))[: n - a]) END AS words
+    FROM cuts),
+windows AS (
+    SELECT doc_id, place, hash(array_to_string(words[place + 1 : place + {length}], ' ')) AS seq
+    FROM (SELECT doc_id, words, unnest(range(len(words) - {length - 1})) AS place FROM planted)),
+pairs AS (SELECT x.doc_id, x.place, y.place - x.place AS period FROM windows x JOIN windows y ON x.doc_id = y.doc_id AND x.seq = y.seq AND x.place < y.place),
+islands AS (
+    SELECT *, place - row_number() OVER (PARTITION BY doc_id, period ORDER BY place) AS island FROM pairs),
+stretches AS (
+    SELECT doc_id, period, min(place) AS start, max(place) - min(place) + {length} + period AS length FROM islands GROUP BY doc_id, period, island),
+runs AS MATERIALIZED (
+    SELECT doc_id, start, length, period FROM stretches s WHERE length >= greatest({least}, {times} * period) AND NOT EXISTS (
+        FROM stretches t WHERE t.doc_id = s.doc_id AND t.period < s.period AND t.start <= s.start AND t.start + t.length >= s.start + s.length)),
+listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs,
+           arg_max({{'start': start, 'length': length, 'period': period}}, (length::DOUBLE / period, -start, -period)) AS best
+    FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS place FROM runs),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM planted),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+       1000 * best.length // best.period AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM planted LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""

@@ -26,6 +26,6 @@ def test_query(spark, con, name):
 
 def test_one_query_per_operator():
     numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.SQL) <= set(queries.QUERIES)
