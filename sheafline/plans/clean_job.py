@@ -70,11 +70,16 @@ def select_raw(
 def cleaned_rows(
     raw: DataFrame, cleaned: DataFrame, cleaner: Cleaner, schema_id: int, schema: dict, as_of: str, cleaning_time_ms: int = 0
 ) -> DataFrame:
-    """New cleaned rows (without ids) for the raw rows this cleaner version has not done.
+    """New cleaned rows (without ids) for the raw rows this cleaner version has not done."""
+    todo = not_cleaned(raw, cleaned, cleaner.name, cleaner.version)
+    return checked_rows(todo, cleaner, schema_id, schema, as_of, cleaning_time_ms)
+
+
+def checked_rows(todo: DataFrame, cleaner: Cleaner, schema_id: int, schema: dict, as_of: str, cleaning_time_ms: int = 0) -> DataFrame:
+    """Cleaned rows (without ids) for all the given raw rows.
 
     A row whose transform failed is kept as invalid, with ``{}`` and the reason.
     """
-    todo = not_cleaned(raw, cleaned, cleaner.name, cleaner.version)
     done = cleaner.transform(todo)
     parsed = done.withColumn("_document", F.try_parse_json("cleaned_metadata"))
     checked = with_schema_errors(parsed, "_document", schema, "_errors")

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import StructType
 
-from ..operators.maintenance import CLEANED_KEY, new_rows
-from ..plans.clean_job import cleaned_rows
+from ..operators.lookups import not_cleaned
+from ..plans.clean_job import checked_rows
 from ..plans.cleaners import Cleaner
-from ..schemas import CLEANED_DATA
+
+
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of this one whose streams keep their state in RocksDB: on disk, not in the heap."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return own
 
 
 def read_files(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -23,25 +35,19 @@ def write_batch_once(batch: DataFrame, folder: str, batch_id: int) -> None:
     batch.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch_id={batch_id}")
 
 
-def earlier_batches(spark: SparkSession, folder: str, schema: StructType, batch_id: int) -> DataFrame:
-    """Rows of the batches before this one; a half-written or repeated batch is left out."""
-    wide = StructType(schema.fields).add("batch_id", LongType())
-    if batch_id == 0:
-        return spark.createDataFrame([], wide)
-    return spark.read.schema(wide).option("basePath", folder).parquet(folder).filter(F.col("batch_id") < batch_id)
-
+_SEED = "id bigint"
 
-# Columns a cleaned batch holds; the writer of the final table numbers the rows.
-CLEANED_BATCH = StructType([f for f in CLEANED_DATA.fields if f.name != "id"])
 
-
-#: Folders the keys written so far are dealt into; a batch reads those it has keys in.
-KEY_BUCKETS = 256
-KEY_ROWS = StructType([f for f in CLEANED_DATA.fields if f.name in CLEANED_KEY]).add("bucket", IntegerType())
-
-
-def key_bucket(key: str = "raw_data_id") -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+def _seed(spark: SparkSession, done: DataFrame | None, cleaner: Cleaner, seeds: str) -> None:
+    """Write the keys of ``done`` that no earlier run has written."""
+    spark.createDataFrame([], _SEED).write.mode("ignore").parquet(seeds)
+    if done is None:
+        return
+    own = done.filter((F.col("cleaner_used") == cleaner.name) & (F.col("cleaner_version") == cleaner.version))
+    keys = own.select(F.col("raw_data_id").cast("bigint").alias("id")).distinct()
+    new = keys.join(spark.read.schema(_SEED).parquet(seeds), "id", "left_anti")
+    if not new.isEmpty():
+        new.write.mode("append").parquet(seeds)
 
 
 def start_clean(
@@ -53,34 +59,43 @@ def start_clean(
     schema: dict,
     as_of: str,
     done: DataFrame | None = None,
-    keys: str | None = None,
+    seeds: str | None = None,
 ) -> StreamingQuery:
     """Clean raw rows as their files arrive and stop when all are read.
 
-    A row is cleaned once, however late it comes: repeats in a batch fall to one
-    row per key, and keys of earlier batches (and of ``done``, rows cleaned by other
-    jobs) are left out by an anti join. The keys written lie beside the rows, in
-    ``keys`` (by default ``out`` with ``_keys``), a folder per hash bucket, and a
-    batch reads only the buckets it has rows in. Batches are numbered by the
-    checkpoint: one output folder belongs to one checkpoint.
+    A row is cleaned once, however late it comes: the stream's own state holds the
+    ids met so far, without a watermark, so a batch looks up its own ids and
+    reads nothing that earlier batches wrote. Of repeated ids in one batch any row
+    is cleaned; rows without an id count as one id.
+
+    ``done`` are rows cleaned by other jobs. Their ids come in once, as a second
+    source beside the raw files (``seeds``, by default ``out`` with ``_seeds``), and
+    are state from then on. All new ones are in the first batch of a run, where a raw
+    row may stand beside its own seed; only this batch is compared with ``done``
+    itself.
+
+    The state grows by one id per row and is kept where the session says:
+    ``state_session`` gives one that keeps it in RocksDB. Batches are numbered by the
+    checkpoint, and one output folder belongs to one checkpoint; a batch that is run
+    again starts from the state before it and replaces its own rows.
     """
     spark = raw.sparkSession
-    keys = keys or f"{out.rstrip('/')}_keys"
+    seeds = seeds or f"{out.rstrip('/')}_seeds"
+    _seed(spark, done, cleaner, seeds)
+    known = spark.readStream.schema(_SEED).parquet(seeds).withColumn("_known", F.lit(True))
+    both = raw.withColumn("_known", F.lit(False)).unionByName(known, allowMissingColumns=True)
+    beside_seeds = [done] if done is not None else []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # At most KEY_BUCKETS numbers.
-        buckets = [r[0] for r in batch.select(key_bucket("id")).distinct().collect()]
-        written = earlier_batches(spark, keys, KEY_ROWS, batch_id).filter(F.col("bucket").isin(buckets)).select(*CLEANED_KEY)
-        if done is not None:
-            written = written.unionByName(done.select(*CLEANED_KEY))
-        rows = cleaned_rows(batch, written, cleaner, schema_id, schema, as_of)
-        write_batch_once(new_rows(rows, written, CLEANED_KEY, [F.col("title").asc()]), out, batch_id)
-        stored = spark.read.schema(CLEANED_BATCH).parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
-        placed = stored.select(*CLEANED_KEY, key_bucket().alias("bucket")).repartition("bucket")
-        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{keys}/batch_id={batch_id}")
+        rows = batch.filter(~F.col("_known")).drop("_known")
+        for cleaned in beside_seeds:
+            rows = not_cleaned(rows, cleaned, cleaner.name, cleaner.version)
+        write_batch_once(checked_rows(rows, cleaner, schema_id, schema, as_of), out, batch_id)
+        beside_seeds.clear()
 
     return (
-        raw.writeStream.foreachBatch(handle)
+        both.dropDuplicates(["id"])
+        .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -90,12 +105,14 @@ def start_clean(
 def start_sink(records: DataFrame, out: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
     """Incremental sink: each micro-batch is written once, clustered by target and language.
 
-    The batch's counts per key go beside it, for the outcome of each target.
+    Rows are dealt by their keys and then by size: a hot key is split over several
+    files, small keys share one. The batch's counts per key go beside it, for the
+    outcome of each target.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        clustered = batch.repartition(*[F.col(k) for k in keys], F.pmod(F.xxhash64(*batch.columns), F.lit(16)))
-        write_batch_once(clustered, f"{out}/rows", batch_id)
+        with adaptive(batch.sparkSession):
+            write_batch_once(clustered(batch, keys), f"{out}/rows", batch_id)
         written = batch.sparkSession.read.parquet(f"{out}/rows/batch_id={batch_id}")
         write_batch_once(written.groupBy(*keys).agg(F.count("*").alias("saved_count")), f"{out}/counts", batch_id)
 
@@ -105,3 +122,29 @@ def start_sink(records: DataFrame, out: str, checkpoint: str, keys: list[str]) -
         .trigger(availableNow=True)
         .start()
     )
+
+
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for a write inside a micro-batch.
+
+    A stream runs in a copy of its session with adaptive execution off, since the
+    number of partitions of its state is fixed. What is done with the rows of a batch
+    has no state; the copy's setting is put back for the next batch.
+    """
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def clustered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows dealt by ``keys`` into parts of about the session's advisory size, for a write.
+
+    Adaptive execution measures the parts: it splits a large one, also if it is one
+    key, and joins small ones.
+    """
+    return rows.hint("rebalance", *keys)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -70,23 +70,56 @@ def newest_rows(events: DataFrame, key: str, time: str = "created_at", row_id: s
     return events.groupBy(key).agg(newest).select(key, "_row.*")
 
 
-def start_newest_rows(events: DataFrame, out: str, checkpoint: str, key: str, time: str = "created_at", row_id: str = "id") -> StreamingQuery:
+def start_newest_rows(
+    events: DataFrame, out: str, checkpoint: str, key: str, time: str = "created_at", row_id: str = "id", base_every: int = 50
+) -> StreamingQuery:
     """Keep the newest row per key as state; each micro-batch writes the keys that changed.
 
-    ``latest_state`` reads the folder back as one row per key.
+    After every ``base_every`` batches the whole state is written too, from the base
+    before and the changes since. ``newest_state`` reads the last base and the changes
+    behind it, so it never folds more than that many batches. A base counts once its
+    mark is written; a batch that is run again replaces its changes, base and mark.
     """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch_id == 0:
+            write_base(batch.limit(0), spark, out, -1, 0)
+        write_batch_once(batch, f"{out}/changes", batch_id)
+        if (batch_id + 1) % base_every == 0:
+            write_base(newest_state(spark, out, key, batch_id), spark, out, batch_id, batch_id)
+
     return (
         newest_rows(events, key, time, row_id)
         .writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_batch_once(batch, out, batch_id))
+        .foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def write_base(state: DataFrame, spark: SparkSession, out: str, upto: int, batch_id: int) -> None:
+    """Write the state after batch ``upto`` and then its mark, under the batch that writes them."""
+    state.write.mode("overwrite").parquet(f"{out}/base/upto={upto}")
+    mark = spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
+    mark.write.mode("overwrite").parquet(f"{out}/marks/by={batch_id if upto >= 0 else 'start'}")
+
+
+def newest_state(spark: SparkSession, out: str, key: str, before: int | None = None) -> DataFrame:
+    """Current row per key: the last base (of a batch ahead of ``before``, if given) and the changes behind it."""
+    marks = spark.read.schema("upto bigint").parquet(f"{out}/marks")
+    if before is not None:
+        marks = marks.filter(F.col("upto") < before)
+    # One row per base.
+    upto = marks.agg(F.max("upto")).first()[0]
+    base = spark.read.parquet(f"{out}/base/upto={upto}").withColumn("batch_id", F.lit(upto).cast("bigint"))
+    changes = spark.read.schema(base.schema).option("basePath", f"{out}/changes").parquet(f"{out}/changes")
+    return latest_state(base.unionByName(changes.filter(F.col("batch_id") > upto)), key)
+
+
 def latest_state(changes: DataFrame, key: str) -> DataFrame:
-    """Current row per key from the written changes: the one of the last batch that changed it."""
+    """Current row per key from written changes: the one of the last batch that changed it."""
     columns = [c for c in changes.columns if c not in (key, "batch_id")]
     last = F.max_by(F.struct(*columns), "batch_id").alias("_row")
     return changes.groupBy(key).agg(last).select(key, "_row.*")
