@@ -540,6 +540,31 @@ def _(v):
     return checked.select("order_id", "line_no", F.array_join(shown, " / ").alias("errors"))
 
 
+@query(
+    "v4_schema_alternatives",
+    f"""SELECT order_id, line_no, concat_ws(',', CASE WHEN cycle IS NULL THEN 'cycle/2' END, CASE WHEN line_no % 3 = 0 THEN 'kind/0' END,
+               CASE WHEN pct_estimate < 25 THEN 'pct/2' END) AS errors, CASE WHEN pct_estimate < 25 THEN pct_estimate::DOUBLE END AS failed_pct FROM ({_TRANSFORM})""",
+)
+def _(v):
+    """A number of at least 25 or null, by anyOf; a kind that is not L0; a cycle that is a whole number or a text."""
+    cleaned = cleaners.poll_columns(v.raw_polls(), "2.0.0", YEAR)
+    parts = F.struct(
+        F.col("pct_estimate").cast("double").alias("pct"), F.concat(F.lit("L"), (F.col("line_no") % 3).cast("string")).alias("kind"), "cycle"
+    )
+    schema = {
+        "properties": {
+            "pct": {"anyOf": [{"type": "number", "minimum": 25}, {"type": "null"}]},
+            "kind": {"not": {"const": "L0"}},
+            "cycle": {"$ref": "#/definitions/name_or_number"},
+        },
+        "definitions": {"name_or_number": {"oneOf": [{"type": "integer"}, {"type": "string"}]}},
+    }
+    checked = json_schema.with_schema_errors(cleaned.withColumn("document", F.to_variant_object(parts)), "document", schema, "e")
+    shown = F.transform("e", lambda x: F.concat_ws("/", x["path"], F.size(x["sub_errors"]).cast("string")))
+    failed = F.get(F.filter("e", lambda x: x["path"] == "pct"), 0)["failed_value"].cast("double")
+    return checked.select("order_id", "line_no", F.array_join(shown, ",").alias("errors"), failed.alias("failed_pct"))
+
+
 @query(
     "v5_active_schemas",
     f"""WITH {SCHEMAS_SQL} SELECT id AS schema_id, json_extract_string(metadata_schema, '$.cleaner_name') AS name,

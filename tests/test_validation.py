@@ -95,6 +95,19 @@ def errors_of(spark, document, schema):
         ({"required": ["a"]}, {"a": None}, {"b": 1}),
         ({"properties": {"a": {"type": "string"}}}, {"b": 1}, {"a": 1}),
         ({"properties": {"a": {}}, "additionalProperties": False}, {"a": 1}, {"a": 1, "b": 2}),
+        ({"uniqueItems": True}, [1, "1", True, [1], None], [2, 1, 2.0]),
+        ({"uniqueItems": True}, [{"a": 1}, {"a": 2}], [{"a": 1, "b": 2}, {"b": 2, "a": 1}]),
+        ({"allOf": [{"type": "integer"}, {"minimum": 3}]}, 3, 2),
+        ({"anyOf": [{"type": "string"}, {"minimum": 3}]}, "x", 2),
+        ({"oneOf": [{"type": "integer"}, {"minimum": 3}]}, 2, 3),
+        ({"oneOf": [{"type": "integer"}, {"minimum": 3}]}, 3.5, 2.5),
+        ({"not": {"type": "string"}}, 1, "x"),
+        ({"not": {"required": ["a"]}}, {"b": 1}, {"a": 1}),
+        ({"properties": {"a": {"not": {"type": "string"}}}}, {}, {"a": "x"}),
+        ({"items": {"anyOf": [{"type": "string"}, {"type": "null"}]}}, ["a", None], ["a", 1]),
+        ({"properties": {"a": True, "b": False}}, {"a": 1}, {"b": 1}),
+        ({"$ref": "#/definitions/name", "definitions": {"name": {"type": "string"}}}, "x", 1),
+        ({"properties": {"a": {"$ref": "#/$defs/a~1b/0"}}, "$defs": {"a/b": [{"minLength": 2}]}}, {"a": "xy"}, {"a": "x"}),
     ],
 )
 def test_schema_keywords(spark, schema, good, bad):
@@ -109,11 +122,66 @@ def test_schema_paths_and_refusals(spark):
         ("l.1.n", "0 is less than the minimum of 1"),
     ]
     df = spark.range(1).select(F.parse_json(F.lit("{}")).alias("d"))
-    for bad in ({"oneOf": []}, {"type": "text"}, {"additionalProperties": {}}, {"items": []}):
+    refused = [{"oneOf": []}, {"type": "text"}, {"additionalProperties": {}}, {"items": []}, {"anyOf": {}}, {"allOf": [{"contains": {}}]}]
+    refused += [{"$ref": "#/definitions/none"}, {"$ref": "http://elsewhere/x"}, {"$ref": "#"}, {"not": {"patternProperties": {}}}]
+    refused += [{"$ref": "#/definitions/a", "definitions": {"a": {"anyOf": [{"$ref": "#/definitions/b"}]}, "b": {"$ref": "#/definitions/a"}}}]
+    for bad in refused:
         with pytest.raises(ValueError):
             json_schema.with_schema_errors(df, "d", bad)
 
 
+def full_errors(spark, document, schema, **options):
+    df = spark.createDataFrame([(json.dumps(document),)], "j string").select(F.parse_json("j").alias("d"))
+    checked = json_schema.with_schema_errors(df, "d", schema, **options)
+    return checked.select("errors", json_schema.error_messages(F.col("errors")).alias("texts"), json_schema.stored_error(F.col("errors")).alias("stored")).first()
+
+
+def test_sub_errors_and_failed_value(spark):
+    schema = {"properties": {"v": {"anyOf": [{"type": "string"}, {"type": "object", "required": ["n"], "properties": {"m": {"minimum": 5}}}]}}}
+    row = full_errors(spark, {"v": {"m": 1}}, schema)
+    assert [(e.path, e.message, e.failed_value) for e in row.errors] == [("v", '{"m":1} is not valid under any of the given schemas', '{"m":1}')]
+    subs = ['{"m":1} is not of type \'string\'', "'n' is a required property", "1 is less than the minimum of 5"]
+    assert row.errors[0].sub_errors == subs
+    assert row.texts == ["Schema validation failed: " + row.errors[0].message, "Field path: v", *[f"Sub error: {m}" for m in subs]]
+    assert json.loads(row.stored) == {"validation_errors": row.texts, "failed_value": {"m": 1}}
+    assert full_errors(spark, {"v": "x"}, schema).stored is None
+
+
+def test_one_of_names_the_schemas_that_hold(spark):
+    schema = {"oneOf": [{"type": "integer"}, {"type": "string"}, {"minimum": 1}, {"maximum": 9}]}
+    [error] = full_errors(spark, 5, schema).errors
+    assert error.message == '5 is valid under each of {"minimum": 1}, {"maximum": 9}, {"type": "integer"}'
+    [error] = full_errors(spark, -5.5, {"oneOf": schema["oneOf"][:3]}).errors
+    assert len(error.sub_errors) == 3 and error.failed_value == "-5.5"
+
+
+def test_combinators_inside_each_other_keep_their_paths(spark):
+    schema = {"allOf": [{"properties": {"l": {"items": {"allOf": [{"not": {"const": 2}}, {"properties": {"k": {"type": "string"}}}]}}}}, {"required": ["z"]}]}
+    rows = full_errors(spark, {"l": [1, 2, {"k": 3}]}, schema).errors
+    assert [(e.path, e.message) for e in rows] == [
+        ("", "'z' is a required property"),
+        ("l.1", '2 should not be valid under {"const": 2}'),
+        ("l.2.k", "3 is not of type 'string'"),
+    ]
+
+
+def test_references_that_come_back_are_unfolded_to_a_depth(spark):
+    tree = {"definitions": {"node": {"type": "object", "required": ["name"], "properties": {"child": {"$ref": "#/definitions/node"}}}}, "$ref": "#/definitions/node"}
+
+    def nested(n, last=None):
+        return {"name": "x", **({"child": nested(n - 1, last)} if n else last or {})}
+
+    assert full_errors(spark, nested(3), tree).errors == []
+    [error] = full_errors(spark, {"name": "x", "child": {"child": {"name": "y"}}}, tree).errors
+    assert (error.path, error.message) == ("child", "'name' is a required property")
+    [error] = full_errors(spark, nested(4), tree).errors
+    assert error.path == "child.child.child.child" and "nested deeper" in error.message
+    assert full_errors(spark, nested(6), tree, ref_depth=6).errors == []
+    lists = {"items": {"$ref": "#"}, "type": ["array", "integer"]}
+    assert full_errors(spark, [1, [2, [3]]], lists).errors == []
+    assert [e.path for e in full_errors(spark, [1, [2, ["x"]]], lists).errors] == ["1.1.0"]
+
+
 def test_active_schema_is_the_newest(spark):
     doc = lambda n: json.dumps({"cleaner_name": "c", "current_schema_version": "1.0.0", "schema": {"maxLength": n}})
     schemas = spark.createDataFrame([(1, doc(1), "2024-01-01"), (2, doc(2), "2024-01-02"), (3, "{}", "2024-01-03")], "id bigint, metadata_schema string, created_at string")
