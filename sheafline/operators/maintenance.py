@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsonio import canonical
 from .ordering import assign_ids, first_per_key
 from .selectors import cutoff
 
@@ -17,7 +18,8 @@ TARGET_KEY = ["collector_name_id", "collection_type_id", "language_code", "colle
 LINK_KEY = ["collection_attempt_id", "run_collection_metadata_id"]
 
 
-def _first_of_batch(batch: DataFrame, keys: list[str], order: list[Column] | None) -> DataFrame:
+def first_of_batch(batch: DataFrame, keys: list[str], order: list[Column] | None) -> DataFrame:
+    """One row per key: the first in ``order``, or any."""
     return first_per_key(batch, keys, order) if order else batch.dropDuplicates(keys)
 
 
@@ -27,7 +29,7 @@ def new_rows(batch: DataFrame, table: DataFrame, keys: list[str], order: list[Co
     Running the same batch twice appends nothing the second time. ``order``
     decides which row of a repeated key is kept.
     """
-    return _first_of_batch(batch, keys, order).join(table.select(*keys), keys, "left_anti")
+    return first_of_batch(batch, keys, order).join(table.select(*keys), keys, "left_anti")
 
 
 def conflicts(batch: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,13 +39,15 @@ def conflicts(batch: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     return known.unionByName(repeated).distinct()
 
 
-def merge_update(table: DataFrame, updates: DataFrame, key: str, columns: list[str], order: list[Column] | None = None) -> DataFrame:
+def merge_update(
+    table: DataFrame, updates: DataFrame, key: str, columns: list[str], order: list[Column] | None = None, unique: bool = False
+) -> DataFrame:
     """New state of a table after setting ``columns`` for the keys in ``updates``.
 
     A matched flag carries the match, so null can be set. Of repeated keys one
-    update is used (the first in ``order``).
+    update is used (the first in ``order``); ``unique`` says there are none.
     """
-    one = _first_of_batch(updates, [key], order)
+    one = updates if unique else first_of_batch(updates, [key], order)
     new = one.select(F.col(key), *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_matched"))
     joined = table.join(new, key, "left")
     return joined.select(
@@ -81,9 +85,11 @@ def delete_keys(table: DataFrame, keys: DataFrame, key: str = "id") -> DataFrame
     return table.join(gone, table[key] == gone["_gone"], "left_anti")
 
 
-def next_ids(batch: DataFrame, table: DataFrame, unique_key: Column, key: str = "id", buckets: int | None = None) -> DataFrame:
+def next_ids(
+    batch: DataFrame, table: DataFrame, unique_key: Column, key: str = "id", buckets: int | None = None, table_key: str | None = None
+) -> DataFrame:
     """Number a batch after the largest id of the table."""
-    start = table.select(F.coalesce(F.max(key), F.lit(0))).scalar()
+    start = table.select(F.coalesce(F.max(table_key or key), F.lit(0))).scalar()
     return assign_ids(batch, unique_key, start, key, buckets)
 
 
@@ -99,6 +105,30 @@ def get_or_create(lookup: DataFrame, names: DataFrame, name_col: str, buckets: i
     return lookup.select("id", "name").unionByName(numbered.select("id", "name"))
 
 
+def get_or_create_schemas(schemas: DataFrame, documents: DataFrame, document_col: str, buckets: int | None = None) -> DataFrame:
+    """Per different document: its text, the schema_id it has or gets, and whether it is new.
+
+    Documents are the same if they are equal as JSON, whatever their order of keys and
+    spaces. They meet by a hash of the canonical text and are then compared by the text
+    itself. Of equal stored ones the smallest id counts; new ones get the next ids.
+    Malformed documents and nulls are left out.
+    """
+
+    def keyed(rows: DataFrame, text: str) -> DataFrame:
+        out = rows.withColumn("_document", canonical(F.col(text))).filter(F.col("_document").isNotNull())
+        return out.withColumn("_hash", F.xxhash64("_document"))
+
+    stored = keyed(schemas.select("id", "metadata_schema"), "metadata_schema")
+    known = stored.groupBy("_hash", "_document").agg(F.min("id").alias("schema_id"))
+    wanted = keyed(documents.select(document_col), document_col).select("_hash", "_document").distinct()
+    # Schemas are few beside rows, and each is looked up once.
+    found = wanted.join(known, ["_hash", "_document"])
+    fresh = wanted.join(known, ["_hash", "_document"], "left_anti")
+    numbered = next_ids(fresh, schemas, F.col("_document"), "schema_id", buckets, table_key="id")
+    columns = [F.col("_document").alias("document"), "schema_id"]
+    return found.select(*columns, F.lit(False).alias("is_new")).unionByName(numbered.select(*columns, F.lit(True).alias("is_new")))
+
+
 def link_rows(attempt_ids: DataFrame, run_id: int | Column, links: DataFrame) -> DataFrame:
     """New bridge rows between attempts and a run; known pairs are left out."""
     value = run_id if isinstance(run_id, Column) else F.lit(run_id).cast("bigint")

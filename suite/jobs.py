@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sheafline.operators import keyed
 from sheafline.operators import maintenance as mt
 from sheafline.operators.ordering import first_per_key
 from sheafline.operators.trailing import trailing_means, trailing_means_by_days
@@ -14,7 +15,7 @@ from sheafline.streaming import incremental, monitoring
 
 from .base import clean_text_sql, clean_title_sql, query
 from .cleaning import _CANDIDATE, _article_raw, _poll_rows
-from .selection import PAGE_TARGETS_SQL, TARGETS, _page_targets
+from .selection import PAGE_TARGETS_SQL, SCHEMAS_SQL, TARGETS, _page_targets, _schemas
 
 AS_OF = "2024-02-01 00:00:00"
 BUCKET = "('0x' || substr(md5({}::VARCHAR), 1, 8))::BIGINT % 64"
@@ -60,10 +61,11 @@ def _(v):
     return mt.conflicts(targets.filter("collection_status_id = 1"), targets.filter("collection_status_id = 2"), mt.TARGET_KEY)
 
 
-@query(
-    "w3_set_status",
-    "SELECT id, CASE WHEN id IN (SELECT collection_target_id FROM collection_attempts WHERE attempt_status_id = 2) THEN 3 ELSE collection_status_id END::BIGINT AS collection_status_id FROM collection_targets",
-)
+_FAILED_SET = """SELECT id, CASE WHEN id IN (SELECT collection_target_id FROM collection_attempts WHERE attempt_status_id = 2) THEN 3
+                 ELSE collection_status_id END::BIGINT AS collection_status_id FROM collection_targets"""
+
+
+@query("w3_set_status", _FAILED_SET)
 def _(v):
     failed = v.collection_attempts().filter("attempt_status_id = 2").select(F.col("collection_target_id").alias("id"))
     return mt.set_status(v.collection_targets(), failed, "collection_status_id", 3).select("id", "collection_status_id")
@@ -104,15 +106,62 @@ def _(v):
     return mt.older_than(v.collection_attempts(), 14, AS_OF).agg(F.count("*").alias("removed"))
 
 
-@query(
-    "w6_delete_keys",
-    f"SELECT {TARGETS} FROM collection_targets WHERE id NOT IN (SELECT collection_target_id FROM collection_attempts)",
-)
+_NOT_ATTEMPTED = f"SELECT {TARGETS} FROM collection_targets WHERE id NOT IN (SELECT collection_target_id FROM collection_attempts)"
+
+
+@query("w6_delete_keys", _NOT_ATTEMPTED)
 def _(v):
     keys = v.collection_attempts().select("collection_target_id")
     return mt.delete_keys(v.collection_targets(), keys).select(*TARGETS.split(", "))
 
 
+# The same changes made in place, on a copy of the table dealt by its key. Each is asked for twice.
+
+
+def _kept_in(v, rows, key="id"):
+    table = keyed.KeyedTable(shared_dir(v.spark, "keyed"), key, buckets=16)
+    keyed.write_keyed(rows, table)
+    return table
+
+
+@query("w3_status_in_place", _FAILED_SET)
+def _(v):
+    table = _kept_in(v, v.collection_targets())
+    failed = v.collection_attempts().filter("attempt_status_id = 2").select(F.col("collection_target_id").alias("id"))
+    for _again in range(2):
+        keyed.run_status(v.spark, table, failed, "collection_status_id", 3, "failed")
+    return keyed.read_keyed(v.spark, table).select("id", "collection_status_id")
+
+
+@query(
+    "w4_merge_in_place",
+    """SELECT r.id, r.title, CASE WHEN c.id IS NOT NULL THEN CASE WHEN c.validation_status_id = 2 THEN c.cleaner_used END ELSE r.url END AS url,
+              CASE WHEN c.id IS NOT NULL THEN c.cleaner_version ELSE r.validation_error END AS validation_error,
+              (SELECT count(*) FROM cleaned_data WHERE raw_data_id % 16 = 3) AS changed
+       FROM raw_data r LEFT JOIN cleaned_data c ON r.id = c.raw_data_id AND r.id % 16 = 3""",
+)
+def _(v):
+    """Each sixteenth cleaned row changes its raw row."""
+    table = _kept_in(v, v.raw_data().select("id", "title", "url", "validation_error"))
+    updates = v.cleaned_data().filter("raw_data_id % 16 = 3").select(
+        F.col("raw_data_id").alias("id"),
+        F.when(F.col("validation_status_id") == 2, F.col("cleaner_used")).alias("url"),
+        F.col("cleaner_version").alias("validation_error"),
+    )
+    for _again in range(2):
+        changed = keyed.run_merge(v.spark, table, updates, ["url", "validation_error"], "cleaned")
+    return keyed.read_keyed(v.spark, table).withColumn("changed", F.lit(changed).cast("bigint"))
+
+
+@query("w6_delete_in_place", _NOT_ATTEMPTED)
+def _(v):
+    table = _kept_in(v, v.collection_targets().select(*TARGETS.split(", ")))
+    keys = v.collection_attempts().select(F.col("collection_target_id").alias("id"))
+    for _again in range(2):
+        keyed.run_delete(v.spark, table, keys, "attempted")
+    return keyed.read_keyed(v.spark, table)
+
+
 @query(
     "w7_get_or_create",
     f"""SELECT id, name FROM collection_types
@@ -122,6 +171,32 @@ def _(v):
     return mt.get_or_create(v.collection_types(), v.table("part"), "p_type", buckets=64)
 
 
+@query(
+    "w7_get_or_create_schemas",
+    f"""WITH {SCHEMAS_SQL}, wanted AS (
+            SELECT source AS name, id, 'stored' AS kind FROM (SELECT json_extract_string(metadata_schema, '$.cleaner_name') AS source, id FROM stored_schemas)
+            UNION ALL SELECT DISTINCT lang, NULL, 'new' FROM documents WHERE lang IS NOT NULL),
+        fresh AS (
+            SELECT name, '{{"cleaner_name":"' || name || '","schema":{{"type":"array"}}}}' AS document FROM wanted WHERE kind = 'new'),
+        numbered AS (
+            SELECT name, (SELECT max(id) FROM stored_schemas) + row_number() OVER (ORDER BY {BUCKET.format('document').replace('% 64', '% 8')}, document) AS schema_id FROM fresh)
+        SELECT name, id AS schema_id, false AS is_new FROM wanted WHERE kind = 'stored' UNION ALL SELECT name, schema_id, true FROM numbered""",
+)
+def _(v):
+    """A stored document with its keys in another order has its id; one for each language is new."""
+    documents = v.table("documents")
+    per_source = documents.groupBy("source").agg(F.min("doc_id").alias("first"), F.max("n_chars").alias("longest"))
+    known = per_source.select(
+        F.format_string(
+            '{"schema":{"properties":{"%s_title":{"maxLength":%d}},"type":"object"},  "current_schema_version":"1.%d.0","cleaner_name":"%s"}',
+            "source", "longest", F.col("first") % 3, "source",
+        ).alias("document")
+    )
+    fresh = documents.filter(F.col("lang").isNotNull()).select(F.format_string('{"schema": {"type": "array"}, "cleaner_name": "%s"}', "lang").alias("document"))
+    created = mt.get_or_create_schemas(_schemas(v), known.unionByName(fresh), "document", buckets=8)
+    return created.select(F.get_json_object("document", "$.cleaner_name").alias("name"), "schema_id", "is_new")
+
+
 @query(
     "w8_link_rows",
     """SELECT id AS collection_attempt_id, 7::BIGINT AS run_collection_metadata_id FROM collection_attempts
@@ -602,7 +677,7 @@ def _(v):
     newer = F.col("title") > "doc 5"
     for landing in (raw.filter(newer), raw.filter(~newer), raw.filter(F.col("language_code") == "en")):
         landing.write.mode("append").parquet(f"{base}/raw")
-        stream = incremental.read_files(v.spark, f"{base}/raw", raw.schema)
+        stream = incremental.read_files(incremental.state_session(v.spark), f"{base}/raw", raw.schema)
         incremental.start_clean(
             stream, f"{base}/out", f"{base}/checkpoint", cleaner, 1, clean_job.ARTICLE_SCHEMA["schema"], AS_OF, done=_some_cleaned(v, cleaner)
         ).awaitTermination()
@@ -652,5 +727,5 @@ def _(v):
 def _(v):
     base = shared_dir(v.spark, "newest")
     monitoring.start_newest_rows(_stream_events(v), f"{base}/out", f"{base}/checkpoint", "collection_target_id").awaitTermination()
-    rows = monitoring.latest_state(v.spark.read.parquet(f"{base}/out"), "collection_target_id")
+    rows = monitoring.newest_state(v.spark, f"{base}/out", "collection_target_id")
     return rows.drop("duration").withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
