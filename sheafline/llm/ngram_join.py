@@ -3,15 +3,20 @@
 Which sets meet. Two sets of Jaccard similarity t or more differ in at most
 H = (1 - t) / (1 + t) * (sum of their sizes) n-grams. The n-grams are dealt by hash
 into more than H parts, so two such sets agree in a whole part. A set writes one key
-per part: the part's content. Sets that share a key are candidates, and candidates
-that hang together form a cluster. The number of parts depends on a class of sizes;
-a set also writes keys for the next class if a partner may be there. Parts that are
+per part: the part's content. The number of parts depends on a class of sizes; a set
+also writes keys for the next class if a partner may be there. Parts that are
 empty agree without saying much, so there are ``spare`` parts besides; a set whose
 empty parts come near that number writes keys for these too. Two linked sets then
-share ``need`` keys of a class, two at least. Few sets with a key are paired, and
-pairs with fewer keys in common (often a single n-gram that stands in both by chance)
-are left out; many sets with a key are all candidates. No pair above the threshold is
-lost.
+share ``need`` keys of a class, two at least, and as many as a set's own ``least``:
+the spare parts and one, less its empty ones.
+
+Chance makes unlike sets share a key, often a single n-gram of a passage many texts
+have. So sets are weeded before they meet: keys that one set alone has go, then the
+keys of a set that has fewer than ``least`` left in a class, since no partner can be
+among them; keys that are then alone go too, and so on, ``WEEDINGS`` times. What is
+left are candidates: few sets with a key are paired and must share the ``least`` of
+both; many sets with a key all are. Candidates that hang together form a cluster. No
+pair above the threshold is lost.
 
 How they are joined. The sets of a cluster go to blocks of bounded size. In a block
 all sets share one order of n-grams, most frequent first, and form a prefix tree.
@@ -52,6 +57,8 @@ BLOCK_TEXTS = 1500
 PIVOTS = 16
 #: Sets with a key are paired up to this number.
 FEW = 8
+#: Times that sets without enough shared keys are left out.
+WEEDINGS = 2
 CLASS_BITS = 7
 #: Bits of the bitmap that keeps texts outside all clusters out of the shuffle (4 MB).
 FILTER_BITS = 1 << 25
@@ -103,47 +110,69 @@ class Parts:
             self.start.append(max(self.start[-1] + 1, ceil(self.start[-1] * ratio)))
         most = np.array(self.start[1:], np.int64) - 1
         differ = (self.den - self.num) * 2 * most // (self.den + self.num)
-        self.spare = 2 + differ // 10
+        self.spare = 2 + differ // 5
         self.need = 2 + differ // 40
         self.parts = differ + 1 + self.spare
         self.start = np.array(self.start[:-1], np.int64)
 
-    def keys(self, grams: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(set, key) of every key of several sets."""
-        sizes = np.diff(offsets)
+    def _classes(self, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(sets, class of each) of every class sets of these sizes write keys for."""
         home = np.searchsorted(self.start, sizes, "right") - 1
-        owners, found = [], []
         step = 0
         rows = np.flatnonzero(sizes > 0)
         while len(rows):
-            owner, key = self._of_class(grams, offsets, rows, home[rows] + step)
-            owners.append(owner)
-            found.append(key)
+            yield rows, home[rows] + step
             step += 1
             rows = rows[sizes[rows] * self.den >= self.num * self.start[home[rows] + step]]
-        if not owners:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        return np.concatenate(owners), np.concatenate(found)
 
-    def _of_class(self, grams, offsets, rows, kind) -> tuple[np.ndarray, np.ndarray]:
+    def _slots(self, grams: np.ndarray, offsets: np.ndarray, rows: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each n-gram, and its part among the parts of all the sets."""
         size = offsets[rows + 1] - offsets[rows]
         parts = self.parts[kind]
         first = np.cumsum(parts) - parts
         at = np.repeat(offsets[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        value = mix(grams[at] + np.uint64(7))
-        slot = np.repeat(first, size) + ((value >> np.uint64(33)) * np.repeat(parts, size).astype(np.uint64) >> np.uint64(31)).astype(np.int64)
+        spot = mix(grams[at] + np.uint64(7)) >> np.uint64(33)
+        return at, np.repeat(first, size) + (spot * np.repeat(parts, size).astype(np.uint64) >> np.uint64(31)).astype(np.int64)
+
+    def _empty(self, slot: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The number of empty parts of each set."""
+        parts = self.parts[kind]
+        owner = np.repeat(np.arange(len(kind)), parts)
+        return np.bincount(owner[np.bincount(slot, minlength=len(owner)) == 0], minlength=len(kind))
+
+    def least(self, grams: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(set, class, number of keys it shares with any linked set that meets it there), sorted by set."""
+        found = [np.zeros((0, 3), np.int64)]
+        for rows, kind in self._classes(np.diff(offsets)):
+            _, slot = self._slots(grams, offsets, rows, kind)
+            shared = np.maximum(self.need[kind], self.spare[kind] + 1 - self._empty(slot, kind))
+            found.append(np.stack([rows, kind, shared], 1))
+        every = np.concatenate(found)
+        return tuple(every[np.argsort(every[:, 0], kind="stable")].T)
+
+    def keys(self, grams: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(set, key) of every key of several sets."""
+        owners, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for rows, kind in self._classes(np.diff(offsets)):
+            owner, key = self._of_class(grams, offsets, rows, kind)
+            owners.append(owner)
+            found.append(key)
+        return np.concatenate(owners), np.concatenate(found)
+
+    def _of_class(self, grams, offsets, rows, kind) -> tuple[np.ndarray, np.ndarray]:
+        at, slot = self._slots(grams, offsets, rows, kind)
+        parts = self.parts[kind]
         total = np.zeros(parts.sum(), np.uint64)
         np.add.at(total, slot, mix(grams[at] + np.uint64(11)))
         held = np.bincount(slot, minlength=len(total))
         owner = np.repeat(np.arange(len(rows)), parts)
-        number = np.arange(len(total)) - np.repeat(first, parts)
+        number = np.arange(len(total)) - np.repeat(np.cumsum(parts) - parts, parts)
         name = mix((np.repeat(kind, parts) << 40).astype(np.uint64) + number.astype(np.uint64))
         # The last bits name the class.
         key = mix(np.where(held > 0, mix(total), np.uint64(3)) + name) << np.uint64(CLASS_BITS)
         key |= np.repeat(kind, parts).astype(np.uint64)
-        empty = np.bincount(owner[held == 0], minlength=len(rows))
         # A set with fewer empty parts shares ``need`` others with any partner.
-        written = (held > 0) | (empty > self.spare[kind] + 1 - self.need[kind])[owner]
+        written = (held > 0) | (self._empty(slot, kind) > self.spare[kind] + 1 - self.need[kind])[owner]
         return rows[owner[written]], key[written]
 
 
@@ -212,15 +241,22 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFr
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.transform(words, lambda w: F.xxhash64(w)).alias("words"), *more)
 
 
-def _measure(length: int):
+MEASURES = "doc_id bigint, n bigint, sum_a bigint, sum_b bigint, kinds array<int>, least array<int>"
+
+
+def _measure(length: int, threshold: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts(threshold)
         for batch in batches:
             offsets, words = list_parts(batch.column(1))
             for a, b in _chunks(offsets):
                 where, grams = gram_sets(words[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length)
                 sums = set_sums(grams, where)
                 arrays = [batch.column(0).slice(a, b - a), *map(pa.array, (np.diff(where), *sums))]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "sum_a", "sum_b"])
+                owner, *classes = parts.least(grams, where)
+                ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=b - a))]), pa.int32())
+                arrays += [pa.ListArray.from_arrays(ends, pa.array(c, pa.int32())) for c in classes]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "sum_a", "sum_b", "kinds", "least"])
 
     return run
 
@@ -292,19 +328,39 @@ def _links_of_blocks(docs: DataFrame, placed: DataFrame, length: int, threshold:
     return spread.groupBy("block").applyInArrow(_join_block(threshold), "u bigint, v bigint")
 
 
-def _candidates(keys: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Edges (doc_id, least) between sets that share enough keys of a class, or one key with many others."""
-    same = W.partitionBy("key")
-    sized = keys.select("key", "doc_id", F.count("*").over(same).alias("size"), F.min("doc_id").over(same).alias("least")).filter("size > 1")
-    many = sized.filter((F.col("size") > FEW) & (F.col("doc_id") > F.col("least"))).select("doc_id", "least").distinct()
-    # At most FEW - 1 numbers.
-    before = F.collect_list("doc_id").over(same.orderBy("doc_id").rowsBetween(1 - FEW, -1))
+def _holders(keys: DataFrame, first: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(key, node, kind, least) of the sets that may have a partner, by keys they share.
+
+    ``first`` names the set each text has, ``bounds`` says (node, kind, least).
+    """
     kind = F.col("key").bitwiseAND(F.lit((1 << CLASS_BITS) - 1)).cast("int")
-    pairs = sized.filter(F.col("size") <= FEW).select("doc_id", kind.alias("kind"), before.alias("before"))
-    pairs = pairs.select("doc_id", "kind", F.explode("before").alias("least")).filter("doc_id > least")
-    need = F.get(F.array(*[F.lit(int(n)) for n in Parts(threshold).need]), F.col("kind"))
-    enough = pairs.groupBy("doc_id", "least", "kind").agg(F.count("*").alias("keys")).filter(F.col("keys") >= need)
-    return many.unionByName(enough.select("doc_id", "least").distinct())
+
+    def shared(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("size", F.count("*").over(W.partitionBy("key"))).filter("size > 1").drop("size")
+
+    # Most keys stand alone and end here.
+    rows = checkpointed(shared(keys), "shared")
+    # Texts with equal sets are one.
+    rows = rows.join(first.select("doc_id", F.col("first").alias("node")), "doc_id").select("key", "node").distinct()
+    rows = rows.withColumn("kind", kind).join(bounds, ["node", "kind"])
+    enough = W.partitionBy("node", "kind")
+    for _ in range(WEEDINGS):
+        rows = shared(rows).withColumn("held", F.count("*").over(enough)).filter("held >= least").drop("held")
+        rows = checkpointed(rows, "holders")
+    return rows
+
+
+def _candidates(holders: DataFrame) -> DataFrame:
+    """Edges (node, other) between sets that share enough keys of a class, or one key with many others."""
+    same = W.partitionBy("key")
+    sized = holders.withColumns({"size": F.count("*").over(same), "other": F.min("node").over(same)}).filter("size > 1")
+    many = sized.filter((F.col("size") > FEW) & (F.col("node") > F.col("other"))).select("node", "other").distinct()
+    # At most FEW - 1 entries.
+    before = F.collect_list(F.struct("node", "least")).over(same.orderBy("node").rowsBetween(1 - FEW, -1))
+    pairs = sized.filter(F.col("size") <= FEW).select("node", "kind", "least", before.alias("before"))
+    pairs = pairs.select("node", "kind", "least", F.explode("before").alias("b")).select("node", F.col("b.node").alias("other"), "kind", F.greatest("least", "b.least").alias("least"))
+    enough = pairs.groupBy("node", "other", "kind", "least").agg(F.count("*").alias("keys")).filter("keys >= least")
+    return many.unionByName(enough.select("node", "other").distinct())
 
 
 def jaccard_groups(
@@ -324,7 +380,7 @@ def jaccard_groups(
     table gives no rows.
     """
     measured = checkpointed(
-        _numbered(docs, id_col, text_col).mapInArrow(_measure(length), "doc_id bigint, n bigint, sum_a bigint, sum_b bigint"), "sets"
+        _numbered(docs, id_col, text_col).mapInArrow(_measure(length, threshold), MEASURES), "sets"
     )
     same = ["n", "sum_a", "sum_b"]
     real = measured.filter("n > 0 AND doc_id IS NOT NULL")
@@ -332,9 +388,11 @@ def jaccard_groups(
 
     keys = _numbered(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
     keys = keys.mapInArrow(_write_keys(length, threshold), "key bigint, doc_id bigint")
-    stars = _candidates(keys, threshold)
-    left, right = (first.select(F.col("doc_id").alias(c), F.col("first").alias(f)) for c, f in (("doc_id", "u"), ("least", "v")))
-    candidates = components(stars.join(left, "doc_id").join(right, "least").select("u", "v"))
+    each = real.join(first.filter("doc_id = first").select("doc_id", "n"), ["doc_id", "n"])
+    each = each.select(F.col("doc_id").alias("node"), F.explode(F.arrays_zip("kinds", "least")).alias("c")).select("node", "c.*")
+    bounds = each.withColumnRenamed("kinds", "kind").groupBy("node", "kind").agg(F.min("least").alias("least"))
+    edges = _candidates(_holders(keys, first, bounds))
+    candidates = components(edges.select(F.col("node").alias("u"), F.col("other").alias("v")))
 
     # Every cluster with its members, its smallest one among them.
     members = candidates.unionByName(candidates.select(F.col("root").alias("node"), "root").distinct())

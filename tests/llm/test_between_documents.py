@@ -127,6 +127,37 @@ def test_linked_sets_share_enough_keys(threshold):
         owner, key = parts.keys(grams, np.array([0, len(one), len(grams)]))
         shared = Counter(k % (1 << ngram_join.CLASS_BITS) for k in set(key[owner == 0].tolist()) & set(key[owner == 1].tolist()))
         assert any(n >= parts.need[kind] for kind, n in shared.items())
+        sets, kinds, least = parts.least(grams, np.array([0, len(one), len(grams)]))
+        owed = [dict(zip(kinds[sets == k].tolist(), least[sets == k].tolist())) for k in (0, 1)]
+        assert {k for o in owed for k in o} == {k % (1 << ngram_join.CLASS_BITS) for k in key.tolist()}
+        assert any(n >= max(owed[0].get(kind, 0), owed[1].get(kind, 0)) for kind, n in shared.items())
+
+
+def test_a_passage_in_half_of_all_texts_chains_nothing(spark, monkeypatch):
+    """Texts that share one passage, and near copies among them, in blocks far smaller than the texts."""
+    r = random.Random(9)
+    passage = [f"p{i}" for i in range(30)]
+    docs = []
+    for i in range(300):
+        words = [f"v{r.randrange(5000)}" for _ in range(r.choice([120, 150, 200]))]
+        if i % 2:
+            at = r.randrange(len(words))
+            words = words[:at] + passage + words[at:]
+        docs.append((i, " ".join(words)))
+        if i % 10 == 0:
+            docs.append((1000 + i, " ".join(changed(r, words, 2))))
+    placed = []
+    blocks_of = ngram_join._links_of_blocks
+
+    def watched(docs, rows, *rest):
+        placed.append(rows.count())
+        return blocks_of(docs, rows, *rest)
+
+    monkeypatch.setattr(ngram_join, "_links_of_blocks", watched)
+    found = sorted(tuple(x) for x in ngram_join.jaccard_groups(spark.createDataFrame(docs, DOCS)).collect())
+    assert found == plain_groups(docs)
+    # Only the copies and their originals are joined, once.
+    assert len(placed) == 1 and placed[0] <= 80
 
 
 def test_tree_groups_of_a_block():
