@@ -1,9 +1,10 @@
 """Trailing means over row windows, for groups of any size.
 
 A row window needs its group in order, and one group may hold a third of all
-rows. So an ordered group is cut into blocks of bounded size, each block is
-given the few rows that come just before it, and the window runs per block. The
-result is that of one window over the whole group.
+rows. So all rows are dealt by range of (group, day, id) into blocks of about equal
+size, with cuts that Spark takes from a sample of the data itself. Each block
+is given the few rows that come just before it in its group, and the window runs per
+group and block. The result is that of one window over the whole group.
 """
 
 from __future__ import annotations
@@ -12,37 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import stage
 
-def with_blocks(df: DataFrame, keys: list[str], day: str, row_id: str, block_rows: int) -> DataFrame:
-    """Add ``_block`` and ``_split`` (the group has several): an order-keeping cut of each group by (``day``, ``row_id``) into about ``block_rows`` rows.
 
-    Whole days are packed into a block; a day with more rows is cut by ranges of
-    its ids. Only the counts per (group, day) are put in order for this.
+def with_blocks(df: DataFrame, keys: list[str], order: list[str], block_rows: int) -> DataFrame:
+    """``df`` with ``_block``: a cut of its rows in the order of ``keys`` and ``order`` into about ``block_rows`` rows.
+
+    The source is evaluated once; the cuts come from a sample of what it gave. Rows
+    that are equal in all these columns are in one block.
     """
-    days = df.groupBy(*keys, day).agg(F.count("*").alias("_n"), F.min(row_id).alias("_low"), F.max(row_id).alias("_high"))
-    earlier = W.partitionBy(*keys).orderBy(day).rowsBetween(W.unboundedPreceding, -1)
-    total = F.sum("_n").over(W.partitionBy(*keys))
-    placed = days.select(
-        *keys,
-        day,
-        "_low",
-        "_high",
-        F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / block_rows).alias("_major"),
-        F.ceil(F.col("_n") / block_rows).alias("_cuts"),
-        (total > block_rows).alias("_split"),
-    )
-    # Days packed together share ``major``; a day in several pieces is told apart
-    # by itself, and moves ``major`` on by at least one.
-    big = F.col("_cuts") > 1
-    joined = df.join(placed, [*keys, day])
-    width = (F.col("_high") - F.col("_low") + 1).cast("double")
-    piece = F.least(F.floor((F.col(row_id) - F.col("_low")) / width * F.col("_cuts")), F.col("_cuts") - 1)
-    block = F.struct(
-        F.col("_major").alias("major"),
-        F.when(big, F.col(day)).otherwise(F.lit(None)).alias("day"),
-        F.when(big, piece).otherwise(F.lit(0)).cast("bigint").alias("piece"),
-    )
-    return joined.withColumn("_block", block).drop("_low", "_high", "_major", "_cuts")
+    rows = stage(df, "rows")
+    blocks = max(1, -(-rows.count() // block_rows))
+    by = list(dict.fromkeys([*keys, *order]))
+    return stage(rows.repartitionByRange(blocks, *by).withColumn("_block", F.spark_partition_id()), "blocks")
 
 
 def trailing_means(
@@ -57,22 +40,26 @@ def trailing_means(
 ) -> DataFrame:
     """Add the mean of ``value`` over the last ``n`` rows for each ``{name: n}`` of ``windows``.
 
-    Rows are ordered by ``day``, ``row_id`` and the ``tie`` columns within ``keys``.
+    Rows are ordered by ``day``, ``row_id`` and the ``tie`` columns within ``keys``. The
+    rows are written to the shared folder, once as they come and once in blocks.
     """
     order_cols = list(dict.fromkeys([day, row_id, *(tie or [])]))
     carried_cols = list(dict.fromkeys([*order_cols, value]))
     longest = max(windows.values())
-    blocked = with_blocks(df, keys, day, row_id, block_rows)
+    blocked = with_blocks(df, keys, order_cols, block_rows)
     order = [F.col(c).asc() for c in order_cols]
 
+    # Groups of one block need nothing from other blocks. Those of several are no more than there are blocks.
+    spans = blocked.groupBy(*keys).agg(F.min("_block").alias("_from"), F.max("_block").alias("_to")).filter("_from < _to")
+    same_group = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    cut = blocked.select(*keys, "_block", *[c for c in carried_cols if c not in keys]).alias("r").join(spans.alias("s"), same_group, "left_semi")
+
     # The last rows of every block (cut down in each map task before the shuffle).
     backwards = W.partitionBy(*keys, "_block").orderBy(*[F.col(c).desc() for c in order_cols])
-    # Groups of one block need none of this and are left out here.
-    slim = blocked.filter("_split").select(*keys, "_block", *carried_cols)
-    tails = slim.withColumn("_back", F.row_number().over(backwards)).filter(F.col("_back") < longest).drop("_back")
+    tails = cut.withColumn("_back", F.row_number().over(backwards)).filter(F.col("_back") < longest).drop("_back")
 
     # Per block, the rows just before it: the tails of earlier blocks are enough.
-    in_group = W.partitionBy(*keys).orderBy(*order)
+    in_group = W.partitionBy(*keys).orderBy("_block", *order)
     entry = F.struct(*carried_cols)
     before = F.collect_list(entry).over(in_group.rowsBetween(-(longest - 1), -1))
     heads = tails.select(
@@ -85,7 +72,7 @@ def trailing_means(
         *keys, "_block", *[F.col(f"_e.{c}").alias(c) for c in carried_cols], F.lit(True).alias("_carried")
     )
 
-    rows = blocked.drop("_split").withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    rows = blocked.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
     in_block = W.partitionBy(*keys, "_block").orderBy(F.col("_carried").desc(), *order)
     means = {name: F.avg(value).over(in_block.rowsBetween(-(n - 1), 0)) for name, n in windows.items()}
     return rows.withColumns(means).filter(~F.col("_carried")).drop("_carried", "_block")

@@ -26,9 +26,41 @@ def test_cut_groups_equal_one_window(polls, block_rows):
     assert got.count() == polls.count() and joined.count() == 6000 and bad.count() == 0
 
 
-def test_blocks_are_bounded(polls):
-    sizes = with_blocks(polls, ["g"], "day", "row_id", 100).groupBy("g", "_block").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 200
+def test_blocks_are_bounded_by_the_data_and_not_by_its_ids(spark, polls):
+    # Nearly all ids of the hot group lie close together and one lies far away.
+    far = polls.withColumn("row_id", F.when(F.col("row_id") == 5, F.lit(10**15)).otherwise(F.col("row_id")))
+    blocks = with_blocks(far, ["g"], ["day", "row_id"], 100)
+    sizes = blocks.groupBy("_block").agg(F.count("*").alias("n"), F.min(F.struct("g", "day", "row_id")).alias("low"), F.max(F.struct("g", "day", "row_id")).alias("high"))
+    rows = sizes.orderBy("_block").collect()
+    assert max(r.n for r in rows) <= 200 and sum(r.n for r in rows) == 6000 and len(rows) >= 40
+    assert all(tuple(a.high) < tuple(b.low) for a, b in zip(rows, rows[1:]))
+    # The largest group, and its largest day, lie in several blocks.
+    assert blocks.filter("g = 'hot' AND day = 17").select("_block").distinct().count() > 1
+
+
+def test_far_ids_and_null_groups_equal_one_window(spark, polls):
+    odd = polls.withColumns({"row_id": F.when(F.col("row_id") == 5, F.lit(10**15)).otherwise(F.col("row_id")), "g": F.when(F.col("g") != "hot", F.col("g"))})
+    w = W.partitionBy("g").orderBy("day", "row_id")
+    want = odd.withColumn("m", F.avg("x").over(w.rowsBetween(-6, 0)))
+    got = trailing_means(odd, ["g"], "day", "row_id", "x", {"m": 7}, block_rows=150)
+    assert got.count() == 6000
+    bad = got.alias("a").join(want.alias("b"), "row_id").filter(F.abs(F.col("a.m") - F.col("b.m")) > 1e-9)
+    assert bad.count() == 0
+
+
+def test_the_source_is_read_once(spark, polls, tmp_path):
+    polls.write.parquet(str(tmp_path / "p"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = spark.read.parquet(str(tmp_path / "p"))
+    counted = source.mapInArrow(touch, source.schema)
+    assert trailing_means(counted, ["g"], "day", "row_id", "x", WINDOWS, block_rows=500).count() == 6000
+    assert seen.value == 6000
 
 
 def test_means_by_days(spark):
