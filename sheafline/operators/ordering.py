@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 
 def newest_first(df: DataFrame, limit: int | None = None, time: str = "created_at", key: str = "id") -> DataFrame:
     """Newest rows first, ties by key; no limit for None or 0.
@@ -84,7 +86,8 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
 
     Equal values are counted first, so a group costs its distinct values and not
     its rows, and the running count over them can spill. Meant for whole-number
-    measures (durations, lengths), whose distinct values are bounded.
+    measures (durations, lengths), whose distinct values are bounded; ``run_median``
+    takes any.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     group = W.partitionBy(*keys)
@@ -101,6 +104,64 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     )
 
 
+#: Ranges a span of values is cut into, and values that are put in order at the end.
+MEDIAN_RANGES = 1024
+MEDIAN_ROWS = 10_000
+
+
+def run_median(
+    df: DataFrame, keys: list[str], value: str, name: str = "median", ranges: int = MEDIAN_RANGES, few: int = MEDIAN_ROWS
+) -> DataFrame:
+    """Exact interpolating median of any numbers per key, by counting ranges; nulls and NaN are left out.
+
+    The values of a group are counted by ranges between its smallest and its largest;
+    the range that holds the middle is cut again, between its own smallest and
+    largest value, until it has few rows or a single value. Each round counts the rows
+    that are left before the shuffle, and a task sees at most ``ranges`` counts of a
+    group; only the last few values of a group are put in order. The rows left are
+    written to the shared folder after each round.
+    """
+    number = F.col(value).cast("double")
+    rows = df.select(*keys, number.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    spans = rows.groupBy(*keys).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("_n"))
+    # One target per place of the middle: two where the number of values is even.
+    places = F.array_distinct(F.array(F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)))
+    spans = stage(spans.withColumn("_place", F.explode(places)).withColumn("_before", F.lit(0).cast("bigint")), "spans")
+    span_columns = ["_low", "_high", "_n", "_place", "_before"]
+
+    def inside(rows: DataFrame, spans: DataFrame) -> DataFrame:
+        return _null_safe_join(rows, spans, keys).filter(F.col("_v").between(F.col("_low"), F.col("_high")))
+
+    while not spans.filter((F.col("_n") > few) & (F.col("_low") < F.col("_high"))).isEmpty():
+        # Halves keep the width of a span of huge numbers finite.
+        width = F.col("_high") / 2 - F.col("_low") / 2
+        part = F.when(width > 0, (F.col("_v") / 2 - F.col("_low") / 2) / width).otherwise(0.0)
+        # The largest value is in the last range, so every round parts a span of several values.
+        last = (F.col("_v") == F.col("_high")) & (F.col("_low") < F.col("_high"))
+        cut = F.when(last, F.lit(ranges - 1)).otherwise(F.least(F.floor(part * ranges), F.lit(ranges - 1))).alias("_range")
+        counts = inside(rows, spans).select(*keys, "_place", "_before", "_v", cut)
+        counts = counts.groupBy(*keys, "_place", "_before", "_range").agg(
+            F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("_n")
+        )
+        reached = F.sum("_n").over(W.partitionBy(*keys, "_place").orderBy("_range")) + F.col("_before")
+        placed = counts.withColumn("_to", reached).filter((F.col("_to") > F.col("_place")) & (F.col("_to") - F.col("_n") <= F.col("_place")))
+        spans = stage(placed.withColumn("_before", F.col("_to") - F.col("_n")).select(*keys, *span_columns), "spans")
+        kept = spans.groupBy(*keys).agg(F.min("_low").alias("_low"), F.max("_high").alias("_high"))
+        rows = stage(inside(rows, kept).select(*keys, "_v"), "middle")
+
+    counts = inside(rows, spans).groupBy(*keys, "_place", "_before", "_v").agg(F.count("*").alias("_n"))
+    reached = F.sum("_n").over(W.partitionBy(*keys, "_place").orderBy("_v")) + F.col("_before")
+    middle = counts.withColumn("_to", reached).filter((F.col("_to") > F.col("_place")) & (F.col("_to") - F.col("_n") <= F.col("_place")))
+    return middle.groupBy(*keys).agg((F.sum("_v") / F.count("_v")).alias(name))
+
+
+def _null_safe_join(rows: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the columns of their group's spans; a null key is a group. One row per key and place on the right."""
+    right = spans.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in spans.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return rows.join(right, on).drop(*[f"_key_{k}" for k in keys])
+
+
 def sample_by_hash(df: DataFrame, key: Column, cap: int = 1000) -> DataFrame:
     """A fixed sample of ``cap`` rows, chosen by the hash of a unique key: the same in every run."""
     return df.orderBy(F.md5(key.cast("string")), key).limit(cap)

@@ -243,6 +243,17 @@ def _(v):
     return st.language_distribution(v.table("documents"), "lang")
 
 
+@query(
+    "d13_median_by_ranges",
+    "SELECT l_returnflag, l_linestatus, quantile_cont(l_extendedprice, 0.5) AS median, count(*) AS n FROM lineitem GROUP BY ALL",
+)
+def _(v):
+    """Prices, of which most are different: no task orders the values of a group."""
+    keys = ["l_returnflag", "l_linestatus"]
+    medians = ordering.run_median(v.table("lineitem"), keys, "l_extendedprice", few=100)
+    return medians.join(v.table("lineitem").groupBy(*keys).agg(F.count("*").alias("n")), keys)
+
+
 @query(
     "d15_batch_result",
     """SELECT count(*) FILTER (WHERE validation_status_id = 1) AS success_count, count(*) FILTER (WHERE validation_status_id <> 1) AS error_count,
