@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.json_schema import error_messages, with_schema_errors
 from ..operators.lookups import already_cleaned, by_name, not_cleaned
 from ..operators.maintenance import CLEANED_KEY, append_rows, new_rows
+from ..operators.ordering import BUCKET_ROWS
 from ..operators.selectors import recent, select_ids
-from ..operators.statistics import batch_result
 from ..schemas import CLEANED_DATA
-from ..sources.tables import conform, read_table
+from ..session import stage
+from ..sources.tables import append_table, conform, read_table
 from ..vocab import VALIDATION_STATUSES
 from .cleaners import Cleaner
 
@@ -108,10 +109,10 @@ def checked_rows(todo: DataFrame, cleaner: Cleaner, schema_id: int, schema: dict
     )
 
 
-def numbered_cleaned_rows(batch: DataFrame, cleaned: DataFrame) -> DataFrame:
+def numbered_cleaned_rows(batch: DataFrame, cleaned: DataFrame, buckets: int | None = None) -> DataFrame:
     """The batch with ids, without keys the table already holds."""
     fresh = new_rows(batch, cleaned, CLEANED_KEY, [F.col("raw_data_id").asc()])
-    return append_rows(fresh, conform(cleaned, CLEANED_DATA), F.col("raw_data_id"))
+    return append_rows(fresh, conform(cleaned, CLEANED_DATA), F.col("raw_data_id"), buckets)
 
 
 def clean_results(wanted: DataFrame, cleaned: DataFrame, cleaner: Cleaner) -> DataFrame:
@@ -122,13 +123,60 @@ def clean_results(wanted: DataFrame, cleaned: DataFrame, cleaner: Cleaner) -> Da
     )
 
 
-def run_clean(spark: SparkSession, wanted: DataFrame, cleaned_path: str, cleaner: Cleaner, schema_id: int, schema: dict, as_of: str) -> DataFrame:
-    """Clean, append once to the Parquet table at ``cleaned_path``, and count the results.
+def _clock() -> Column:
+    """Nanoseconds of the machine's clock, read anew for every row."""
+    return F.reflect(F.lit("java.lang.System"), F.lit("nanoTime")).cast("bigint")
+
+
+def _timed(staged: DataFrame) -> DataFrame:
+    """Staged rows with ``cleaning_time_ms``: the mean time between the rows of their task, in whole milliseconds, at least one."""
+    apart = F.max("_clock") - F.min("_clock")
+    mean = F.ceil(apart / F.greatest(F.count("*") - 1, F.lit(1)) / 1e6).cast("bigint")
+    # One row per task.
+    times = staged.groupBy("_task").agg(F.greatest(mean, F.lit(1)).alias("_ms"))
+    return staged.join(times, "_task").withColumn("cleaning_time_ms", F.col("_ms")).drop("_task", "_clock", "_ms")
 
-    The new rows are put together from the table as it was before the write, so
-    a second run appends nothing.
+
+def run_clean(spark: SparkSession, wanted: DataFrame, cleaned_path: str, cleaner: Cleaner, schema_id: int, schema: dict, as_of: str) -> DataFrame:
+    """Clean, append once to the Parquet table at ``cleaned_path``, and return one row of figures.
+
+    The rows are cleaned in one pass that writes them to the shared folder. The same
+    pass counts them by outcome and reads the clock behind each row: nothing is
+    read again for the figures. The new rows are put together before the table is
+    touched, so a second run appends nothing.
+
+    Figures: success_count (rows asked for that have a cleaned row in the end),
+    error_count (those that have none: repeats of an id), skipped_count (successes of
+    earlier runs), valid_count and invalid_count of the new rows, failed_count (invalid
+    because their transform failed; kept with the reason), average_time_per_record
+    (of the new rows in ms, 0.0 where there are none).
     """
     cleaned = read_table(spark, cleaned_path, CLEANED_DATA)
-    batch = numbered_cleaned_rows(cleaned_rows(wanted, cleaned, cleaner, schema_id, schema, as_of), cleaned)
-    batch.write.mode("append").parquet(cleaned_path)
-    return batch_result(clean_results(wanted, read_table(spark, cleaned_path, CLEANED_DATA), cleaner))
+    asked, outcome = Observation(), Observation()
+    valid = VALIDATION_STATUSES.index("valid") + 1
+    failed = F.get_json_object("validation_error", "$.cleaning_failed") == "true"
+    rows = cleaned_rows(wanted.observe(asked, F.count("*").alias("rows")), cleaned, cleaner, schema_id, schema, as_of)
+    rows = rows.observe(
+        outcome,
+        F.count("*").alias("rows"),
+        F.count_if(F.col("validation_status_id") == valid).alias("valid"),
+        F.count_if(F.coalesce(failed, F.lit(False))).alias("failed"),
+    )
+    staged = _timed(stage(rows.withColumns({"_task": F.spark_partition_id(), "_clock": _clock()}), "cleaning"))
+    counts = outcome.get
+    skipped = asked.get["rows"] - counts["rows"]
+    batch = numbered_cleaned_rows(staged, cleaned, buckets=max(1, -(-counts["rows"] // BUCKET_ROWS)))
+    times = Observation()
+    batch = batch.observe(times, F.count("*").alias("rows"), F.avg("cleaning_time_ms").alias("mean"))
+    append_table(batch, cleaned_path)
+    written = times.get
+    figures = {
+        "success_count": written["rows"] + skipped,
+        "error_count": counts["rows"] - written["rows"],
+        "skipped_count": skipped,
+        "valid_count": counts["valid"],
+        "invalid_count": counts["rows"] - counts["valid"],
+        "failed_count": counts["failed"],
+    }
+    mean = F.lit(written["mean"] or 0.0).cast("double")
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(k) for k, n in figures.items()], mean.alias("average_time_per_record"))

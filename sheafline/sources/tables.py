@@ -19,6 +19,25 @@ def read_table(spark: SparkSession, location: str, schema: StructType | None = N
     return reader.parquet(location)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Save a catalog table dealt by a hash of its key, and sorted by it inside each bucket.
+
+    Tables dealt by the same key into the same number of buckets are joined without a
+    shuffle on either side. Rows are brought together by bucket first, so a bucket is
+    one file per write and not one per task.
+    """
+    writer = df.repartition(buckets, key).write.format("parquet").mode("errorifexists").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def append_table(df: DataFrame, location: str) -> None:
+    """Append rows to a catalog table by name, in its own buckets, or to a Parquet folder by path."""
+    if "/" in location:
+        df.write.mode("append").parquet(location)
+    else:
+        df.select(*df.sparkSession.table(location).columns).write.insertInto(location)
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
     """Spread a table scan over all cores when it comes in fewer splits than there are cores.
 

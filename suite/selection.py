@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sheafline.operators import integrity, lookups, ordering, resolve, selectors
+from sheafline.session import shared_dir
 from sheafline.sources import poll_files
+from sheafline.sources.tables import write_bucketed
 
 from .base import query
 
@@ -280,15 +282,28 @@ def _(v):
     return lookups.unused_schemas(_schemas(v), v.cleaned_data(), "cleaned_data_metadata_schema_id").select("id", "metadata_schema")
 
 
-@query(
-    "c7_not_cleaned",
-    f"""SELECT {RAW} FROM raw_data r WHERE NOT EXISTS (SELECT 1 FROM cleaned_data c
-        WHERE c.raw_data_id = r.id AND c.cleaner_used = 'article_cleaner' AND c.cleaner_version = '2.0.0')""",
-)
+_NOT_CLEANED = f"""SELECT {RAW} FROM raw_data r WHERE NOT EXISTS (SELECT 1 FROM cleaned_data c
+        WHERE c.raw_data_id = r.id AND c.cleaner_used = 'article_cleaner' AND c.cleaner_version = '2.0.0')"""
+
+
+@query("c7_not_cleaned", _NOT_CLEANED)
 def _(v):
     return _raw(lookups.not_cleaned(v.raw_data(), v.cleaned_data(), "article_cleaner", "2.0.0"))
 
 
+@query("c7_not_cleaned_bucketed", _NOT_CLEANED)
+def _(v):
+    """Both tables dealt by the raw id when they were written."""
+    base = shared_dir(v.spark, "bucketed")
+    tables = {}
+    for name, rows, key in (("raw", v.raw_data(), "id"), ("cleaned", v.cleaned_data(), "raw_data_id")):
+        # The catalog entry is of this session; the files lie in the shared folder.
+        tables[name] = f"{name}_{base[-12:]}"
+        write_bucketed(rows, tables[name], key, 8, f"{base}/{name}")
+    raw, cleaned = (v.spark.table(t) for t in tables.values())
+    return _raw(lookups.not_cleaned(raw, cleaned, "article_cleaner", "2.0.0"))
+
+
 @query(
     "c7_already_cleaned",
     """SELECT c.id, c.raw_data_id FROM cleaned_data c WHERE c.cleaner_used = 'article_cleaner' AND c.cleaner_version = '2.0.0'

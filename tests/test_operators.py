@@ -1,5 +1,6 @@
-import random
 import datetime as dt
+import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,27 @@ def test_cleaner_summary_sample(spark):
     assert nothing.total_cleaned == 0 and nothing.success_rate == 0.0
 
 
+@pytest.mark.parametrize(("ranges", "few"), [(4, 3), (16, 1), (1024, 10_000)])
+def test_medians_by_ranges(spark, ranges, few):
+    r = random.Random(11)
+    groups = {
+        "even": [r.random() for _ in range(200)],
+        "odd": [r.gauss(0, 1e6) for _ in range(101)],
+        "wide": [10.0 ** r.randint(-300, 300) * r.choice([-1, 1]) for _ in range(60)],
+        "huge": [-1.7e308, 1.7e308, 1.6e308],
+        "ties": [1.0] * 50 + [2.0] * 50,
+        "one": [7.0],
+        "same": [3.0] * 9,
+        None: [1.0, 2.0, 10.0, 11.0],
+        "none": [None, float("nan")],
+    }
+    rows = [(k, x) for k, xs in groups.items() for x in xs] + [("odd", None)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {row.k: row.median for row in ordering.run_median(df, ["k"], "x", ranges=ranges, few=few).collect()}
+    assert got == {k: statistics.median(xs) for k, xs in groups.items() if k != "none"}
+
+
 def test_medians(spark):
     rows = [("a", 1), ("a", 2), ("a", 2), ("a", 9), ("b", 5), ("c", None), ("d", 1), ("d", 4)]
     df = spark.createDataFrame(rows, "k string, x bigint")
@@ -231,6 +253,47 @@ def test_clean_job_skips_what_is_done(spark, tmp_path):
     assert stored[2].metadata == "{}" and "cleaning_failed" in stored[2].validation_error
 
 
+def test_clean_job_figures_come_from_the_pass_that_writes(spark, tmp_path):
+    path = str(tmp_path / "cleaned")
+    tables.conform(spark.range(0), clean_job.CLEANED_DATA).write.parquet(path)
+    rows = [(i, "t", "en", None, '{"title": "T", "content": "c"}' if i % 5 else "{}") for i in range(50)]
+    raw = spark.createDataFrame(rows, "id bigint, title string, language_code string, url string, metadata string")
+    cleaner = cleaners.get_cleaner("wikipedia_cleaner", cleaned_at="now")
+    run = lambda asked: clean_job.run_clean(spark, asked, path, cleaner, 1, clean_job.ARTICLE_SCHEMA["schema"], "2024-01-01").first()
+    first = run(raw.filter("id < 30"))
+    stored = spark.read.parquet(path)
+    summary = st.cleaner_summary(stored, cleaner.name, cleaner.version, 1).first()
+    assert (first.success_count, first.error_count, first.skipped_count) == (30, 0, 0)
+    assert (first.valid_count, first.invalid_count, first.failed_count) == (summary.valid_count, summary.invalid_count, 6) == (24, 6, 6)
+    assert first.average_time_per_record == summary.avg_cleaning_time_ms >= summary.min_cleaning_time_ms >= 1
+    second = run(raw.unionByName(raw.filter("id = 40")))
+    assert (second.success_count, second.error_count, second.skipped_count) == (50, 1, 30)
+    third = run(raw)
+    assert (third.success_count, third.skipped_count, third.valid_count, third.average_time_per_record) == (50, 50, 0, 0.0)
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path):
+    raw = spark.range(500).select("id", F.lit("t").alias("title"))
+    cleaned = raw.filter("id % 3 = 0").select(F.col("id").alias("raw_data_id"), F.lit("c").alias("cleaner_used"), F.lit("1").alias("cleaner_version"))
+    names = [f"{kind}_{tmp_path.name}" for kind in ("raw", "cleaned")]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        tables.write_bucketed(raw, names[0], "id", 4, str(tmp_path / "raw"))
+        tables.write_bucketed(cleaned, names[1], "raw_data_id", 4, str(tmp_path / "cleaned"))
+        left = lookups.not_cleaned(spark.table(names[0]), spark.table(names[1]), "c", "1")
+        assert "Exchange" not in left._jdf.queryExecution().executedPlan().toString()
+        assert left.count() == 333
+        tables.append_table(cleaned.limit(1).withColumn("raw_data_id", F.lit(1).cast("bigint")), names[1])
+        left = lookups.not_cleaned(spark.table(names[0]), spark.table(names[1]), "c", "1")
+        assert "Exchange" not in left._jdf.queryExecution().executedPlan().toString()
+        assert left.count() == 332
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_cleaner_registry():
     assert cleaners.available_cleaners() == ["fivethirtyeight_cleaner", "wikipedia_cleaner"]
     with pytest.raises(ValueError, match="unknown cleaner"):

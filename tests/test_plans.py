@@ -8,7 +8,7 @@ import suite.registry as registry
 
 FOLDER = "/root/testdata/sf0.001"
 # Queries that run jobs or streams while they are built.
-EAGER = {n for n in registry.QUERIES if n.startswith(("s1", "s2_status_windows", "s3", "a1", "a4", "a5", "m2", "m3_predictions", "m6_feature", "p1_clean_twice"))}
+EAGER = {n for n in registry.QUERIES if n.startswith(("s1", "s2_status_windows", "s3", "a1", "a4", "a5", "m2", "m3_predictions", "m6_feature", "p1_clean_twice", "p1_clean_figures"))}
 
 
 def plan(spark, name):
