@@ -1,14 +1,16 @@
 """License scan: fixed phrases, and an exact set-similarity join of text blocks with templates.
 
-A block is a line. A template is found in a block when at least ``threshold`` of
-the template's different words stand in it. Words are ordered by how many
-documents of the corpus have them, rarest first; of a template and of a block only
-a short beginning in that order has to share a word (prefix filter), the words
-after the shared ones must suffice (positional filter), and blocks with too few
-words are left out (length filter). What remains is compared word set by word set.
-
-With ``windows`` a block is as many consecutive words as the template has, over line
-breaks: wrapped statements are found, and words scattered over a long line are not.
+A block is a window of as many consecutive words as a template has, over line breaks
+and punctuation; the template is found in it when at least ``threshold`` of the
+template's different words stand in it. The template's words are ordered by how many
+documents of the corpus have them, rarest first. A window that holds enough of them
+holds one of the first few (prefix filter), so windows are looked for only around the
+places of these; the words of the template around such a place must be enough (length
+filter), and of the words a window shares with the template the place must be the
+rarest, with enough words behind it in the order (positional filter). What remains is
+compared word set by word set. A window can be taken to start with a word of its
+template, as moving it there loses none.
+
 Only built-in functions are used.
 """
 
@@ -26,16 +28,57 @@ THRESHOLD = (8, 10)
 # Phrases with their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# License statements with their labels.
+# License statements, and whole texts of short licenses, with their labels.
 TEMPLATES = [
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    (
+        "apache-2.0",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
+limitations under the License.""",
+    ),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    (
+        "bsd-2-clause",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
+THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    ),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    (
+        "gpl-3.0",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
+FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    ),
+    (
+        "isc",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS.""",
+    ),
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    (
+        "mit",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
+to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,
+and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    ),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("public-domain", "This work has been dedicated to the public domain."),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
 
@@ -49,10 +92,9 @@ def literal_rows(spark: SparkSession, rows: list[Column]) -> DataFrame:
 
 
 def _template_words(spark: SparkSession, templates: list[tuple[str, str]]) -> dict[int, list[str]]:
-    """The different words of each template; as many rows as templates."""
+    """The words of each template in order; as many rows as templates."""
     rows = literal_rows(spark, [F.struct(F.lit(i).alias("number"), F.lit(text).alias("text")) for i, (_, text) in enumerate(templates)])
-    found = rows.select("number", F.sort_array(F.array_distinct(word_list(F.col("text")))).alias("words")).collect()
-    return {r["number"]: list(r["words"]) for r in found}
+    return {r["number"]: list(r["words"]) for r in rows.select("number", word_list(F.col("text")).alias("words")).collect()}
 
 
 def document_counts(docs: DataFrame, words: list[str]) -> dict[str, int]:
@@ -81,81 +123,70 @@ def _phrase_places(phrase: str) -> Column:
 def template_blocks(
     words: DataFrame, spark: SparkSession, templates: list[tuple[str, str]], threshold: tuple[int, int]
 ) -> DataFrame:
-    """(doc_id, text_key, block, label, containment) of every block that holds a template.
+    """(doc_id, text_key, block, label, containment) of every window that holds a template; ``block`` is its first word.
 
-    ``words`` has doc_id, text_key, text and words of each document.
+    ``words`` has doc_id, text_key and words of each document.
     """
     num, den = threshold
-    sets = _template_words(spark, templates)
+    in_order = _template_words(spark, templates)
+    sets = {i: sorted(set(w)) for i, w in in_order.items()}
     vocabulary = sorted({w for s in sets.values() for w in s})
     counts = document_counts(words, vocabulary)
-    rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
+    ranked = {i: sorted(s, key=lambda w: (counts.get(w, 0), w)) for i, s in sets.items()}
     need = {i: -(-num * len(s) // den) for i, s in sets.items()}
-    ordered = {i: sorted(s, key=rank.__getitem__) for i, s in sets.items()}
-    least = min(need.values())
+    prefix = {i: s[: len(s) - need[i] + 1] for i, s in ranked.items()}
+    longest = max(map(len, in_order.values()))
 
     index = literal_rows(
         spark,
         [
             F.struct(
                 F.lit(w).alias("word"),
-                F.lit(j).alias("place"),
                 F.lit(label).alias("label"),
-                F.array(*[F.lit(rank[x]) for x in ordered[i]]).alias("template"),
+                F.lit(len(in_order[i])).alias("size"),
                 F.lit(need[i]).alias("need"),
+                F.array(*map(F.lit, ranked[i])).alias("template"),
+                # The words that come before this one in the order.
+                F.array(*map(F.lit, ranked[i][:j])).cast("array<string>").alias("rarer"),
             )
             for i, (label, _) in enumerate(templates)
-            for j, w in enumerate(ordered[i][: len(ordered[i]) - need[i] + 1])
+            for j, w in enumerate(prefix[i])
         ],
     )
-    first_words = F.array(*[F.lit(w) for w in sorted({w for i, s in ordered.items() for w in s[: len(s) - need[i] + 1]})])
-    by_rank = F.array(*[F.lit(w) for w in sorted(vocabulary, key=rank.__getitem__)])
-
-    maybe = words.filter(F.size(F.array_intersect("words", first_words)) > 0)
-    blocks = maybe.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("block", "line"))
-    # The block's words that stand in any template, rarest first, and their ranks.
-    blocks = blocks.select("doc_id", "text_key", "block", F.array_intersect(by_rank, word_list(F.col("line"))).alias("known"))
-    blocks = blocks.filter(F.size("known") >= least)
-    ranks = F.transform("known", lambda w: F.array_position(by_rank, w).cast("int") - 1)
-    blocks = blocks.withColumn("ranks", ranks)
-    prefix = blocks.select(
-        "doc_id", "text_key", "block", "ranks", F.posexplode(F.slice("known", F.lit(1), F.size("known") - least + 1)).alias("at", "word")
+    first_words = F.array(*map(F.lit, sorted({w for s in prefix.values() for w in s})))
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda k: F.array_contains(first_words, F.get(F.col("words"), k)))
+    # What any window over a place may hold.
+    low = lambda k: F.greatest(k - (longest - 1), F.lit(0))
+    around = F.transform(
+        places,
+        lambda k: F.struct(
+            F.get(F.col("words"), k).alias("word"),
+            (k - low(k)).alias("at"),
+            low(k).alias("from"),
+            F.slice("words", low(k) + 1, k - low(k) + longest).alias("near"),
+        ),
     )
-    rest = F.least(F.size("ranks") - F.col("at"), F.size("template") - F.col("place"))
-    pairs = prefix.join(index, "word").filter((F.size("ranks") >= F.col("need")) & (rest >= F.col("need")))
-    pairs = pairs.withColumn("both", F.size(F.array_intersect("ranks", "template"))).filter("both >= need")
-    share = F.col("both") / F.size("template")
-    return pairs.groupBy("doc_id", "text_key", "block", "label").agg(F.max(share).alias("containment"))
-
-
-def template_windows(
-    words: DataFrame, spark: SparkSession, templates: list[tuple[str, str]], threshold: tuple[int, int]
-) -> DataFrame:
-    """(doc_id, text_key, block, label, containment) of every template-sized window that holds a template; ``block`` is its first word.
-
-    A window can be taken to start with a word of its template: moving it there loses none.
-    """
-    num, den = threshold
-    sets = _template_words(spark, templates)
-    sizes = literal_rows(spark, [F.struct(F.lit(i).alias("number"), F.lit(text).alias("text")) for i, (_, text) in enumerate(templates)])
-    sizes = {r["number"]: r["size"] for r in sizes.select("number", F.size(word_list(F.col("text"))).alias("size")).collect()}
-
-    def of_template(i: int, label: str) -> Column:
-        template, need = F.array(*map(F.lit, sets[i])), -(-num * len(sets[i]) // den)
-
-        def window(k: Column) -> Column:
-            both = F.size(F.array_intersect(F.slice("words", k + 1, sizes[i]), template))
-            return F.struct(k.alias("block"), F.lit(label).alias("label"), both.alias("both"), (both / len(sets[i])).alias("containment"))
+    maybe = words.filter(F.arrays_overlap("words", first_words))
+    hits = maybe.select("doc_id", "text_key", F.inline(around)).join(index, "word")
+    # Of the words around, only as many as this template has.
+    left = F.least(F.col("at"), F.col("size") - 1)
+    hits = hits.select(
+        "doc_id", "text_key", "word", "label", "size", "need", "template", "rarer",
+        (F.col("from") + F.col("at") - left).alias("from"), left.alias("at"),
+        F.slice("near", F.col("at") - left + 1, left + F.col("size")).alias("near"),
+    )
+    hits = hits.filter(F.size(F.array_intersect("near", "template")) >= F.col("need"))
 
-        starts = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda k: F.get(F.col("words"), k).isin(sets[i]))
-        held = F.filter(F.transform(starts, window), lambda h: h["both"] >= need)
-        # Few texts have enough words of a template at all; only these are searched window by window.
-        return F.when(F.size(F.array_intersect("words", template)) >= need, held)
+    def window(k: Column) -> Column:
+        held = F.slice("near", k + 1, F.col("size"))
+        # A window is judged at its rarest word; an earlier place of the same word would judge it as well.
+        rarest = ~F.coalesce(F.arrays_overlap(held, F.col("rarer")), F.lit(False))
+        both = F.when(rarest & F.array_contains("template", F.get(F.col("near"), k)), F.size(F.array_intersect(held, "template"))).otherwise(0)
+        return F.struct((F.col("from") + k).alias("block"), both.alias("both"))
 
-    each = [of_template(i, label) for i, (label, _) in enumerate(templates)]
-    found = words.filter(F.size("words") > 0).select("doc_id", "text_key", F.explode(F.array(*each)).alias("held"))
-    found = found.select("doc_id", "text_key", F.inline("held"))
-    return found.groupBy("doc_id", "text_key", "block", "label").agg(F.max("containment").alias("containment"))
+    good = F.filter(F.transform(F.sequence(F.lit(0), F.col("at")), window), lambda w: w["both"] >= F.col("need"))
+    found = hits.select("doc_id", "text_key", "label", F.size("template").alias("all"), F.inline(good))
+    return found.groupBy("doc_id", "text_key", "block", "label").agg(F.max(F.col("both") / F.col("all")).alias("containment"))
 
 
 def scan(
@@ -165,24 +196,22 @@ def scan(
     threshold: tuple[int, int] = THRESHOLD,
     id_col: str = "doc_id",
     text_col: str = "text",
-    windows: bool = False,
 ) -> DataFrame:
     """Per row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and the blocks found.
 
     ``score`` is 1 where a phrase stands, else the greatest containment of a
     template found, else 0. ``blocks`` are the different (block, label, containment)
-    found, blocks counted from 0: lines, or with ``windows`` the first words of
-    template-sized windows. A null text is empty; a null id stays null;
-    repeated rows are returned each; other columns are left behind; an empty table
-    gives no rows. A text of any length is scanned whole, block by block.
+    found; a block is named by its first word, counted from 0. A null text is empty; a
+    null id stays null; repeated rows are returned each; other columns are left behind;
+    an empty table gives no rows. A text of any length is scanned whole.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"), word_list(text).alias("words")
+        F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), word_list(text).alias("words")
     )
     found = {f"_p{i}": _phrase_places(p) for i, p in enumerate(phrases)}
     base = words.select("doc_id", "text_key", F.size("words").cast("bigint").alias("n_words"), *[c.alias(n) for n, c in found.items()])
-    places = F.array_sort(F.concat(*found))
+    places = F.array_sort(F.concat(F.array().cast("array<int>"), *found))
     base = base.withColumn("places", places).select(
         "doc_id",
         "text_key",
@@ -190,9 +219,9 @@ def scan(
         F.size("places").cast("bigint").alias("n_base"),
         F.array_min("places").cast("bigint").alias("first_word"),
         F.array_max("places").cast("bigint").alias("last_word"),
-        F.array_compact(F.array(*[F.when(F.size(n) > 0, F.lit(label)) for n, label in zip(found, phrases.values())])).alias("base"),
+        F.array_compact(F.array(*[F.when(F.size(n) > 0, F.lit(label)) for n, label in zip(found, phrases.values())]).cast("array<string>")).alias("base"),
     )
-    blocks = (template_windows if windows else template_blocks)(words, docs.sparkSession, templates, threshold)
+    blocks = template_blocks(words, docs.sparkSession, templates, threshold)
     by_doc = blocks.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(
         F.sort_array(F.collect_set(F.struct("block", "label", "containment"))).alias("blocks"),
         F.collect_set("label").alias("found"),

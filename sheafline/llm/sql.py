@@ -120,12 +120,16 @@ hits AS ({hits}),
 base AS (
     SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS base FROM hits GROUP BY doc_id),
 templates AS (
-    SELECT label, list_distinct({words.format(lower.format("text"))}) AS template FROM (VALUES {templates}) AS t(label, text)),
-lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
-blocks AS (SELECT DISTINCT doc_id, list_distinct({words.format(lower.format("line"))}) AS block FROM lines),
+    SELECT label, {words.format(lower.format("text"))} AS all_words, list_distinct(all_words) AS template, len(template) AS size
+    FROM (VALUES {templates}) AS t(label, text)),
+maybe AS (
+    SELECT doc_id, words, label, len(all_words) AS span, template, size FROM docs, templates
+    WHERE {THRESHOLD[1]} * len(list_intersect(words, template)) >= {THRESHOLD[0]} * size),
+windows AS (
+    SELECT doc_id, label, size, template, words[place + 1 : place + span] AS held FROM (SELECT *, unnest(range(len(words))) AS place FROM maybe)),
 found AS (
-    SELECT doc_id, label, len(list_intersect(block, template)) AS n, len(template) AS size
-    FROM blocks, templates WHERE {THRESHOLD[1]} * len(list_intersect(block, template)) >= {THRESHOLD[0]} * len(template)),
+    SELECT doc_id, label, size, len(list_intersect(held, template)) AS n FROM windows
+    WHERE {THRESHOLD[1]} * len(list_intersect(held, template)) >= {THRESHOLD[0]} * size),
 best AS (SELECT doc_id, max(n / size) AS containment, list(DISTINCT label) AS found FROM found GROUP BY doc_id)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
