@@ -10,6 +10,12 @@ its one-bit neighbours. A window looks up its blocks among items of its size; pa
 within the radius are then compared exactly, by weighted shingles: the Jaccard
 similarity of the shingle counts.
 
+Items that say something twice, or are short, have fingerprints that stray: a shingle
+that stands five times has five votes. For these items the fingerprint does not decide.
+They also stand in an exact lookup by their rarest shingles: of so many occurrences
+that one must be in any window as similar as asked (prefix filter, by weight), and
+windows of too few shingles are left out (length filter).
+
 Only built-in functions are used. The benchmark's shingles are first looked up in
 a bitmap of fixed size, so that a row is made for few places of a document only; a
 table of all shingles is never shuffled.
@@ -30,6 +36,8 @@ BITS = 64
 RADIUS = 19
 #: More than half the radius, so that one block differs in one bit at most.
 BLOCKS = 10
+#: Items of up to so many shingles are looked up exactly too.
+SHORT = 8
 #: Bits of the bitmap of benchmark shingles (2 MB).
 FILTER_BITS = 1 << 24
 SEPARATORS = r"[^\p{L}\p{N}]+"
@@ -111,6 +119,28 @@ def _similarity(a: str, b: str) -> tuple[Column, Column]:
     return both, F.size(a) + F.size(b) - both
 
 
+def exact_index(targets: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """(item_id, size, item_grams, gram) of the items a fingerprint may miss, by their rarest shingles.
+
+    The shingles of an item, each as often as it stands, are put in order of the number
+    of items that have them. A window as similar as asked holds all but a few of these
+    occurrences, so it holds one of the first few and one.
+    """
+    num, den = threshold
+    stray = (F.size(F.array_distinct("item_grams")) < F.size("item_grams")) | (F.size("item_grams") <= SHORT)
+    each = targets.select("item_id", "size", "item_grams", stray.alias("stray"), F.explode("item_grams").alias("gram"))
+    weights = each.groupBy("item_id", "gram").agg(F.count("*").alias("weight"), F.first("size").alias("size"), F.first("stray").alias("stray"))
+    spread = weights.groupBy("gram").agg(F.count("*").alias("items"))
+    line = F.array_sort(F.collect_list(F.struct("items", "gram", "weight")))
+    lines = weights.join(spread, "gram").filter("stray").groupBy("item_id").agg(line.alias("line"))
+    lines = lines.join(targets.select("item_id", "size", "item_grams"), "item_id")
+    # Occurrences that may be missing: the window must share num / den of the item at least.
+    missing = F.size("item_grams") - F.ceil(F.size("item_grams") * num / den)
+    ahead = lambda i: F.aggregate(F.slice("line", 1, i), F.lit(0).cast("bigint"), lambda n, x: n + x["weight"])
+    first = F.filter("line", lambda x, i: ahead(i) <= missing)
+    return lines.select("item_id", "size", "item_grams", F.explode(first["gram"]).alias("gram"))
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -157,6 +187,12 @@ def leaks(
     looked_up = windows.select("*", F.inline(block_values(F.col("window_print"))))
     near = F.bit_count(F.col("window_print").bitwiseXOR(F.col("item_print"))) <= RADIUS
     pairs = looked_up.join(index, ["size", "block", "value"]).filter(near)
+    columns = ["doc_id", "text_key", "item_id", "start", "window_grams", "item_grams"]
+    stray = exact_index(targets, threshold)
+    held = windows.join(stray.select("size").distinct(), "size", "left_semi")
+    held = held.select("doc_id", "text_key", "size", "start", "window_grams", F.explode(F.array_distinct("window_grams")).alias("gram"))
+    held = held.join(stray, ["size", "gram"]).filter(F.size("window_grams") * den >= F.size("item_grams") * num)
+    pairs = pairs.select(columns).unionByName(held.select(columns).distinct())
     both, total = _similarity("window_grams", "item_grams")
     judged = pairs.select("doc_id", "text_key", "item_id", "start", both.alias("both"), total.alias("total"))
     judged = judged.filter(F.col("both") * den >= F.col("total") * num)

@@ -271,6 +271,25 @@ def test_leaks_equal_plain_ones(spark):
     assert len(rows) == len({(x["doc_id"], x["item_id"]) for x in rows})
 
 
+def test_leaks_of_items_that_repeat_themselves_or_are_short(spark):
+    """Pairs at and just above the threshold whose fingerprints lie far apart."""
+    r = random.Random(14)
+    bench = [(1, "a b " * 7 + "a"), (2, "c c c c c c c c c c"), (3, "d e f " * 6), (4, "g h g h g h g h g h g i j k l m"), (5, "n o p q r")]
+    bench += [(10 + k, " ".join(r.choice("stuv") for _ in range(r.randint(5, 24)))) for k in range(12)]
+    bench += [(40 + k, " ".join(f"w{r.randrange(40)}" for _ in range(r.randint(5, 12)))) for k in range(8)]
+    docs: list[tuple[int | None, str | None]] = [(1, "b a " * 7 + "b"), (2, "c " * 9), (3, "e f d " * 6), (4, "h g " * 8 + "i j k l m"), (5, "n o p q r s")]
+    for k in range(150):
+        words = changed(r, r.choice(bench)[1].split(), r.choice([0, 1, 1, 2]))
+        turn = r.randrange(len(words))
+        words = words[turn:] + words[:turn] if k % 2 else words
+        docs.append((100 + k, " ".join([*(r.choice("stuvab") for _ in range(r.randint(0, 6))), *words, *(r.choice("xyz") for _ in range(r.randint(0, 4)))])))
+    schema = "item_id long, text string"
+    rows = decontamination.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(bench, schema)).collect()
+    want = plain_leaks(docs, bench)
+    assert {(x["doc_id"], x["item_id"]) for x in rows} == want
+    assert (1, 1) in want and len(want) > 30
+
+
 def test_blocks_find_every_print_within_the_radius(spark):
     from pyspark.sql import functions as F
 
