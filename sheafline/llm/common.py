@@ -84,6 +84,30 @@ def may_hold(found: Column, key: Column, bits: int) -> Column:
     return F.call_function("shiftright", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
+#: Rows of one key from which on they are spread, and over how many tasks.
+HOT_ROWS = 200
+HOT_SALTS = 64
+_HOT_BITS = 1 << 16
+
+
+def with_first(rows: DataFrame, keys: list[str], doc: str = "doc_id") -> DataFrame:
+    """``rows`` with ``first``, the smallest ``doc`` among the rows that are equal in ``keys``.
+
+    The smallest are found by partial sums. For the way back, a key of many rows is
+    salted: its rows go to HOT_SALTS tasks, and so does a copy of its one answer. Which
+    keys are hot is looked up in a bitmap of fixed size; a key that shares the bit of a
+    hot one is salted too, which changes nothing in the result.
+    """
+    key = F.xxhash64(*keys)
+    firsts = rows.groupBy(*keys).agg(F.min(doc).alias("first"), F.count("*").alias("_rows"))
+    firsts = checkpointed(firsts, "firsts")
+    hot = may_hold(bitmap(firsts.filter(F.col("_rows") > HOT_ROWS).select(key.alias("key")), "key", _HOT_BITS), key, _HOT_BITS)
+    salt = F.when(hot, F.pmod(F.xxhash64(doc), F.lit(HOT_SALTS)).cast("int")).otherwise(0)
+    every = F.when(hot, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    answers = firsts.select(*keys, "first", F.explode(every).alias("_salt"))
+    return rows.withColumn("_salt", salt).join(answers, [*keys, "_salt"]).drop("_salt")
+
+
 def list_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets (from 0) and flat int64 values of an Arrow list column without nulls."""
     if isinstance(column, pa.ChunkedArray):

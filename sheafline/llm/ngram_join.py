@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import ascii_lower, bitmap, checkpointed, list_parts, may_hold, mix, word_array
+from .common import ascii_lower, bitmap, checkpointed, list_parts, may_hold, mix, with_first, word_array
 from .components import components
 from .substrings import _chunks, window_hashes
 
@@ -384,7 +384,7 @@ def jaccard_groups(
     )
     same = ["n", "sum_a", "sum_b"]
     real = measured.filter("n > 0 AND doc_id IS NOT NULL")
-    first = checkpointed(real.join(real.groupBy(*same).agg(F.min("doc_id").alias("first")), same).select("doc_id", "n", "first").distinct(), "classes")
+    first = checkpointed(with_first(real, same).select("doc_id", "n", "first").distinct(), "classes")
 
     keys = _numbered(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
     keys = keys.mapInArrow(_write_keys(length, threshold), "key bigint, doc_id bigint")

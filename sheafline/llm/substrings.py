@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, list_parts, mix, word_array
+from .common import checkpointed, list_parts, mix, with_first, word_array
 
 LENGTH = 50
 #: Words that are worked on together.
@@ -171,8 +171,7 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
         "half-windows",
     ).filter(F.col("n_words") >= length)
     same = ["n_words", "sum_a", "sum_b"]
-    first = sampled.groupBy(*same).agg(F.min("doc_id").alias("first"))
-    placed = sampled.join(first, same)
+    placed = with_first(sampled, same)
     copies = placed.filter("doc_id > first").select("doc_id", "text_key", F.array(F.lit(-1)).alias("places"))
 
     half = placed.filter("doc_id = first").select("doc_id", "text_key", F.explode(F.arrays_zip("hashes", "places")).alias("w"))

@@ -363,3 +363,28 @@ def test_score_odd_rows(spark, odd_docs):
     assert len(rows) == odd_docs.count()
     assert all(r["log_score"] == 0 and r["mean_log_score"] is None for r in rows if r["n_words"] == 0)
     assert lm_scores.backoff_scores(odd_docs.limit(0)).count() == 0
+
+
+def test_first_of_equal_rows_with_hot_keys(spark):
+    from pyspark.sql import functions as F
+
+    from sheafline.llm import common
+
+    rows = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 500).alias("a"), F.lit("x").alias("b")
+    )
+    out = common.with_first(rows, ["a", "b"])
+    assert out.columns[-1] == "first" and out.count() == 3000
+    want = {r["a"]: r["m"] for r in rows.groupBy("a").agg(F.min("doc_id").alias("m")).collect()}
+    assert all(r["first"] == want[r["a"]] for r in out.collect())
+    # No task of the way back has more than a part of the hot key.
+    changes = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in changes}
+    try:
+        for k, v in changes.items():
+            spark.conf.set(k, v)
+        sizes = common.with_first(rows, ["a", "b"]).filter("a = 7").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(r["count"] for r in sizes) < 500
