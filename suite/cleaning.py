@@ -221,7 +221,9 @@ def _(v):
 def _article_raw(v):
     """Raw rows of noised articles, every fourth language with other keys left out."""
     content = F.col("content")
-    full = F.to_json(F.struct(content, content.alias("title"), F.array(F.lit(" a  b"), F.lit("a b"), F.col("source")).alias("categories")))
+    links = F.array(F.lit("a  link "), F.lit("a link"), F.lit("  "), F.concat(F.lit(" https://x.org/"), F.col("source")))
+    categories = F.array(F.lit(" a  b"), F.lit("a b"), F.col("source"))
+    full = F.to_json(F.struct(content, content.alias("title"), categories.alias("categories"), links.alias("links")))
     bare = F.to_json(F.struct(content.alias("summary")))
     document = F.when(F.col("lang") == "es", bare).when(F.col("lang") == "de", "{}").otherwise(full)
     return v.documents_noised().select(F.col("doc_id").alias("id"), "lang", document.alias("metadata"))
@@ -240,14 +242,15 @@ _FULL = "lang IN ('en', 'fr')"
                CASE WHEN {_FULL} THEN {clean_title_sql('content')} END AS cleaned_title,
                CASE WHEN {_FULL} THEN 'a b|' || source END AS cleaned_categories,
                CASE WHEN {_FULL} THEN 2 END::BIGINT AS category_count,
+               CASE WHEN {_FULL} THEN 'a link|https://x.org/' || source END AS cleaned_links,
+               CASE WHEN {_FULL} THEN 2 END::BIGINT AS internal_link_count,
                CASE WHEN {_FULL} THEN length(content) ELSE 0 END AS original_content_length
         FROM documents_noised""",
 )
 def _(v):
     cleaned = cleaners.article_struct(_article_raw(v), COLLECTED_AT).select("id", "cleaned.*")
-    return cleaned.withColumn("cleaned_categories", F.array_join("cleaned_categories", "|")).drop(
-        "cleaned_links", "internal_link_count", "cleaned_at", "cleaning_operations_applied"
-    )
+    joined = {c: F.array_join(c, "|") for c in ("cleaned_categories", "cleaned_links")}
+    return cleaned.withColumns(joined).drop("cleaned_at", "cleaning_operations_applied")
 
 
 @query("f6_state_name", f"SELECT order_id, line_no, replace({strip_sql('state')}, ' ', '_') AS cleaned_state FROM raw_polls")
@@ -387,11 +390,16 @@ def _(v):
     return v.table("events").select("event_id", jsonio.canonical(built).alias("document"))
 
 
-@query("f21_same_schema", f"WITH {SCHEMAS_SQL} SELECT id FROM stored_schemas")
+@query(
+    "f21_same_schema",
+    f"""WITH {SCHEMAS_SQL} SELECT s.id FROM stored_schemas s JOIN (SELECT source, min(doc_id) AS first FROM documents GROUP BY source) d
+        ON json_extract_string(s.metadata_schema, '$.cleaner_name') = d.source WHERE d.first % 2 = 0""",
+)
 def _(v):
+    """Every second document asked for differs from the stored one by one number."""
     reordered = F.format_string(
         '{"schema":{"properties":{"%s_title":{"maxLength":%d}},"type":"object"},  "current_schema_version":"1.%d.0","cleaner_name":"%s"}',
-        "source", "longest", F.col("first") % 3, "source",
+        "source", F.col("longest") + F.col("first") % 2, F.col("first") % 3, "source",
     )
     documents = v.table("documents").groupBy("source").agg(F.min("doc_id").alias("first"), F.max("n_chars").alias("longest"))
     return same_schema(_schemas(v), documents.select(reordered.alias("document"))).select("id")

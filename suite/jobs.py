@@ -336,12 +336,15 @@ def _(v):
 
 @query(
     "p2_collect_articles_raw",
-    f"""WITH {PAGE_TARGETS_SQL} SELECT t.id AS collection_target_id, x.title, t.language_code, p.url, 1::BIGINT AS validation_status_id, length(p.html) > 0 AS has_page
+    f"""WITH {PAGE_TARGETS_SQL} SELECT t.id AS collection_target_id, x.title, t.language_code, p.url, 1::BIGINT AS validation_status_id, p.page_id::VARCHAR AS stored_page_id,
+               p.url AS stored_url, t.collection_name AS stored_search_title, x.title AS stored_title, 'wikipedia_' || t.language_code AS stored_source
         FROM page_targets t JOIN titles x ON x.language_code = t.language_code AND x.folded = lower(t.collection_name) JOIN pages p ON p.page_id = x.page_id""",
 )
 def _(v):
     done = collect_job.collect_articles(_full_targets(v), v.pages(), 1, AS_OF, validate=True)
-    return done.raw.select("collection_target_id", "title", "language_code", "url", "validation_status_id", (F.length("metadata") > 0).alias("has_page"))
+    stored = {"stored_page_id": "page_id", "stored_url": "url", "stored_search_title": "original_search_title", "stored_title": "title", "stored_source": "source"}
+    fields = [F.get_json_object("metadata", f"$.{field}").alias(name) for name, field in stored.items()]
+    return done.raw.select("collection_target_id", "title", "language_code", "url", "validation_status_id", *fields)
 
 
 @query(
