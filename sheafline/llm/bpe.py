@@ -272,7 +272,7 @@ def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col:
 
 
 def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``decode(encode(docs))`` in one Python worker per task instead of two."""
+    """``decode(encode(docs))`` in one Python worker per task instead of two, with their results for odd rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, table = Bpe.of(tokenizer), Texts.of(tokenizer)

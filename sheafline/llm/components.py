@@ -15,8 +15,8 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that is not the smallest of its component; root is the smallest.
 
-    ``edges`` has the long columns u and v, in any direction; loops and repeats are
-    allowed. Each step writes its edges to the shared folder, so a lost executor
+    ``edges`` has the long columns u and v, in any direction; loops, repeats and nulls
+    are allowed and link nothing further; no edges give no rows. Each step writes its edges to the shared folder, so a lost executor
     costs at most one step. No node's neighbours are ever gathered: a hub is a
     hot join key with one row on its other side.
     """

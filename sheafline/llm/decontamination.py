@@ -204,7 +204,11 @@ def leaks(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, that hold no benchmark item."""
+    """The documents, with all their columns, that hold no benchmark item.
+
+    Null or empty texts hold none and stay; a null id stays null; of rows that repeat
+    an id each is judged by its own text; empty tables change nothing.
+    """
     found = leaks(docs, benchmark, id_col=id_col, text_col=text_col).select(
         F.col("doc_id").alias("_leaked_id"), F.col("text_key").alias("_leaked_key")
     )

@@ -207,8 +207,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, labe
     """Fit the model on at most ``sample_rows`` labelled rows that have a text in ``docs``.
 
     The sample is the labelled rows with the smallest hash of their id; nothing
-    else of the corpus is looked at. Null labels and ids are left out. None without
-    labelled rows of both kinds.
+    else of the corpus is looked at. Null labels and ids are left out; an id with
+    several labels or texts counts once for each. None without labelled rows of both
+    kinds.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("label"))

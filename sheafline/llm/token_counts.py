@@ -88,7 +88,7 @@ class Pieces:
             for piece in self.cut(text, size):
                 batch.append(piece)
                 owner.append(i)
-                held += len(piece)
+                held += len(piece) if piece.isascii() else len(piece.encode())
                 if held >= batch_bytes:
                     flush()
         if batch:

@@ -146,6 +146,27 @@ def test_urls(spark):
     assert url_filter.url_terms(pages, [], {}).filter("size(strict_terms) + size(soft_terms) > 0").count() == 0
 
 
+def test_urls_with_weights_and_odd_rows(spark):
+    soft = {"adult": 3, "win": 2, "free": 2, "best": 1, "sale": 1}
+    assert max(url_filter.SOFT.values()) < url_filter.SOFT_LIMIT and set(url_filter.SOFT.values()) == {1, 2, 3}
+    assert not set(url_filter.SOFT) & set(url_filter.STRICT)
+    cases = [
+        (1, "http://x.net/adult", 3, "allow"),  # no soft term alone
+        (2, "http://x.net/adult/adult-adult", 3, "allow"),  # the same again is no further hit
+        (3, "http://x.net/adult?best", 4, "block"),
+        (4, "http://x.net/win/free", 4, "block"),
+        (5, "http://x.net/win/best", 3, "allow"),
+        (6, "http://x.net/win/best/sale", 4, "block"),
+        (7, "http://x.net/wins/freely/bestow", 0, "allow"),  # parts of words
+        (8, "http://x.net/" + "a/" * 200_000 + "adult-best", 4, "block"),
+        (None, "http://x.net/win_free", 4, "block"),  # "_" ends a word
+        (4, "http://x.net/win/free", 4, "block"),
+    ]
+    pages = spark.createDataFrame([(i, u, "other", 7) for i, u, _, _ in cases], "page_id long, url string, host string, soft_weight int")
+    rows = url_filter.url_verdicts(pages, [], ["xxx"], soft, 4).collect()
+    assert sorted((str(r["page_id"]), r["soft_weight"], r["verdict"]) for r in rows) == sorted((str(i), w, v) for i, _, w, v in cases)
+
+
 # ---- quality ----------------------------------------------------------------
 
 
@@ -170,6 +191,22 @@ def test_counts_equal_plain_ones(spark):
     assert list(zip(*(found[c].tolist() for c in quality.COLUMNS))) == [plain_counts(t) for t in rows]
 
 
+def test_quality_query_equals_plain_counts_and_its_own_model(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    model = quality.fit(docs, labels)
+    got = queries.QUERIES["op5_quality_rules"](spark, FOLDER).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for row in got:
+        counts = plain_counts(texts[row["doc_id"]])
+        assert tuple(row[c] for c in quality.COLUMNS) == counts
+        failed = counts[0] < 10 or 100 * counts[4] > 20 * counts[0]
+        [chance] = model.probability(quality.Batch.of([texts[row["doc_id"]]]))
+        assert row["base_failed"] == failed and row["kept"] == (not failed and row["probability"] >= quality.KEEP_FROM)
+        assert abs(chance - row["probability"]) < 1e-9
+    assert {r["base_failed"] for r in got} == {r["kept"] for r in got} == {True, False}
+
+
 def test_quality_model_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     first, rest = labels.filter("doc_id < 600"), labels.filter("doc_id >= 600")
