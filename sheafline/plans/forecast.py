@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -212,6 +213,8 @@ class CandidateModel:
     train_r2: float
     test_r2: float
     n_samples: int
+    n_train: int
+    n_test: int
 
 
 def fit_models(
@@ -225,12 +228,16 @@ def fit_models(
     least: int = 10,
     split_above: int = 20,
     weighted: bool = False,
+    at_once: int = 4,
 ) -> list[CandidateModel]:
     """One boosted-tree model per candidate with enough polls, each trained on the cluster.
 
     A fifth of the polls, chosen by hash of their key, is held out for candidates
     with more than ``split_above`` polls. Only one count per candidate reaches the driver.
+    The models are fitted side by side, ``at_once`` at a time: the jobs of one fill the
+    gaps that the many small rounds of another leave.
     """
+    from pyspark import inheritable_thread_target
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
@@ -240,31 +247,36 @@ def fit_models(
         table.withColumns({"label": F.col(target).cast("double"), "_held": stable_number(F.col(split_key)) % 5 == 0})
     )
     slim = assembled.select(CANDIDATE, "features", "label", "_held", *(["poll_weight"] if weighted else [])).persist()
+
+    @inheritable_thread_target
+    def fitted(row: Row) -> CandidateModel:
+        own = slim.filter(F.col(CANDIDATE) == row[CANDIDATE])
+        n, held = row["n_samples"], row["n_held"]
+        train, test, sizes = own, own, (n, n)
+        # Without a row on either side there is nothing to hold out: the train score counts.
+        if n > split_above and 0 < held < n:
+            train, test, sizes = own.filter(~F.col("_held")), own.filter("_held"), (n - held, held)
+        trainer = GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed)
+        if weighted:
+            trainer = trainer.setWeightCol("poll_weight")
+        model = trainer.fit(train)
+        judge = RegressionEvaluator(metricName="r2")
+        scores = [judge.evaluate(model.transform(part)) for part in (train, test)]
+        return CandidateModel(row[CANDIDATE], model, *scores, n, *sizes)
+
     try:
         held = slim.groupBy(CANDIDATE).agg(F.count("*").alias("n_samples"), F.count_if("_held").alias("n_held"))
         counts = held.filter(F.col("n_samples") >= least).orderBy(CANDIDATE).collect()
-        judge = RegressionEvaluator(metricName="r2")
-        models = []
-        for row in counts:
-            own = slim.filter(F.col(CANDIDATE) == row[CANDIDATE])
-            train, test = own, own
-            # Without a row on either side there is nothing to hold out: the train score counts.
-            if row["n_samples"] > split_above and 0 < row["n_held"] < row["n_samples"]:
-                train, test = own.filter(~F.col("_held")), own.filter("_held")
-            trainer = GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed)
-            if weighted:
-                trainer = trainer.setWeightCol("poll_weight")
-            model = trainer.fit(train)
-            scores = [judge.evaluate(model.transform(part)) for part in (train, test)]
-            models.append(CandidateModel(row[CANDIDATE], model, scores[0], scores[1], row["n_samples"]))
-        return models
+        with ThreadPoolExecutor(max_workers=at_once) as pool:
+            return list(pool.map(fitted, counts))
     finally:
         slim.unpersist()
 
 
 def model_scores(spark: SparkSession, models: list[CandidateModel]) -> DataFrame:
-    rows = [(m.candidate, float(m.train_r2), float(m.test_r2), m.n_samples) for m in models]
-    return values_frame(spark, "candidate STRING, train_r2 DOUBLE, test_r2 DOUBLE, n_samples BIGINT", rows)
+    rows = [(m.candidate, float(m.train_r2), float(m.test_r2), m.n_samples, m.n_train, m.n_test) for m in models]
+    kinds = "candidate STRING, train_r2 DOUBLE, test_r2 DOUBLE, n_samples BIGINT, n_train BIGINT, n_test BIGINT"
+    return values_frame(spark, kinds, rows)
 
 
 def feature_importances(spark: SparkSession, models: list[CandidateModel]) -> DataFrame:
@@ -277,22 +289,21 @@ def feature_importances(spark: SparkSession, models: list[CandidateModel]) -> Da
 
 
 def predict(models: list[CandidateModel], serving: DataFrame) -> DataFrame:
-    """Support of every state and candidate with a model, held within 0-100."""
+    """Support of every state and candidate with a model, held within 0-100.
+
+    One pass: each model adds a column, and each row takes that of its candidate.
+    """
     from pyspark.ml.feature import VectorAssembler
 
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(serving)
-    parts = [
-        m.model.transform(rows.filter(F.col(CANDIDATE) == m.candidate)).select(
-            STATE, CANDIDATE, F.least(F.lit(100.0), F.greatest(F.lit(0.0), F.col("prediction"))).alias("support")
-        )
-        for m in models
-    ]
-    if not parts:
+    if not models:
         raise ValueError("no trained models")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(serving)
+    own = F.lit(None).cast("double")
+    for i, m in enumerate(models):
+        rows = m.model.copy({m.model.predictionCol: f"_support{i}"}).transform(rows)
+        own = F.when(F.col(CANDIDATE) == m.candidate, F.col(f"_support{i}")).otherwise(own)
+    chosen = rows.select(STATE, CANDIDATE, own.alias("support")).filter(F.col("support").isNotNull())
+    return chosen.withColumn("support", F.least(F.lit(100.0), F.greatest(F.lit(0.0), F.col("support"))))
 
 
 def shy_adjusted(predictions: DataFrame, candidate: str, points: float) -> DataFrame:

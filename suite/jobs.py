@@ -562,11 +562,21 @@ def _models(v):
 _FITTED_SQL = f"WITH {_WINDOW}, fitted AS (SELECT cleaned_candidate_name AS candidate, count(*) AS n_samples FROM poll_window GROUP BY 1 HAVING count(*) >= 10)"
 
 
-@query("m2_model_scores", f"{_FITTED_SQL} SELECT candidate, n_samples, true AS train_fits, true AS test_at_most_one FROM fitted")
+_HELD = BUCKET.format("poll_id").replace("% 64", "% 5")
+
+
+@query(
+    "m2_model_scores",
+    f"""WITH {_WINDOW}, held AS (
+            SELECT cleaned_candidate_name AS candidate, count(*) AS n_samples, count(*) FILTER (WHERE {_HELD} = 0) AS n_held FROM poll_window GROUP BY 1 HAVING count(*) >= 10)
+        SELECT candidate, n_samples, CASE WHEN n_samples > 20 AND n_held BETWEEN 1 AND n_samples - 1 THEN n_samples - n_held ELSE n_samples END AS n_train,
+               CASE WHEN n_samples > 20 AND n_held BETWEEN 1 AND n_samples - 1 THEN n_held ELSE n_samples END AS n_test,
+               true AS train_fits, true AS test_at_most_one FROM held""",
+)
 def _(v):
     scores = forecast.model_scores(v.spark, _models(v))
     at_most_one = F.col("test_r2").isNull() | F.isnan("test_r2") | (F.col("test_r2") <= 1)
-    return scores.select("candidate", "n_samples", F.col("train_r2").between(0, 1).alias("train_fits"), at_most_one.alias("test_at_most_one"))
+    return scores.select("candidate", "n_samples", "n_train", "n_test", F.col("train_r2").between(0, 1).alias("train_fits"), at_most_one.alias("test_at_most_one"))
 
 
 _IN_RANGE = "true AS in_range"

@@ -76,6 +76,27 @@ def test_outcomes(spark):
     assert states[("Nowhere", "Ann Clinton")] == 0.0
 
 
+def test_one_prediction_pass_equals_one_pass_per_model(spark, polls):
+    from pyspark.ml.feature import VectorAssembler
+
+    table = fc.features(fc.poll_window(polls, CANDIDATES, "2016-11-08", 2016, 60), 2016)
+    models = fc.fit_models(table, 2016, trees=4, at_once=2)
+    assert [m.candidate for m in models] == CANDIDATES
+    assert [m.n_train + m.n_test for m in models] == [m.n_samples for m in models] and all(m.n_test for m in models)
+    alone = fc.fit_models(table.filter(F.col("cleaned_candidate_name") == "Bob Other"), 2016, trees=4, at_once=1)
+    assert (alone[0].train_r2, alone[0].n_train) == (models[1].train_r2, models[1].n_train)
+    extra = table.limit(1).withColumn("cleaned_candidate_name", F.lit("Nobody"))
+    got = sorted(map(tuple, fc.predict(models, table.unionByName(extra)).collect()))
+    rows = VectorAssembler(inputCols=fc.FEATURES, outputCol="features").transform(table)
+    want = []
+    for m in models:
+        own = m.model.transform(rows.filter(F.col("cleaned_candidate_name") == m.candidate))
+        want += [(r.cleaned_state, r.cleaned_candidate_name, min(100.0, max(0.0, r.prediction))) for r in own.collect()]
+    assert got == sorted(want)
+    with pytest.raises(ValueError):
+        fc.predict([], table)
+
+
 def test_whole_forecast(polls):
     result = fc.run_forecast(
         polls, CANDIDATES, "2016-11-08", 2016, states=["Texas", "Ohio", "Utah"], draws=200, trees=3, shy_points=2.0, shy_candidate="Bob Other"
