@@ -183,7 +183,8 @@ def backoff_scores(
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
     size = docs.agg(F.sum(F.octet_length(text_col).cast("bigint"))).first()[0] or 0
     pieces = max(1, ceil(size / BLOCK_BYTES))
-    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(pieces).cast("bigint")))
+    # By id and text, so that rows without an id are dealt as evenly as others.
+    blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(pieces).cast("bigint")))
 
     tables = blocked.groupBy("block").applyInArrow(
         _tables_of_block(order, pieces), "range bigint, block bigint, grams binary, counts binary"
