@@ -51,7 +51,7 @@ WORDS = 4
 THRESHOLD = (85, 100)
 CLASS_RATIO = 1.25
 #: A block holds about so many n-grams or texts.
-BLOCK_GRAMS = 400_000
+BLOCK_GRAMS = 200_000
 BLOCK_TEXTS = 1500
 #: Texts of a large cluster that are in each of its blocks.
 PIVOTS = 16
