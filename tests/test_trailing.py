@@ -67,3 +67,26 @@ def test_means_by_days(spark):
     df = spark.createDataFrame([("a", 1, 10.0), ("a", 1, 20.0), ("a", 9, 40.0), ("a", 7, 30.0)], "g string, day bigint, x double")
     got = {(r.day, r.x): r.m for r in trailing_means_by_days(df, ["g"], "day", "x", {"m": 7}).collect()}
     assert got == {(1, 10.0): 15.0, (1, 20.0): 15.0, (7, 30.0): 20.0, (9, 40.0): 35.0}
+
+
+def test_small_blocks_share_the_parts_of_the_shuffle(spark, polls):
+    # One part of the shuffle a block would be 6000 tasks here, and 120,000 for 36 million rows in blocks of 300.
+    before = spark._jsc.sc().dagScheduler().nextStageId()
+    blocks = with_blocks(polls, ["g"], ["day", "row_id"], 1)
+    stages = range(before, spark._jsc.sc().dagScheduler().nextStageId())
+    infos = [spark.sparkContext.statusTracker().getStageInfo(s) for s in stages]
+    assert max(i.numTasks for i in infos if i) <= 2 * spark.sparkContext.defaultParallelism
+    assert blocks.select("_block").distinct().count() == 6000
+
+
+@pytest.mark.parametrize("block_rows", [1, 3])
+def test_windows_reach_over_several_blocks_and_equal_rows(spark, polls, block_rows):
+    # Rows that are equal but for their value, and windows longer than a block.
+    odd = polls.filter("row_id < 600").withColumn("row_id", F.floor(F.col("row_id") / 4))
+    w = W.partitionBy("g").orderBy("day", "row_id", "x")
+    want = odd.withColumns({k: F.round(F.avg("x").over(w.rowsBetween(-(n - 1), 0)), 9) for k, n in WINDOWS.items()})
+    got = trailing_means(odd, ["g"], "day", "row_id", "x", WINDOWS, block_rows=block_rows)
+    got = got.withColumns({k: F.round(k, 9) for k in WINDOWS}).select(*want.columns)
+    assert got.count() == 600 and got.exceptAll(want).count() == 0
+    alone = trailing_means(odd, ["g"], "day", "row_id", "x", {"m1": 1}, block_rows=block_rows)
+    assert alone.filter("m1 = x").count() == 600
