@@ -206,6 +206,10 @@ def serving_features(inputs: DataFrame, codes: DataFrame, window: DataFrame | No
 # Models
 
 
+#: Rows of a training set per task. A boosted tree takes several rounds over all rows, and a round costs its tasks.
+TASK_ROWS = 50_000
+
+
 @dataclass(frozen=True)
 class CandidateModel:
     candidate: str
@@ -235,7 +239,10 @@ def fit_models(
     A fifth of the polls, chosen by hash of their key, is held out for candidates
     with more than ``split_above`` polls. Only one count per candidate reaches the driver.
     The models are fitted side by side, ``at_once`` at a time: the jobs of one fill the
-    gaps that the many small rounds of another leave.
+    gaps that the many small rounds of another leave. Every round of a model has a task
+    per ``TASK_ROWS`` of its polls, not one per partition of the table, and starts from
+    a table in the shared folder: with a cached one, every task of the thousand jobs
+    carries the plan behind ``table``.
     """
     from pyspark import inheritable_thread_target
     from pyspark.ml.evaluation import RegressionEvaluator
@@ -246,7 +253,7 @@ def fit_models(
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(
         table.withColumns({"label": F.col(target).cast("double"), "_held": stable_number(F.col(split_key)) % 5 == 0})
     )
-    slim = assembled.select(CANDIDATE, "features", "label", "_held", *(["poll_weight"] if weighted else [])).persist()
+    slim = stage(assembled.select(CANDIDATE, "features", "label", "_held", *(["poll_weight"] if weighted else [])), "training")
 
     @inheritable_thread_target
     def fitted(row: Row) -> CandidateModel:
@@ -256,6 +263,7 @@ def fit_models(
         # Without a row on either side there is nothing to hold out: the train score counts.
         if n > split_above and 0 < held < n:
             train, test, sizes = own.filter(~F.col("_held")), own.filter("_held"), (n - held, held)
+        train, test = [part.coalesce(-(-size // TASK_ROWS)) for part, size in zip((train, test), sizes)]
         trainer = GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed)
         if weighted:
             trainer = trainer.setWeightCol("poll_weight")
@@ -264,13 +272,10 @@ def fit_models(
         scores = [judge.evaluate(model.transform(part)) for part in (train, test)]
         return CandidateModel(row[CANDIDATE], model, *scores, n, *sizes)
 
-    try:
-        held = slim.groupBy(CANDIDATE).agg(F.count("*").alias("n_samples"), F.count_if("_held").alias("n_held"))
-        counts = held.filter(F.col("n_samples") >= least).orderBy(CANDIDATE).collect()
-        with ThreadPoolExecutor(max_workers=at_once) as pool:
-            return list(pool.map(fitted, counts))
-    finally:
-        slim.unpersist()
+    held = slim.groupBy(CANDIDATE).agg(F.count("*").alias("n_samples"), F.count_if("_held").alias("n_held"))
+    counts = held.filter(F.col("n_samples") >= least).orderBy(CANDIDATE).collect()
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(fitted, counts))
 
 
 def model_scores(spark: SparkSession, models: list[CandidateModel]) -> DataFrame:

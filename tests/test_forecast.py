@@ -108,3 +108,15 @@ def test_whole_forecast(polls):
     assert result.importances.groupBy("candidate").agg(F.sum("importance").alias("s")).filter("abs(s - 1) > 1e-6").count() == 0
     summary = result.summary.first()
     assert summary.n_candidates == 2 and summary.target_column == "pct_estimate"
+
+
+def test_rounds_of_a_model_have_a_task_per_many_rows_and_no_long_lineage(spark, polls, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+
+    seen, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, rows: seen.append(rows) or fit(self, rows))
+    table = fc.features(fc.poll_window(polls, CANDIDATES, "2016-11-08", 2016, 60), 2016).repartition(40)
+    assert len(fc.fit_models(table, 2016, trees=2)) == 2
+    assert [rows.rdd.getNumPartitions() for rows in seen] == [1, 1]
+    plans = [rows._jdf.queryExecution().executedPlan().toString() for rows in seen]
+    assert len(plans) == 2 and not any("InMemoryTableScan" in p or "Exchange" in p for p in plans)
