@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from ..session import stage
 from ..vocab import ATTEMPT_STATUSES, COLLECTION_STATUSES, ERROR_TYPES, VALIDATION_STATUSES, lookup
 from .pages import page_catalogue
-from .tables import spread
+from .tables import dealt_finely, spread
 
 # Names given to values of the given tables.
 TARGET_TYPES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -197,7 +197,9 @@ class ModelViews:
         )
 
     def link_attempts_to_runs(self) -> DataFrame:
-        return self.table("lineitem").select(
+        # Nearly all pairs differ, so the whole table is held by the tasks that drop repeated ones.
+        lines = dealt_finely(self.table("lineitem").select("l_partkey", "l_orderkey"), "l_partkey", "l_orderkey")
+        return lines.select(
             F.col("l_partkey").alias("collection_attempt_id"), F.col("l_orderkey").alias("run_collection_metadata_id")
         ).distinct()
 

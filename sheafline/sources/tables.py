@@ -48,6 +48,18 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
 
 
+def dealt_finely(scan: DataFrame, *keys: str) -> DataFrame:
+    """Deal a table scan by ``keys`` into parts far smaller than its splits, when there are splits for all cores.
+
+    For work that holds many keys in memory, as ``distinct`` does. The parts are eight to
+    a split, and a split has a largest size, so the rows of a task stop growing with the
+    table; adaptive execution does not join parts of a given number. A smaller table is
+    left as it is.
+    """
+    splits = scan.rdd.getNumPartitions()
+    return scan.repartition(8 * splits, *keys) if splits >= scan.sparkSession.sparkContext.defaultParallelism else scan
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select and cast to a table schema; columns that are absent become null."""
     present = set(df.columns)

@@ -316,3 +316,18 @@ def test_record_files(spark, tmp_path):
     back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(folder).first()
     assert back.content == 'a\nb "q", c' and back.links == '["x"]'
     assert tables.write_records(df.limit(0), "kind", str(tmp_path), "s2") is None
+
+
+def test_parts_of_a_large_table_are_finer_than_its_splits(spark, tmp_path):
+    from sheafline.sources.tables import dealt_finely
+
+    rows = spark.range(4000).selectExpr("id % 1000 AS a", "id % 500 AS b")
+    rows.repartition(64).write.parquet(str(tmp_path / "many"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    many, one = [spark.read.parquet(str(tmp_path / name)) for name in ("many", "one")]
+    splits = many.rdd.getNumPartitions()
+    pairs = dealt_finely(many, "a", "b").distinct()
+    # No part is joined with another before repeated pairs are dropped, and none is dealt twice.
+    assert pairs.rdd.getNumPartitions() == 8 * splits >= 64 and pairs.count() == 1000
+    assert "ENSURE_REQUIREMENTS" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert dealt_finely(one, "a", "b") is one
