@@ -19,10 +19,16 @@ def state_name(c: Column) -> Column:
 
 def candidate_name(c: Column, aliases: dict[str, str] = CANDIDATE_ALIASES) -> Column:
     """Strip, collapse white space, apply aliases; null gives ``''``."""
-    name = collapse_whitespace(strip(c))
+    known: dict[str, str] = {}
     for alias, real in aliases.items():
-        name = F.regexp_replace(name, f"^\\Q{alias}\\E\\z", real)
-    return F.coalesce(name, F.lit(""))
+        # An alias of what an earlier one gave follows it.
+        known = {k: real if v == alias else v for k, v in known.items()} | {alias: real}
+    name = F.array(collapse_whitespace(strip(c)))
+    if known:
+        pairs = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+        # A function over a list of one, so that the name is worked out once.
+        name = F.transform(name, lambda n: F.coalesce(F.try_element_at(pairs, n), n))
+    return F.coalesce(F.get(name, F.lit(0)), F.lit(""))
 
 
 def iso_date_text(c: Column) -> Column:
@@ -99,7 +105,7 @@ def is_outlier(percentages: list[Column], cycle: Column, current_year: int, days
     """Any percentage below 1 or above 90, an impossible cycle, or an impossible distance."""
     # First cycle, years ahead, and the longest distance in days.
     first_cycle, years_ahead, longest = 1968, 4, 1460
-    tests = [(p < 1.0) | (p > 90.0) for p in percentages]
+    tests = [F.exists(F.array(*percentages), lambda p: (p < 1.0) | (p > 90.0))]
     tests.append((cycle < first_cycle) | (cycle > current_year + years_ahead))
     if days_before is not None:
         tests.append((days_before < 0) | (days_before > longest))

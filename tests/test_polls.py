@@ -159,3 +159,14 @@ def test_targets_find_their_rows(spark):
     targets = spark.createDataFrame([("2016_NY_A_2",), ("2016_NY_A_99",), ("a_b_3",), ("x_y_z_w",), ("1_2_3_1",)], "collection_name string")
     rows = spark.createDataFrame([(0, "first"), (1, "second")], "original_row_index bigint, payload string")
     assert [r.payload for r in poll_files.match_targets_to_rows(targets, rows).collect()] == ["first"]
+
+
+def test_aliases_follow_each_other_as_plain_text_and_missing_percentages_are_no_outliers(spark):
+    from pyspark.sql import functions as F
+
+    from sheafline.functions import polls as p
+
+    rows = spark.createDataFrame([(" Ann \t B ", 0.5, None), ("C", None, None), (None, 50.0, 91.0), ("x$1", None, 5.0)], "n string, a double, b double")
+    named = rows.select(p.candidate_name(F.col("n"), {"Ann B": "C", "C": "D$1"}).alias("n"), p.is_outlier([F.col("a"), F.col("b")], F.lit(2000), 2024).alias("o"))
+    assert [tuple(r) for r in named.collect()] == [("D$1", True), ("D$1", False), ("", True), ("x$1", False)]
+    assert "regexp_replace(regexp_replace" not in named._jdf.queryExecution().executedPlan().toString()
