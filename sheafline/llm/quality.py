@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ SCALE = 30.0
 KEEP_FROM = 0.5
 #: Code points that are worked on together.
 CHUNK = 1 << 19
+#: Code points that are judged together, fewer as judging holds many arrays of them.
+PART = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(WINDOW, dtype=np.uint64) * _STEP
 
@@ -177,6 +180,19 @@ def chunks(rows: list[str]) -> Iterator[tuple[int, list[str]]]:
         yield start, rows[start:]
 
 
+def parts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Consecutive texts of a column of together about ``PART`` code points, with the place of the first; a null is empty.
+
+    Only the texts of one part are strings at a time.
+    """
+    start = held = 0
+    for i, size in enumerate(pc.fill_null(pc.utf8_length(column), 0).to_pylist()):
+        held += size
+        if held >= PART or i + 1 == len(column):
+            yield start, pc.fill_null(column.slice(start, i + 1 - start), "").to_pylist()
+            start, held = i + 1, 0
+
+
 def sample_features(labelled: DataFrame) -> DataFrame:
     """(doc_id, label, buckets, shares) of labelled texts; the last two packed."""
 
@@ -184,7 +200,7 @@ def sample_features(labelled: DataFrame) -> DataFrame:
         for batch in batches:
             buckets: list[bytes] = []
             shares: list[bytes] = []
-            for _, rows in chunks(batch.column(2).to_pylist()):
+            for _, rows in parts(batch.column(2)):
                 work = Batch.of(rows)
                 keys, values = [], []
                 for owner, bucket in work.features():
@@ -285,29 +301,32 @@ def judge(
     ``keep_from``. Without a model the probability is null and the base rules alone
     decide. A null text has no words; a null id stays null; repeated rows are
     judged each; ``carry`` names columns to hand through, others are left behind; an
-    empty table gives no rows.
+    empty table gives no rows. The text goes to the workers once, carried or not.
     """
     carried = [f"_carried_{i}" for i in range(len(carry))]
+    sent = [c for c in carry if c != text_col]
+    places = [1 if c == text_col else 2 + sent.index(c) for c in carry]
+
+    def rated(rows: list[str]) -> list[pa.Array]:
+        work = Batch.of(rows)
+        counts = work.measures()
+        score = pa.array(model.probability(work)) if model else pa.nulls(len(rows), pa.float64())
+        return [*(pa.array(counts[c]) for c in COLUMNS), score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for start, rows in chunks(batch.column(1).to_pylist()):
-                work = Batch.of(rows)
-                counts = work.measures()
-                score = pa.array(model.probability(work)) if model else pa.nulls(len(rows), pa.float64())
-                arrays = [ids.slice(start, len(rows)), *(pa.array(counts[c]) for c in COLUMNS), score]
-                arrays += [c.slice(start, len(rows)) for c in batch.columns[2:]]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *COLUMNS, "probability", *carried])
+            for start, rows in parts(batch.column(1)):
+                ids, *handed = (batch.column(i).slice(start, len(rows)) for i in (0, *places))
+                yield pa.RecordBatch.from_arrays([ids, *rated(rows), *handed], ["doc_id", *COLUMNS, "probability", *carried])
 
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        *[F.col(c).alias(n) for c, n in zip(carry, carried)],
+        F.col(text_col).cast("string").alias("text"),
+        *[F.col(c).alias(f"_sent_{i}") for i, c in enumerate(sent)],
     )
-    kinds = dict(rows.dtypes)
+    kinds = [rows.dtypes[i][1] for i in places]
     schema = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in COLUMNS) + ", probability double"
-    schema += "".join(f", {n} {kinds[n]}" for n in carried)
+    schema += "".join(f", {n} {kind}" for n, kind in zip(carried, kinds))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     judged = rows.mapInArrow(run, schema).withColumn("base_failed", failed)
     good = F.coalesce(F.col("probability") >= keep_from, F.lit(True))

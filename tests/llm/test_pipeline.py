@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import corpus_pipeline
+import pyarrow as pa
+import pytest
 from sheafline.llm import quality
 
 from .test_between_documents import plain_groups, plain_leaks, plain_removal
@@ -94,3 +98,53 @@ def test_odd_rows_pass_all_stages(spark, odd_docs):
             assert set(left) <= set(kept) and len(left) == sum(r in left for r in kept)
         else:
             assert sorted(left) == sorted(r for r in rows if r[0] not in gone[name])
+
+
+@pytest.fixture
+def python_steps(spark, monkeypatch):
+    """The functions given to mapInArrow, with the table that each one reads."""
+    kind, steps = type(spark.range(0)), []
+    given = kind.mapInArrow
+
+    def noted(self, func, schema, *args, **kwargs):
+        steps.append((func, self))
+        return given(self, func, schema, *args, **kwargs)
+
+    monkeypatch.setattr(kind, "mapInArrow", noted)
+    return steps
+
+
+def test_quality_rules_send_a_text_once(spark, tmp_path, python_steps):
+    good = " ".join(f"word{i}" for i in range(12))
+    rows = [(1, good, "a", 5), (1, good, "a", 5), (None, good + " more", None, None), (2, None, "b", 0), (3, "too short", "b", 9)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, kept string, n_words int")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+    assert out.dtypes == docs.dtypes
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(rows[:3], key=str)
+    _, sent = python_steps[-1]
+    texts = [f for f in sent.schema.simpleString().replace("<", ",").split(",") if f.endswith("text:string")]
+    assert len(texts) == 1 and "struct" not in [t for _, t in sent.dtypes]
+
+
+def test_carried_text_keeps_its_nulls(spark):
+    docs = spark.createDataFrame([(1, None, "a"), (None, "", "b")], "doc_id long, text string, other string")
+    judged = quality.judge(docs, None, carry=("other", "text")).collect()
+    assert sorted((r["other"], r["text"], r["n_words"], r["kept"]) for r in judged) == [("a", None, 0, False), ("b", "", 0, False)]
+
+
+def test_judging_holds_few_texts_at_a_time(spark, python_steps):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    quality.judge(docs, None)
+    [(run, _)] = python_steps
+    texts = ["".join(chr(97 + (i * j) % 23) + " " * (j % 5 == 0) for j in range(1600)) for i in range(5000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(5000)), "text": pa.array(texts)})
+    del texts
+    run(iter([batch.slice(0, 1)]))
+    tracemalloc.start()
+    try:
+        assert sum(out.num_rows for out in run(iter([batch]))) == 5000
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 30e6
