@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import lean, texts
 
 #: Characters below this one behave alike in all Unicode versions; texts with others take the file's own rules.
 PLAIN_BELOW = 0x250
@@ -58,7 +58,9 @@ class Bpe:
         self.ids: dict[str, int] = model["vocab"]
         size = max([*self.ids.values(), *(t["id"] for t in file["added_tokens"])]) + 1
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        self.library = Tokenizer.from_str(content)
+        # Only the file's rules before the merges, so without a second copy of the vocabulary.
+        rules = {**file, "added_tokens": [], "post_processor": None, "decoder": None, "model": {**model, "vocab": {}, "merges": []}}
+        self.library = Tokenizer.from_str(json.dumps(rules))
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
         # Merge trees: the two halves and the time of the merge that makes each token.
@@ -281,4 +283,4 @@ def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
             arrays = [batch.column(0), pa.array(packed, pa.binary()), pa.array(map(table.decode, packed), pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "ids", "decoded"])
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids binary, decoded string")
+    return texts(docs, id_col, text_col).mapInArrow(lean(run), "doc_id bigint, ids binary, decoded string")

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import ascii_lower, bitmap, checkpointed, list_parts, may_hold, mix, with_first, word_array
+from .common import ascii_lower, bitmap, checkpointed, lean, list_parts, may_hold, mix, with_first, word_array
 from .components import components
 from .substrings import _chunks, window_hashes
 
@@ -322,7 +322,7 @@ def _links_of_blocks(docs: DataFrame, placed: DataFrame, length: int, threshold:
     rows = docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text"))
     rows = rows.filter(may_hold(taking_part, F.xxhash64("node"), FILTER_BITS)).join(placed, "node")
     sets = _numbered(rows, "node", "text", "cluster", "blocks").mapInArrow(
-        _with_sets(length), "doc_id bigint, grams array<bigint>, cluster bigint, blocks array<bigint>"
+        lean(_with_sets(length)), "doc_id bigint, grams array<bigint>, cluster bigint, blocks array<bigint>"
     )
     spread = sets.select("doc_id", "grams", "cluster", F.explode("blocks").alias("block"))
     return spread.groupBy("block").applyInArrow(_join_block(threshold), "u bigint, v bigint")
@@ -380,14 +380,14 @@ def jaccard_groups(
     table gives no rows.
     """
     measured = checkpointed(
-        _numbered(docs, id_col, text_col).mapInArrow(_measure(length, threshold), MEASURES), "sets"
+        _numbered(docs, id_col, text_col).mapInArrow(lean(_measure(length, threshold)), MEASURES), "sets"
     )
     same = ["n", "sum_a", "sum_b"]
     real = measured.filter("n > 0 AND doc_id IS NOT NULL")
     first = checkpointed(with_first(real, same).select("doc_id", "n", "first").distinct(), "classes")
 
     keys = _numbered(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
-    keys = keys.mapInArrow(_write_keys(length, threshold), "key bigint, doc_id bigint")
+    keys = keys.mapInArrow(lean(_write_keys(length, threshold)), "key bigint, doc_id bigint")
     each = real.join(first.filter("doc_id = first").select("doc_id", "n"), ["doc_id", "n"])
     each = each.select(F.col("doc_id").alias("node"), F.explode(F.arrays_zip("kinds", "least")).alias("c")).select("node", "c.*")
     bounds = each.withColumnRenamed("kinds", "kind").groupBy("node", "kind").agg(F.min("least").alias("least"))

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, texts
+from .common import lean, mix, texts
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -328,7 +328,7 @@ def judge(
     schema = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in COLUMNS) + ", probability double"
     schema += "".join(f", {n} {kind}" for n, kind in zip(carried, kinds))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    judged = rows.mapInArrow(run, schema).withColumn("base_failed", failed)
+    judged = rows.mapInArrow(lean(run), schema).withColumn("base_failed", failed)
     good = F.coalesce(F.col("probability") >= keep_from, F.lit(True))
     judged = judged.withColumn("kept", ~F.col("base_failed") & good)
     return judged.select(*[c for c in judged.columns if c not in carried], *[F.col(n).alias(c) for c, n in zip(carry, carried)])

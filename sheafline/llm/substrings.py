@@ -19,14 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, list_parts, mix, with_first, word_array
+from .common import checkpointed, lean, list_parts, mix, with_first, word_array
 
 LENGTH = 50
 #: Words that are worked on together.
-CHUNK = 1 << 18
+CHUNK = 1 << 16
+#: Bytes of text that are cut together, as cutting holds several copies of them.
+PART = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _WORD_AND_SPACE = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 
@@ -74,11 +77,11 @@ def anchors(words: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
     return at, short[at]
 
 
-def _chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of together at most ``CHUNK`` words, or of one row."""
+def _chunks(offsets: np.ndarray, most: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of together at most ``most`` words (or what the offsets count), or of one row."""
     start = 0
     while start < len(offsets) - 1:
-        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + CHUNK, "right")) - 1)
+        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most, "right")) - 1)
         yield start, stop
         start = stop
 
@@ -165,7 +168,7 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     numbers = F.transform(word_array(F.col("text")), lambda w: F.xxhash64(w))
     sampled = checkpointed(
         rows.select("doc_id", "text_key", numbers.alias("words")).mapInArrow(
-            _sample(length),
+            lean(_sample(length)),
             "doc_id bigint, text_key bigint, n_words bigint, sum_a bigint, sum_b bigint, hashes array<bigint>, places array<int>",
         ),
         "half-windows",
@@ -185,7 +188,7 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     near = rows.join(survivors, ["doc_id", "text_key"])
     full = checkpointed(
         near.select("doc_id", "text_key", numbers.alias("words"), "places").mapInArrow(
-            _full_windows(length), "hash bigint, doc_id bigint, text_key bigint, place int"
+            lean(_full_windows(length)), "hash bigint, doc_id bigint, text_key bigint, place int"
         ),
         "full-windows",
     )
@@ -195,35 +198,38 @@ def repeated_places(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     return later.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("places")).unionByName(copies.distinct())
 
 
-def _cut(length: int, carried: list[str]):
-    names = ["doc_id", "n_words", "n_removed", "kept", "left", *carried]
+def _cut(length: int, carried: list[str], with_kept: bool = True):
+    names = ["doc_id", "n_words", "n_removed", *["kept"] * with_kept, "left", *carried]
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts, removed, kept, left = [], [], [], []
+        for text, places in zip(batch.column(1), batch.column(2)):
+            raw = text.as_py().encode()
+            words = raw.split()
+            counts.append(len(words))
+            start = places.values.to_numpy() if places.is_valid else np.zeros(0, np.int32)
+            if not len(start):
+                gone = np.zeros(len(words), bool)
+            elif start[0] == -1:
+                gone = np.ones(len(words), bool)
+            else:
+                steps = np.zeros(len(words) + 1, np.int32)
+                steps[start] += 1
+                np.subtract.at(steps, start + length, 1)
+                gone = np.cumsum(steps[:-1]) > 0
+            removed.append(int(gone.sum()))
+            if with_kept:
+                kept.append(b" ".join([w for w, g in zip(words, gone) if not g] if len(start) else words))
+            left.append(_without(raw, gone) if len(start) else raw)
+        arrays = [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+        arrays += [pa.array([x.decode() for x in out], pa.string()) for out in (*[kept] * with_kept, left)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *arrays, *batch.columns[3:]], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, removed, kept, left = [], [], [], []
-            for text, places in zip(batch.column(1), batch.column(2)):
-                raw = text.as_py().encode()
-                words = raw.split()
-                counts.append(len(words))
-                start = places.values.to_numpy() if places.is_valid else np.zeros(0, np.int32)
-                if not len(start):
-                    removed.append(0)
-                    kept.append(b" ".join(words))
-                    left.append(raw)
-                    continue
-                if start[0] == -1:
-                    gone = np.ones(len(words), bool)
-                else:
-                    steps = np.zeros(len(words) + 1, np.int32)
-                    steps[start] += 1
-                    np.subtract.at(steps, start + length, 1)
-                    gone = np.cumsum(steps[:-1]) > 0
-                removed.append(int(gone.sum()))
-                kept.append(b" ".join([w for w, g in zip(words, gone) if not g]))
-                left.append(_without(raw, gone))
-            arrays = [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
-            arrays += [pa.array([x.decode() for x in out], pa.string()) for out in (kept, left)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, *batch.columns[3:]], names)
+            offsets = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column(1)).to_numpy(), dtype=np.int64)])
+            for a, b in _chunks(offsets, PART):
+                yield cut(batch.slice(a, b - a))
 
     return run
 
@@ -235,7 +241,12 @@ def _without(raw: bytes, gone: np.ndarray) -> bytes:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+    docs: DataFrame,
+    length: int = LENGTH,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: tuple[str, ...] = (),
+    with_kept: bool = True,
 ) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept (the words left, joined by one space) and left (with their own white space).
 
@@ -243,8 +254,8 @@ def remove_repeats(
     with a smaller id. Windows are judged on the input. Repeats inside one document
     stay. A null text has no words; rows without an id are returned as they are;
     repeated rows are returned each (rows of one id do not remove each other);
-    ``carry`` names columns to hand through, others are left behind; an empty table
-    gives no rows.
+    ``carry`` names columns to hand through, others are left behind; ``with_kept=False``
+    leaves ``kept`` out; an empty table gives no rows.
     """
     carried = [f"_carried_{i}" for i in range(len(carry))]
     places = repeated_places(docs, length, id_col, text_col).withColumnRenamed("doc_id", "_id").withColumnRenamed("text_key", "_key")
@@ -257,7 +268,7 @@ def remove_repeats(
     )
     joined = rows.join(places, (F.col("doc_id") == F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
     kinds = dict(rows.dtypes)
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string, left string"
+    schema = "doc_id bigint, n_words bigint, n_removed bigint, " + "kept string, " * with_kept + "left string"
     schema += "".join(f", {n} {kinds[n]}" for n in carried)
-    out = joined.select("doc_id", "text", "places", *carried).mapInArrow(_cut(length, carried), schema)
+    out = joined.select("doc_id", "text", "places", *carried).mapInArrow(lean(_cut(length, carried, with_kept)), schema)
     return out.select(*[c for c in out.columns if c not in carried], *[F.col(n).alias(c) for c, n in zip(carry, carried)])

@@ -5,9 +5,10 @@ from __future__ import annotations
 import tracemalloc
 
 import corpus_pipeline
+import public_tokenizers
 import pyarrow as pa
 import pytest
-from sheafline.llm import quality
+from sheafline.llm import bpe, quality, substrings
 
 from .test_between_documents import plain_groups, plain_leaks, plain_removal
 
@@ -127,6 +128,19 @@ def test_quality_rules_send_a_text_once(spark, tmp_path, python_steps):
     assert len(texts) == 1 and "struct" not in [t for _, t in sent.dtypes]
 
 
+def test_repeated_passages_send_a_text_once(spark, python_steps):
+    passage = " ".join(f"word{i}" for i in range(60))
+    schema = "doc_id int, text string, n_chars int, n_words int, kept string"
+    rows = [(1, passage, 7, 1, "a"), (2, f" {passage}\n more\tof  it ", 8, None, None), (None, passage, None, 2, "b"), (3, None, 0, 3, "c"), (3, "ein Wört", 9, 4, "d"), (3, "ein Wört", 9, 4, "d")]
+    docs = spark.createDataFrame(rows, schema)
+    out = corpus_pipeline.repeated_passages(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    want = [rows[0], (2, " more\tof  it ", 13, None, None), rows[2], (3, "", 0, 3, "c"), *rows[4:]]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+    _, sent = python_steps[-1]
+    assert [t for _, t in sent.dtypes].count("string") == 2 and "struct" not in str(sent.schema.simpleString())[6:]
+
+
 def test_carried_text_keeps_its_nulls(spark):
     docs = spark.createDataFrame([(1, None, "a"), (None, "", "b")], "doc_id long, text string, other string")
     judged = quality.judge(docs, None, carry=("other", "text")).collect()
@@ -148,3 +162,26 @@ def test_judging_holds_few_texts_at_a_time(spark, python_steps):
     finally:
         tracemalloc.stop()
     assert peak < 30e6
+
+
+def test_cutting_holds_few_texts_at_a_time(spark, python_steps):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    substrings.remove_repeats(docs)
+    run, _ = python_steps[-1]
+    texts = [" ".join(f"w{(i * j) % 977}" for j in range(1000)) for i in range(5000)]
+    places = pa.array([[0] if i % 2 else None for i in range(5000)], pa.list_(pa.int32()))
+    batch = pa.record_batch({"doc_id": pa.array(range(5000)), "text": pa.array(texts), "places": places})
+    del texts
+    tracemalloc.start()
+    try:
+        out = [b.num_rows for b in run(iter([batch]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(out) == 5000 and peak < 20e6
+
+
+def test_encoder_has_the_vocabulary_once():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        content = file.read()
+    assert bpe.Bpe(content).library.get_vocab_size() == 0
