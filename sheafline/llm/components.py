@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
+#: Edges from which on a step's table gets a further file (at least one for each core).
+FILE_EDGES = 50_000
+
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -24,16 +27,18 @@ def components(edges: DataFrame) -> DataFrame:
     now = checkpointed(now, "edges")
     state = _state(now)
     while state[0]:
+        # Few edges go to few files: each file costs its executor a task and, without Hadoop's native library, a process.
+        files = max(now.sparkSession.sparkContext.defaultParallelism, state[0] // FILE_EDGES + 1)
         # Large star: link each larger neighbour to the smallest one.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Written out: the join meets two plain tables, and Spark can split a hub's rows.
-        least = checkpointed(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
+        least = checkpointed(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).coalesce(files), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = checkpointed(large.distinct(), "large-star")
+        large = checkpointed(large.distinct().coalesce(files), "large-star")
         # Small star: link the smaller neighbours and the node itself to the smallest one.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = checkpointed(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        now = checkpointed(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().coalesce(files), "small-star")
         before, state = state, _state(now)
         if before == state:
             break

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from sheafline.llm import decontamination, lm_scores, ngram_join, substrings
+from sheafline.llm.common import checkpointed
 from sheafline.llm.components import components
 
 DOCS = "doc_id long, text string"
@@ -56,6 +57,25 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_write_few_files_for_few_edges(spark, monkeypatch):
+    written = []
+
+    def noted(df, name):
+        out = checkpointed(df, name)
+        written.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr("sheafline.llm.components.checkpointed", noted)
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "64")
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    edges = [(30 * i, 30 * i + j) for i in range(20) for j in range(1, 30)]
+    found = components(session.createDataFrame(edges, "u long, v long"))
+    assert {(x["node"], x["root"]) for x in found.collect()} == {(v, u) for u, v in edges}
+    steps = [n for name, n in written if name != "edges"]
+    assert steps and max(steps) <= spark.sparkContext.defaultParallelism
+
+
 # ---- n-gram Jaccard join ----------------------------------------------------
 
 
