@@ -8,7 +8,7 @@ also writes keys for the next class if a partner may be there. Parts that are
 empty agree without saying much, so there are ``spare`` parts besides; a set whose
 empty parts come near that number writes keys for these too. Two linked sets then
 share ``need`` keys of a class, two at least, and as many as a set's own ``least``:
-the spare parts and one, less its empty ones.
+the parts, less those that can differ from a partner of any size, less its empty ones.
 
 Chance makes unlike sets share a key, often a single n-gram of a passage many texts
 have. So sets are weeded before they meet: keys that one set alone has go, then the
@@ -18,6 +18,15 @@ left are candidates: few sets with a key are paired and must share the ``least``
 both; many sets with a key all are. Candidates that hang together form a cluster. No
 pair above the threshold is lost.
 
+In a large collection sets with common keys chain to clusters of unlike sets that
+grow faster than the data. So the sets of clusters that are larger than a block are
+linked once more, by n-grams: two linked sets share t of the n-grams of each, so in any
+one order of n-grams their first common one is among the first (1 - t) n + 1 of each. The
+order is by number of sets of a class of sizes in the cluster, rarest first; n-grams that
+one set has alone use up places and link nothing, and a set with too many of these goes.
+This takes a row per n-gram and class of these sets, whatever the size of the cluster.
+Again no pair is lost.
+
 How they are joined. The sets of a cluster go to blocks of bounded size. In a block
 all sets share one order of n-grams, most frequent first, and form a prefix tree.
 One walk through the tree carries, for the path so far, its overlap with every set
@@ -113,9 +122,10 @@ class Parts:
         self.spare = 2 + differ // 5
         self.need = 2 + differ // 40
         self.parts = differ + 1 + self.spare
+        self.most = most
         self.start = np.array(self.start[:-1], np.int64)
 
-    def _classes(self, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def classes(self, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(sets, class of each) of every class sets of these sizes write keys for."""
         home = np.searchsorted(self.start, sizes, "right") - 1
         step = 0
@@ -143,9 +153,12 @@ class Parts:
     def least(self, grams: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(set, class, number of keys it shares with any linked set that meets it there), sorted by set."""
         found = [np.zeros((0, 3), np.int64)]
-        for rows, kind in self._classes(np.diff(offsets)):
+        for rows, kind in self.classes(np.diff(offsets)):
             _, slot = self._slots(grams, offsets, rows, kind)
-            shared = np.maximum(self.need[kind], self.spare[kind] + 1 - self._empty(slot, kind))
+            size = offsets[rows + 1] - offsets[rows]
+            partner = np.minimum(size * self.den // self.num, self.most[kind])
+            differ = (self.den - self.num) * (size + partner) // (self.den + self.num)
+            shared = np.maximum(self.need[kind], self.parts[kind] - differ - self._empty(slot, kind))
             found.append(np.stack([rows, kind, shared], 1))
         every = np.concatenate(found)
         return tuple(every[np.argsort(every[:, 0], kind="stable")].T)
@@ -153,7 +166,7 @@ class Parts:
     def keys(self, grams: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(set, key) of every key of several sets."""
         owners, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        for rows, kind in self._classes(np.diff(offsets)):
+        for rows, kind in self.classes(np.diff(offsets)):
             owner, key = self._of_class(grams, offsets, rows, kind)
             owners.append(owner)
             found.append(key)
@@ -296,6 +309,27 @@ def _with_sets(length: int):
     return run
 
 
+def _with_grams(length: int, threshold: tuple[int, int]):
+    """A row per n-gram and class of sizes; the n-grams of different clusters and classes are different numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts(threshold)
+        for batch in batches:
+            offsets, words = list_parts(batch.column(1))
+            ids, cluster = (batch.column(k).to_numpy() for k in (0, 2))
+            for a, b in _chunks(offsets):
+                where, grams = gram_sets(words[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length)
+                for rows, kind in parts.classes(np.diff(where)):
+                    size = where[rows + 1] - where[rows]
+                    at = np.repeat(where[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                    salt = mix(mix(cluster[a + rows].astype(np.uint64)) + kind.astype(np.uint64))
+                    found = mix(grams[at] + np.repeat(salt, size)).view(np.int64)
+                    sizes = [pa.array(np.repeat(x, size), pa.int32()) for x in (size, kind)]
+                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.repeat(ids[a + rows], size)), *sizes], ["gram", "node", "n", "kind"])
+
+    return run
+
+
 def _join_block(threshold: tuple[int, int]):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("cluster", "ascending"), ("doc_id", "ascending")])
@@ -315,19 +349,42 @@ def _join_block(threshold: tuple[int, int]):
     return run
 
 
-def _links_of_blocks(docs: DataFrame, placed: DataFrame, length: int, threshold: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
-    """Edges (u, v) inside the blocks; ``placed`` says (node, cluster, blocks) of the texts that take part."""
+def _taking_part(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, words, ...) of the texts in ``placed``, which has node and further columns."""
     placed = checkpointed(placed, "placed")
     taking_part = bitmap(placed.select(F.xxhash64("node").alias("key")), "key", FILTER_BITS)
     rows = docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text"))
     rows = rows.filter(may_hold(taking_part, F.xxhash64("node"), FILTER_BITS)).join(placed, "node")
-    sets = _numbered(rows, "node", "text", "cluster", "blocks").mapInArrow(
+    return _numbered(rows, "node", "text", *placed.columns[1:])
+
+
+def _links_of_blocks(docs: DataFrame, placed: DataFrame, length: int, threshold: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
+    """Edges (u, v) inside the blocks; ``placed`` says (node, cluster, blocks) of the texts that take part."""
+    sets = _taking_part(docs, placed, id_col, text_col).mapInArrow(
         lean(_with_sets(length)), "doc_id bigint, grams array<bigint>, cluster bigint, blocks array<bigint>"
     )
     spread = sets.select("doc_id", "grams", "cluster", F.explode("blocks").alias("block"))
     return spread.groupBy("block").applyInArrow(_join_block(threshold), "u bigint, v bigint")
 
 
+def _closer(docs: DataFrame, members: DataFrame, length: int, threshold: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
+    """Edges (u, v) that hang together what may link in large clusters; ``members`` says (node, cluster)."""
+    num, den = threshold
+    grams = _taking_part(docs, members, id_col, text_col).mapInArrow(
+        lean(_with_grams(length, threshold)), "gram bigint, node bigint, n int, kind int"
+    )
+    same = W.partitionBy("gram")
+    shared = grams.withColumn("sets", F.count("*").over(same)).filter("sets > 1")
+    # Sets of one node and size are taken as one here, which makes their beginning longer.
+    own = W.partitionBy("node", "n", "kind")
+    ranked = shared.withColumns({"held": F.count("*").over(own), "place": F.row_number().over(own.orderBy("sets", "gram"))})
+    first = ranked.filter(F.expr(f"place <= held + 1 - ({num}L * n + {den - 1}) div {den}")).select("gram", "node")
+    first = checkpointed(first, "first-grams")
+    # Written out: the join meets two plain tables, and Spark can split the rows of a common n-gram.
+    least = checkpointed(first.groupBy("gram").agg(F.min("node").alias("v")), "least")
+    return first.join(least, "gram").filter("node > v").select(F.col("node").alias("u"), "v").distinct()
+
+
 def _holders(keys: DataFrame, first: DataFrame, bounds: DataFrame) -> DataFrame:
     """(key, node, kind, least) of the sets that may have a partner, by keys they share.
 
@@ -363,6 +420,21 @@ def _candidates(holders: DataFrame) -> DataFrame:
     return many.unionByName(enough.select("node", "other").distinct())
 
 
+def _clusters(rooted: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, cluster, n) of every member, its smallest one among them, and (cluster, grams, blocks) of every cluster."""
+    members = rooted.unionByName(rooted.select(F.col("root").alias("node"), "root").distinct())
+    members = checkpointed(members.join(sizes, "node").select("node", F.col("root").alias("cluster"), "n"), "members")
+    clusters = members.groupBy("cluster").agg(F.sum("n").alias("grams"), F.count("*").alias("texts"))
+    need = F.ceil(F.greatest(F.col("grams") / BLOCK_GRAMS, F.col("texts") / BLOCK_TEXTS)).cast("bigint")
+    return members, checkpointed(clusters.select("cluster", "grams", need.alias("blocks")), "clusters")
+
+
+def _extent(clusters: DataFrame) -> tuple[int, int, int]:
+    """All n-grams, the number of clusters larger than a block, and the n-grams of these."""
+    large = F.when(F.col("blocks") > 1, F.col("grams"))
+    return tuple(x or 0 for x in clusters.agg(F.sum("grams"), F.count(large), F.sum(large)).first())
+
+
 def jaccard_groups(
     docs: DataFrame,
     length: int = WORDS,
@@ -394,23 +466,28 @@ def jaccard_groups(
     edges = _candidates(_holders(keys, first, bounds))
     candidates = components(edges.select(F.col("node").alias("u"), F.col("other").alias("v")))
 
-    # Every cluster with its members, its smallest one among them.
-    members = candidates.unionByName(candidates.select(F.col("root").alias("node"), "root").distinct())
     sizes = first.filter("doc_id = first").groupBy(F.col("doc_id").alias("node")).agg(F.max("n").alias("n"))
-    members = checkpointed(members.join(sizes, "node").select("node", F.col("root").alias("cluster"), "n"), "members")
-    clusters = members.groupBy("cluster").agg(F.sum("n").alias("grams"), F.count("*").alias("texts"))
-    need = F.ceil(F.greatest(F.col("grams") / BLOCK_GRAMS, F.col("texts") / BLOCK_TEXTS)).cast("bigint")
-    clusters = checkpointed(clusters.select("cluster", "grams", need.alias("blocks")), "clusters")
-    total, large = clusters.agg(F.sum("grams"), F.count(F.when(F.col("blocks") > 1, 1))).first()
-    packs = max(1, ceil((total or 0) / BLOCK_GRAMS))
+    members, clusters = _clusters(candidates, sizes)
+    total, large, wide = _extent(clusters)
+    while large:
+        kept = members.join(clusters.filter("blocks = 1").select("cluster"), "cluster").select("node", "cluster")
+        loose = members.join(clusters.filter("blocks > 1").select("cluster"), "cluster").select("node", "cluster")
+        closer = components(_closer(docs, loose, length, threshold, id_col, text_col))
+        kept = kept.filter("node <> cluster").select("node", F.col("cluster").alias("root"))
+        members, clusters = _clusters(kept.unionByName(closer), sizes)
+        before = wide
+        total, large, wide = _extent(clusters)
+        # Counted within smaller clusters, more n-grams stand alone: again, as long as it halves what is left.
+        if 2 * wide > before:
+            break
+    packs = max(1, ceil(total / BLOCK_GRAMS))
     # Small clusters share blocks; the blocks of a large one are its own.
     sized = members.join(clusters.select("cluster", "blocks"), "cluster")
     small = sized.filter("blocks = 1").select(
         "node", "cluster", F.array(F.pmod(F.xxhash64("cluster"), F.lit(packs))).alias("blocks")
     )
-    edges = _links_of_blocks(docs, small, length, threshold, id_col, text_col)
     if not large:
-        links = edges
+        links = _links_of_blocks(docs, small, length, threshold, id_col, text_col)
     else:
         big = sized.filter("blocks > 1").withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")))
         name = lambda *of: F.xxhash64("cluster", *of).bitwiseOR(F.lit(-(1 << 63)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -180,6 +181,50 @@ def test_a_passage_in_half_of_all_texts_chains_nothing(spark, monkeypatch):
     assert len(placed) == 1 and placed[0] <= 80
 
 
+def test_texts_of_common_passages_do_not_meet(spark, monkeypatch):
+    """Texts made of the same few passages chain by keys; only what may link is joined, once."""
+    for name, value in (("BLOCK_GRAMS", 5000), ("BLOCK_TEXTS", 60)):
+        monkeypatch.setattr(ngram_join, name, value)
+    r = random.Random(11)
+    passages = [[f"p{i}.{k}" for k in range(40)] for i in range(16)]
+    docs = []
+    for i in range(240):
+        words = [w for p in r.sample(passages, 5) for w in p]
+        at = r.randrange(0, len(words), 40)
+        words = words[:at] + [f"v{r.randrange(10**6)}" for _ in range(50)] + words[at:]
+        docs.append((i, " ".join(words)))
+        if i % 12 == 0:
+            docs.append((1000 + i, " ".join(changed(r, words, 2))))
+    met = []
+    blocks_of = ngram_join._links_of_blocks
+
+    def watched(docs, rows, *rest):
+        met.append(rows.selectExpr("sum(size(blocks)) AS n").first()["n"])
+        return blocks_of(docs, rows, *rest)
+
+    monkeypatch.setattr(ngram_join, "_links_of_blocks", watched)
+    found = sorted(tuple(x) for x in ngram_join.jaccard_groups(spark.createDataFrame(docs, DOCS)).collect())
+    assert found == plain_groups(docs)
+    assert len({x[2] for x in found}) < len(docs)
+    assert len(met) == 1 and met[0] <= 80
+
+
+def test_least_follows_the_size_of_the_set():
+    """A set at the lower end of its class can differ from its partners in fewer n-grams than the class allows for."""
+    parts = ngram_join.Parts((85, 100))
+    r = random.Random(12)
+    kind = next(k for k in range(len(parts.start)) if parts.start[k] > 400)
+    most = int(parts.start[kind + 1]) - 1
+    for size in (int(parts.start[kind]), most):
+        grams = np.array([r.getrandbits(60) for _ in range(size)], np.uint64)
+        _, kinds, least = parts.least(grams, np.array([0, size]))
+        owed = dict(zip(kinds.tolist(), least.tolist()))
+        partner = min(size * 100 // 85, most)
+        empty = int(parts._empty(parts._slots(grams, np.array([0, size]), np.array([0]), np.array([kind]))[1], np.array([kind]))[0])
+        assert owed[kind] == parts.parts[kind] - 15 * (size + partner) // 185 - empty
+    assert owed[kind] == parts.spare[kind] + 1 - empty
+
+
 def test_tree_groups_of_a_block():
     r = random.Random(7)
     for _ in range(60):
@@ -208,6 +253,23 @@ def test_jaccard_odd_rows(spark, odd_docs):
     assert ngram_join.jaccard_groups(odd_docs.limit(0)).count() == 0
 
 
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    tag = spark._jvm.scala.reflect.ClassTag.apply(spark._jvm.java.lang.Class.forName("java.io.File"))
+
+    def files() -> set[str]:
+        return {f.getName() for f in disk.getAllFiles().toArray(tag) if f.getName().startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting_before, before = spark.conf.get(setting), files()
+    rows = checkpointed(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "counted")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert rows.count() == 7 and spark.conf.get(setting) == setting_before
+
+
 # ---- substring dedup --------------------------------------------------------
 
 
