@@ -19,8 +19,8 @@ both; many sets with a key all are. Candidates that hang together form a cluster
 pair above the threshold is lost.
 
 In a large collection sets with common keys chain to clusters of unlike sets that
-grow faster than the data. So the sets of clusters that are larger than a block are
-linked once more, by n-grams: two linked sets share t of the n-grams of each, so in any
+grow faster than the data. Where the blocks of large clusters would take more than all
+candidates do once, the sets of these clusters are linked once more, by n-grams: two linked sets share t of the n-grams of each, so in any
 one order of n-grams their first common one is among the first (1 - t) n + 1 of each. The
 order is by number of sets of a class of sizes in the cluster, rarest first; n-grams that
 one set has alone use up places and link nothing, and a set with too many of these goes.
@@ -430,9 +430,9 @@ def _clusters(rooted: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def _extent(clusters: DataFrame) -> tuple[int, int, int]:
-    """All n-grams, the number of clusters larger than a block, and the n-grams of these."""
-    large = F.when(F.col("blocks") > 1, F.col("grams"))
-    return tuple(x or 0 for x in clusters.agg(F.sum("grams"), F.count(large), F.sum(large)).first())
+    """All n-grams, the number of clusters larger than a block, and the n-grams of these times their blocks."""
+    copies = F.when(F.col("blocks") > 1, F.col("grams") * F.col("blocks"))
+    return tuple(x or 0 for x in clusters.agg(F.sum("grams"), F.count(copies), F.sum(copies)).first())
 
 
 def jaccard_groups(
@@ -468,17 +468,18 @@ def jaccard_groups(
 
     sizes = first.filter("doc_id = first").groupBy(F.col("doc_id").alias("node")).agg(F.max("n").alias("n"))
     members, clusters = _clusters(candidates, sizes)
-    total, large, wide = _extent(clusters)
-    while large:
+    total, large, copies = _extent(clusters)
+    # Blocks of large clusters may take as much as all sets together, not more.
+    while copies > total:
         kept = members.join(clusters.filter("blocks = 1").select("cluster"), "cluster").select("node", "cluster")
         loose = members.join(clusters.filter("blocks > 1").select("cluster"), "cluster").select("node", "cluster")
         closer = components(_closer(docs, loose, length, threshold, id_col, text_col))
         kept = kept.filter("node <> cluster").select("node", F.col("cluster").alias("root"))
         members, clusters = _clusters(kept.unionByName(closer), sizes)
-        before = wide
-        total, large, wide = _extent(clusters)
+        before = copies
+        total, large, copies = _extent(clusters)
         # Counted within smaller clusters, more n-grams stand alone: again, as long as it halves what is left.
-        if 2 * wide > before:
+        if 2 * copies > before:
             break
     packs = max(1, ceil(total / BLOCK_GRAMS))
     # Small clusters share blocks; the blocks of a large one are its own.
